@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 256  # a power of two
+SLICES = 128  # a power of two
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -41,7 +41,7 @@ def _sliced(counts: DataFrame, value: str, weight: Column) -> DataFrame:
     The weight is always true; naming it keeps every consumer on the same columns of ``counts``,
     so that the shuffle that builds the counts is planned once and reused.
     """
-    fractions = f"transform(sequence(1, {SLICES - 1}), i -> i / {SLICES}D)"
+    fractions = f"array({', '.join(f'{i / SLICES}D' for i in range(1, SLICES))})"
     splits = (
         counts.where(weight)
         .agg(F.expr(f"percentile_approx(`{value}`, {fractions})").alias("splits"))

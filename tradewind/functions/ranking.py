@@ -46,12 +46,16 @@ def _sliced(counts: DataFrame, value: str, weight: Column) -> DataFrame:
         counts.where(weight)
         .agg(F.expr(f"percentile_approx(`{value}`, {fractions})").alias("splits"))
     )
-    # Binary search in the sorted splits: how many of them lie below the value.
-    steps = ", ".join(str(SLICES >> i) for i in range(1, SLICES.bit_length()))
-    below = f"aggregate(array({steps}), 0, (p, s) -> p + if(`{value}` > splits[p + s - 1], s, 0))"
-    return (
-        counts.crossJoin(F.broadcast(splits)).withColumn("slice", F.expr(below)).drop("splits")
-    )
+    # Binary search in the sorted splits, one projection per step, all in generated code: the slice
+    # is the number of splits below the value.
+    sliced = counts.crossJoin(F.broadcast(splits)).withColumn("slice", F.lit(0))
+    step = SLICES // 2
+    while step:
+        sliced = sliced.withColumn(
+            "slice", F.expr(f"slice + if(`{value}` > splits[slice + {step - 1}], {step}, 0)")
+        )
+        step //= 2
+    return sliced.drop("splits")
 
 
 def prefix_totals(

@@ -14,9 +14,11 @@ from tradewind.functions.expressions import (
     month_of,
     pct,
     safe_div,
+    string_agg_distinct,
     weekday_name,
 )
-from tradewind.functions.ranking import grouped_percentile, join_on_keys
+from tradewind.functions.grouping import group_metrics
+from tradewind.functions.ranking import join_on_keys
 
 
 def _rows() -> Column:
@@ -37,18 +39,10 @@ def _bad_review_rate() -> Column:
     return pct(_is("is_bad_review"), _is("has_review")).alias("bad_review_rate")
 
 
-def _with_percentile(
-    metrics: DataFrame, rows: DataFrame, keys: list[str], value: str, name: str
-) -> DataFrame:
-    return join_on_keys(metrics, grouped_percentile(rows, keys, value, 0.95, name), keys, "left")
-
-
 def mart_daily_state_metrics(orders: DataFrame) -> DataFrame:
     keys = ["order_purchase_date", "customer_state"]
-    metrics = orders.groupBy(*keys).agg(
-        F.min("customer_region").alias("customer_region"),
+    measures = [
         _rows().alias("orders_cnt"),
-        F.countDistinct("customer_unique_id").alias("unique_customers"),
         F.sum("order_value").alias("total_revenue"),
         F.avg("order_value").alias("avg_order_value"),
         pct(_is("is_large_order"), _rows()).alias("large_order_share"),
@@ -56,8 +50,15 @@ def mart_daily_state_metrics(orders: DataFrame) -> DataFrame:
         _late_rate(),
         _bad_review_rate(),
         F.avg("delivery_days").alias("avg_delivery_days"),
-    )
-    return _with_percentile(metrics, orders, keys, "order_value", "p95_order_value").select(
+    ]
+    return group_metrics(
+        orders,
+        keys,
+        measures,
+        distinct={"unique_customers": "customer_unique_id"},
+        labels={"customer_region": "customer_region"},
+        percentiles={"p95_order_value": ("order_value", 0.95)},
+    ).select(
         *keys,
         "customer_region",
         "orders_cnt",
@@ -76,11 +77,8 @@ def mart_daily_state_metrics(orders: DataFrame) -> DataFrame:
 def mart_delivery_quality_by_category(items: DataFrame) -> DataFrame:
     """Item-weighted on purpose: the question is about products."""
     keys = ["product_category_name_english"]
-    metrics = items.groupBy(*keys).agg(
-        F.min("product_category_name").alias("product_category_name_pt"),
+    measures = [
         _rows().alias("items_cnt"),
-        F.countDistinct("order_id").alias("orders_cnt"),
-        F.countDistinct("seller_id").alias("sellers_cnt"),
         F.sum("item_total").alias("total_revenue"),
         F.avg("price").alias("avg_price"),
         F.avg("freight_share").alias("avg_freight_share"),
@@ -89,8 +87,15 @@ def mart_delivery_quality_by_category(items: DataFrame) -> DataFrame:
         F.avg("delivery_days").alias("avg_delivery_days"),
         _bad_review_rate(),
         F.avg("review_score").alias("avg_review_score"),
-    )
-    return _with_percentile(metrics, items, keys, "price", "p95_price").select(
+    ]
+    return group_metrics(
+        items,
+        keys,
+        measures,
+        distinct={"orders_cnt": "order_id", "sellers_cnt": "seller_id"},
+        labels={"product_category_name_pt": "product_category_name"},
+        percentiles={"p95_price": ("price", 0.95)},
+    ).select(
         *keys,
         "product_category_name_pt",
         "items_cnt",
@@ -110,10 +115,8 @@ def mart_delivery_quality_by_category(items: DataFrame) -> DataFrame:
 
 def mart_delivery_quality_by_state(orders: DataFrame) -> DataFrame:
     keys = ["customer_state"]
-    metrics = orders.groupBy(*keys).agg(
-        F.min("customer_region").alias("customer_region"),
+    measures = [
         _rows().alias("orders_cnt"),
-        F.countDistinct("customer_unique_id").alias("unique_customers"),
         F.sum("distinct_sellers_cnt").alias("seller_links_cnt"),
         F.sum("order_value").alias("total_revenue"),
         F.avg("order_value").alias("avg_order_value"),
@@ -125,8 +128,15 @@ def mart_delivery_quality_by_state(orders: DataFrame) -> DataFrame:
         _bad_review_rate(),
         F.avg("review_score").alias("avg_review_score"),
         F.avg("customer_seller_distance_km").alias("avg_distance_km"),
-    )
-    return _with_percentile(metrics, orders, keys, "delivery_days", "p95_delivery_days").select(
+    ]
+    return group_metrics(
+        orders,
+        keys,
+        measures,
+        distinct={"unique_customers": "customer_unique_id"},
+        labels={"customer_region": "customer_region"},
+        percentiles={"p95_delivery_days": ("delivery_days", 0.95)},
+    ).select(
         *keys,
         "customer_region",
         "orders_cnt",
@@ -147,35 +157,33 @@ def mart_delivery_quality_by_state(orders: DataFrame) -> DataFrame:
 
 
 def mart_hourly_order_pattern(orders: DataFrame) -> DataFrame:
+    keys = ["order_dow", "order_hour"]
     dow = F.col("order_dow")
-    return (
-        orders.groupBy("order_dow", "order_hour")
-        .agg(
-            _rows().alias("orders_cnt"),
-            F.countDistinct("customer_unique_id").alias("unique_customers"),
-            F.sum("order_value").alias("total_revenue"),
-            F.avg("order_value").alias("avg_order_value"),
-            pct(_is("is_large_order"), _rows()).alias("large_order_share"),
-            _is("is_delivered").alias("delivered_cnt"),
-            _late_rate(),
-            _bad_review_rate(),
-            pct(_is("is_canceled"), _rows()).alias("cancel_rate"),
-        )
-        .select(
-            "order_dow",
-            "order_hour",
-            weekday_name(dow).alias("dow_name"),
-            flag(dow >= 6).alias("is_weekend"),
-            "orders_cnt",
-            "unique_customers",
-            "total_revenue",
-            "avg_order_value",
-            "large_order_share",
-            "delivered_cnt",
-            "late_delivery_rate",
-            "bad_review_rate",
-            "cancel_rate",
-        )
+    measures = [
+        _rows().alias("orders_cnt"),
+        F.sum("order_value").alias("total_revenue"),
+        F.avg("order_value").alias("avg_order_value"),
+        pct(_is("is_large_order"), _rows()).alias("large_order_share"),
+        _is("is_delivered").alias("delivered_cnt"),
+        _late_rate(),
+        _bad_review_rate(),
+        pct(_is("is_canceled"), _rows()).alias("cancel_rate"),
+    ]
+    return group_metrics(
+        orders, keys, measures, distinct={"unique_customers": "customer_unique_id"}
+    ).select(
+        *keys,
+        weekday_name(dow).alias("dow_name"),
+        flag(dow >= 6).alias("is_weekend"),
+        "orders_cnt",
+        "unique_customers",
+        "total_revenue",
+        "avg_order_value",
+        "large_order_share",
+        "delivered_cnt",
+        "late_delivery_rate",
+        "bad_review_rate",
+        "cancel_rate",
     )
 
 
@@ -227,17 +235,12 @@ def mart_customer_value_profile(orders: DataFrame, settings: Settings = Settings
 def mart_seller_analytics(items: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Seller scorecard. Rates are item-weighted.
 
-    Categories are reduced to one row per seller and category first, so the list is built from
-    those few rows and the main aggregation stays a hash aggregation.
+    Labels and categories are reduced to their distinct combinations per seller first, so the
+    category list is built from those few rows.
     """
-    metrics = items.groupBy("seller_id").agg(
-        F.min("seller_state").alias("seller_state"),
-        F.min("seller_city").alias("seller_city"),
-        F.min("seller_region").alias("seller_region"),
+    keys = ["seller_id"]
+    measures = [
         _rows().alias("items_sold"),
-        F.countDistinct("order_id").alias("orders_cnt"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.countDistinct("customer_state").alias("states_served"),
         F.sum("item_total").alias("total_revenue"),
         F.avg("price").alias("avg_price"),
         F.sum("freight_value").alias("total_freight"),
@@ -248,23 +251,26 @@ def mart_seller_analytics(items: DataFrame, settings: Settings = Settings()) ->
         _bad_review_rate(),
         F.avg("review_score").alias("avg_review_score"),
         F.avg("customer_seller_distance_km").alias("avg_distance_km"),
-    )
+    ]
+    distinct = {"orders_cnt": "order_id", "unique_products": "product_id", "states_served": "customer_state"}
+    metrics = group_metrics(items, keys, measures, distinct=distinct)
     category = F.col("product_category_name_english")
-    categories = (
-        items.select("seller_id", category)
+    labels = (
+        items.select("seller_id", "seller_state", "seller_city", "seller_region", category)
         .distinct()
         .groupBy("seller_id")
         .agg(
-            F.count(category).alias("unique_categories"),
-            F.when(F.count(category) > 0, F.array_join(F.array_sort(F.collect_list(category)), ", ")).alias(
-                "categories"
-            ),
+            F.min("seller_state").alias("seller_state"),
+            F.min("seller_city").alias("seller_city"),
+            F.min("seller_region").alias("seller_region"),
+            F.size(F.collect_set(category)).alias("unique_categories"),
+            string_agg_distinct(category).alias("categories"),
         )
     )
     slow = (F.col("orders_cnt") >= settings.seller_min_orders) & (
         F.col("late_delivery_rate") > settings.seller_late_rate_threshold
     )
-    return join_on_keys(metrics, categories, ["seller_id"], "left").select(
+    return join_on_keys(metrics, labels, keys, "left").select(
         "seller_id",
         "seller_state",
         "seller_city",

@@ -37,19 +37,28 @@ def stg_customers(customers: DataFrame) -> DataFrame:
 
 
 def stg_geolocation(geolocation: DataFrame) -> DataFrame:
-    """Centroid per zip prefix. Outliers go before averaging, or they would drag the centroid."""
+    """Centroid per zip prefix. Outliers go before averaging, or they would drag the centroid.
+
+    Points collapse per prefix, city and state by hashing; the string minima, which need sorting,
+    see only those sums.
+    """
     inside = F.col("geolocation_lat").between(*LATITUDE) & F.col("geolocation_lng").between(*LONGITUDE)
-    return (
+    places = (
         geolocation.where(inside)
-        .groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"))
+        .groupBy("geolocation_zip_code_prefix", "geolocation_city", "geolocation_state")
         .agg(
-            F.avg("geolocation_lat").alias("latitude"),
-            F.avg("geolocation_lng").alias("longitude"),
-            F.min("geolocation_city").alias("city"),
-            F.min("geolocation_state").alias("state"),
-            F.count(F.lit(1)).alias("points_cnt"),
+            F.sum("geolocation_lat").alias("lat"),
+            F.sum("geolocation_lng").alias("lng"),
+            F.count(F.lit(1)).alias("points"),
         )
     )
+    return places.groupBy(F.col("geolocation_zip_code_prefix").alias("zip_code_prefix")).agg(
+        (F.sum("lat") / F.sum("points")).alias("latitude"),
+        (F.sum("lng") / F.sum("points")).alias("longitude"),
+        F.min("geolocation_city").alias("city"),
+        F.min("geolocation_state").alias("state"),
+        F.sum("points").alias("points_cnt"),
+    )
 
 
 def stg_order_items(order_items: DataFrame) -> DataFrame:

@@ -48,7 +48,6 @@ DATASETS = (*STAGING, *INTERMEDIATE, *MARTS)
 # Written once and read back, for the reasons given above.
 SHARED = frozenset(
     {
-        "product_category_name_translation",
         "seed_state_region",
         "stg_geolocation",
         "stg_products",

@@ -175,8 +175,9 @@ def geolocation(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def translation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(TRANSLATION), "product_category_name string, product_category_name_english string"
+    rows = ", ".join(f"('{name}', '{english}')" for name, english in TRANSLATION)
+    return spark.sql(
+        f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)"
     )
 
 
@@ -188,9 +189,23 @@ def state_region(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def _read(spark: SparkSession, folder: str, name: str, *keys: str) -> DataFrame:
+    """A table; one whose file has fewer splits than there are cores is spread over the cores.
+
+    A file with a single row group would otherwise keep all but one core idle. Tables of many files
+    are read as they are, without a shuffle.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if keys and df.rdd.getNumPartitions() < cores else df
+
+
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    t = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in names}
+    names = ("region", "nation", "customer", "supplier", "part")
+    t = {name: _read(spark, folder, name) for name in names}
+    t["orders"] = _read(spark, folder, "orders", "o_orderkey", "o_custkey")
+    t["lineitem"] = _read(spark, folder, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    t["events"] = _read(spark, folder, "events", "event_id", "user_id")
     return {
         "orders": orders(t),
         "order_items": order_items(t),

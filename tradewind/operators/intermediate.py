@@ -36,27 +36,25 @@ def int_order_distance(
 ) -> DataFrame:
     """Kilometres from the buyer to the nearest seller of the order.
 
-    Sellers get their coordinates before the sellers meet the items, and orders theirs before they
-    meet the items, so the item rows are shuffled once, on order_id, and carry two numbers.
+    Dimensions join the facts one by one, each as the table it is, so the planner knows its size.
+    Orders meet their customers before the items, so item rows are shuffled once, on order_id, and
+    carry two numbers.
     """
-    seller_points = _located(
-        sellers.select("seller_id", "seller_zip_code_prefix"), "seller_zip_code_prefix", geo, "seller"
-    ).select("seller_id", "seller_lat", "seller_lon")
-    sold = (
-        items.select("order_id", "seller_id")
-        .join(seller_points, "seller_id")
-        .select("order_id", "seller_lat", "seller_lon")
+    sold = items.select("order_id", "seller_id").join(
+        sellers.select("seller_id", "seller_zip_code_prefix"), "seller_id"
     )
-    buyers = (
-        orders.select("order_id", "customer_id")
-        .join(customers.select("customer_id", "customer_zip_code_prefix"), "customer_id")
+    seller_points = _located(sold, "seller_zip_code_prefix", geo, "seller").select(
+        "order_id", "seller_lat", "seller_lon"
+    )
+    buyers = orders.select("order_id", "customer_id").join(
+        customers.select("customer_id", "customer_zip_code_prefix"), "customer_id"
     )
     buyer_points = _located(buyers, "customer_zip_code_prefix", geo, "customer").select(
         "order_id", "customer_lat", "customer_lon"
     )
     distance = haversine_km(*map(F.col, ("customer_lat", "customer_lon", "seller_lat", "seller_lon")))
     return (
-        sold.join(buyer_points, "order_id")
+        seller_points.join(buyer_points, "order_id")
         .groupBy("order_id")
         .agg(F.min(distance).alias("customer_seller_distance_km"))
     )

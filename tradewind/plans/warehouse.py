@@ -83,12 +83,12 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_files(cls, spark: SparkSession, folder: str, fmt: str = "csv", **options) -> Warehouse:
-        return cls(spark, raw_source.load_all_raw(spark, folder, fmt), **options)
+    def from_files(cls, spark: SparkSession, source: str, fmt: str = "csv", **options) -> Warehouse:
+        return cls(spark, raw_source.load_all_raw(spark, source, fmt), **options)
 
     @classmethod
-    def from_tpch(cls, spark: SparkSession, folder: str, **options) -> Warehouse:
-        return cls(spark, tpch.raw_tables(spark, folder), **options)
+    def from_tpch(cls, spark: SparkSession, source: str, **options) -> Warehouse:
+        return cls(spark, tpch.raw_tables(spark, source), **options)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:

@@ -4,7 +4,7 @@ One aggregation over everything would be dragged down to its weakest part: a min
 turns hash aggregation into sorting, and a distinct count shuffles all other measures per distinct
 value. So sums and counts collapse to one row per group before any shuffle, distinct counts travel
 as bare (group, value) pairs, labels as their few distinct values, and the results, one row per
-group each, are joined.
+group each, are merged.
 """
 
 from __future__ import annotations
@@ -15,7 +15,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.ranking import grouped_percentile, join_on_keys
+from tradewind.functions.ranking import grouped_percentile
+
+
+def merge_groups(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One row per keys with the columns of all parts; each part has at most one row per keys.
+
+    The parts are stacked and grouped once. Unlike a chain of joins this is a single shuffle of
+    group rows, and NULL keys need no special equality.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in keys])
 
 
 def group_metrics(
@@ -26,11 +36,12 @@ def group_metrics(
     distinct: Mapping[str, str] | None = None,
     labels: Mapping[str, str] | None = None,
     percentiles: Mapping[str, tuple[str, float]] | None = None,
+    more: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Measures, distinct counts, first labels (string minimum) and exact percentiles per keys.
 
-    ``distinct`` and ``labels`` map an output name to a column, ``percentiles`` to (column, q).
-    NULL keys are a group.
+    ``distinct`` and ``labels`` map an output name to a column, ``percentiles`` to (column, q);
+    ``more`` are further frames with one row per keys. NULL keys are a group.
     """
     parts = [df.groupBy(*keys).agg(*measures)]
     if distinct:
@@ -46,5 +57,4 @@ def group_metrics(
         )
     for name, (column, q) in (percentiles or {}).items():
         parts.append(grouped_percentile(df, keys, column, q, name))
-    # A group without a single value of a column has no percentile row, hence "left".
-    return reduce(lambda a, b: join_on_keys(a, b, keys, "left"), parts)
+    return merge_groups([*parts, *more], keys)

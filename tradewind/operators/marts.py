@@ -18,7 +18,6 @@ from tradewind.functions.expressions import (
     weekday_name,
 )
 from tradewind.functions.grouping import group_metrics
-from tradewind.functions.ranking import join_on_keys
 
 
 def _rows() -> Column:
@@ -253,7 +252,6 @@ def mart_seller_analytics(items: DataFrame, settings: Settings = Settings()) ->
         F.avg("customer_seller_distance_km").alias("avg_distance_km"),
     ]
     distinct = {"orders_cnt": "order_id", "unique_products": "product_id", "states_served": "customer_state"}
-    metrics = group_metrics(items, keys, measures, distinct=distinct)
     category = F.col("product_category_name_english")
     labels = (
         items.select("seller_id", "seller_state", "seller_city", "seller_region", category)
@@ -270,7 +268,7 @@ def mart_seller_analytics(items: DataFrame, settings: Settings = Settings()) ->
     slow = (F.col("orders_cnt") >= settings.seller_min_orders) & (
         F.col("late_delivery_rate") > settings.seller_late_rate_threshold
     )
-    return join_on_keys(metrics, labels, keys, "left").select(
+    return group_metrics(items, keys, measures, distinct=distinct, more=[labels]).select(
         "seller_id",
         "seller_state",
         "seller_city",

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tradewind.config import AnomalySettings, Settings, TrainingSettings
 from tradewind.functions import expressions as x
-from tradewind.functions.ranking import grouped_percentile, join_on_keys
+from tradewind.functions.grouping import merge_groups
+from tradewind.functions.ranking import grouped_percentile
 from tradewind.ml import checks as ml_checks
 from tradewind.ml import dataset, metrics, model
 from tradewind.operators import intermediate, marts, staging
@@ -82,11 +83,9 @@ def sink_train_holdout(w: Warehouse) -> DataFrame:
 
 def seller_price_percentiles(w: Warehouse) -> DataFrame:
     items = w.table("int_order_items_enriched")
-    low, middle, high = (
-        grouped_percentile(items, ["seller_id"], "price", q, name)
-        for q, name in ((0.05, "p05_price"), (0.5, "median_price"), (0.95, "p95_price"))
-    )
-    return join_on_keys(join_on_keys(low, middle, ["seller_id"]), high, ["seller_id"])
+    wanted = ((0.05, "p05_price"), (0.5, "median_price"), (0.95, "p95_price"))
+    parts = [grouped_percentile(items, ["seller_id"], "price", q, name) for q, name in wanted]
+    return merge_groups(parts, ["seller_id"])
 
 
 def state_categories(w: Warehouse) -> DataFrame:

@@ -1,7 +1,7 @@
 """Column types of every registered query, in output order.
 
 One letter per column: i integer, s text, d date, t timestamp, b boolean, m money (2 digits),
-k kilometres (6 digits), f freight share (12 digits, as a ratio of cents can end in a tie at fewer),
+k kilometres (6 digits), f freight share (10 digits: a ratio of cents may end in a tie at fewer),
 r any other real number (8 digits). Reals are rounded because two engines add floats in different
 orders; sums of cents are exact at two digits.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = {"m": 2, "k": 6, "r": 8, "f": 12}
+DIGITS = {"m": 2, "k": 6, "r": 8, "f": 10}
 SPARK_TYPES = {"i": "bigint", "s": "string", "d": "date", "t": "timestamp_ntz", "b": "boolean"}
 SQL_TYPES = {"i": "BIGINT", "s": "VARCHAR", "d": "DATE", "t": "TIMESTAMP", "b": "BOOLEAN"}
 

@@ -1,9 +1,11 @@
 """Column types of every registered query, in output order.
 
 One letter per column: i integer, s text, d date, t timestamp, b boolean, m money (2 digits),
-k kilometres (6 digits), f freight share (10 digits: a ratio of cents may end in a tie at fewer),
-r any other real number (8 digits). Reals are rounded because two engines add floats in different
-orders; sums of cents are exact at two digits.
+k kilometres (6 digits), r any other real number (single precision, then 6 digits).
+
+Two engines add floats in different orders, so reals are compared with their last digits dropped.
+Sums of cents are exact at two digits. An average of cents can end exactly halfway between two
+decimals, where noise would decide; single precision has no such boundary there.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = {"m": 2, "k": 6, "r": 8, "f": 10}
+DIGITS = {"m": 2, "k": 6, "r": 6}
 SPARK_TYPES = {"i": "bigint", "s": "string", "d": "date", "t": "timestamp_ntz", "b": "boolean"}
 SQL_TYPES = {"i": "BIGINT", "s": "VARCHAR", "d": "DATE", "t": "TIMESTAMP", "b": "BOOLEAN"}
 
@@ -23,7 +25,7 @@ CONTRACTS = {
     " customer_state:s",
     "stg_geolocation": "zip_code_prefix:i latitude:r longitude:r city:s state:s points_cnt:i",
     "stg_order_items": "order_id:i order_item_id:i product_id:i seller_id:i shipping_limit_date:t price:m"
-    " freight_value:m item_total:m freight_share:f price_segment:s",
+    " freight_value:m item_total:m freight_share:r price_segment:s",
     "stg_order_payments": "order_id:i payment_total:m payments_cnt:i max_installments:i main_payment_type:s"
     " payment_types:s",
     "stg_order_reviews": "review_id:i order_id:i review_score:i review_comment_title:s"
@@ -45,7 +47,7 @@ CONTRACTS = {
     " main_payment_type:s max_installments:i review_score:i is_bad_review:i is_good_review:i has_review:i"
     " customer_seller_distance_km:k",
     "int_order_items_enriched": "order_id:i order_item_id:i price:m freight_value:m item_total:m"
-    " freight_share:f price_segment:s product_id:i product_category_name:s product_category_name_english:s"
+    " freight_share:r price_segment:s product_id:i product_category_name:s product_category_name_english:s"
     " product_weight_g:r product_volume_cm3:r seller_id:i seller_state:s seller_city:s seller_region:s"
     " order_purchase_date:d order_hour:i order_dow:i customer_state:s customer_region:s order_status:s"
     f" {ORDER_FLAGS} review_score:i is_bad_review:i has_review:i customer_seller_distance_km:k",
@@ -53,7 +55,7 @@ CONTRACTS = {
     " unique_customers:i total_revenue:m avg_order_value:r p95_order_value:r large_order_share:m"
     " delivered_cnt:i late_delivery_rate:m bad_review_rate:m avg_delivery_days:r",
     "mart_delivery_quality_by_category": "product_category_name_english:s product_category_name_pt:s"
-    " items_cnt:i orders_cnt:i sellers_cnt:i total_revenue:m avg_price:r p95_price:r avg_freight_share:f"
+    " items_cnt:i orders_cnt:i sellers_cnt:i total_revenue:m avg_price:r p95_price:r avg_freight_share:r"
     " delivered_cnt:i late_delivery_rate:m avg_delivery_days:r bad_review_rate:m avg_review_score:r",
     "mart_delivery_quality_by_state": "customer_state:s customer_region:s orders_cnt:i unique_customers:i"
     " seller_links_cnt:i total_revenue:m avg_order_value:r total_freight:m freight_share_pct:m"
@@ -71,7 +73,7 @@ CONTRACTS = {
     " avg_price:r total_freight:m delivered_cnt:i late_delivery_rate:m avg_delivery_days:r reviewed_cnt:i"
     " bad_review_rate:m avg_review_score:r avg_distance_km:k is_underperforming:i",
     "mart_order_features": "order_id:i is_late_delivery:i items_cnt:i distinct_products_cnt:i"
-    " distinct_sellers_cnt:i items_value:m freight_value:m order_value:m freight_share:f is_large_order:i"
+    " distinct_sellers_cnt:i items_value:m freight_value:m order_value:m freight_share:r is_large_order:i"
     " main_payment_type:s max_installments:i customer_state:s customer_region:s"
     " customer_seller_distance_km:k order_hour:i order_dow:i purchase_month:i"
     " estimated_delivery_span_days:i main_product_category:s total_weight_g:r total_volume_cm3:r"
@@ -94,7 +96,7 @@ CONTRACTS = {
     "seller_price_percentiles": "seller_id:i p05_price:r median_price:r p95_price:r",
     "state_categories": "customer_state:s categories:s",
     "class_balance": "positive_rate:r known_cnt:i unknown_cnt:i",
-    "price_segments": "price_segment:s items_cnt:i freight_share:f",
+    "price_segments": "price_segment:s items_cnt:i freight_share:r",
     "order_calendar": "order_dow:i dow_name:s purchase_month:i order_hour:i orders_cnt:i avg_delay_days:r",
     "seller_state_distance": "seller_state:s customer_state:s nearest_km:k mean_km:k",
     "anomalies_short_window": "order_date:d orders_cnt:i z_score:r is_anomaly:i anomaly_direction:s",
@@ -107,7 +109,7 @@ CONTRACTS = {
     "dq_stored_failures": "customer_region:s failing_cnt:i",
     "dq_duplicate_lines": "order_id:i line_number:i n_records:i",
     # Training
-    "ml_features": "order_id:i items_cnt:r order_value:m freight_share:f max_installments:r"
+    "ml_features": "order_id:i items_cnt:r order_value:m freight_share:r max_installments:r"
     " customer_seller_distance_km:k estimated_delivery_span_days:r purchase_month:r total_weight_g:r"
     " customer_state:s main_payment_type:s is_late_delivery:i",
     "ml_split": "order_id:i bucket:i part:s",
@@ -133,7 +135,7 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     """Columns, types and rounding of the contract."""
     return df.select(
         *[
-            F.round(F.col(c).cast("double"), DIGITS[kind]).alias(c)
+            F.round(F.col(c).cast("float" if kind == "r" else "double").cast("double"), DIGITS[kind]).alias(c)
             if kind in DIGITS
             else F.col(c).cast(SPARK_TYPES[kind]).alias(c)
             for c, kind in columns(name)
@@ -143,7 +145,7 @@ def conform(name: str, df: DataFrame) -> DataFrame:
 
 def conform_sql(name: str, sql: str) -> str:
     picked = ", ".join(
-        f"round(CAST({c} AS DOUBLE), {DIGITS[kind]}) AS {c}"
+        f"round(CAST(CAST({c} AS {'FLOAT' if kind == 'r' else 'DOUBLE'}) AS DOUBLE), {DIGITS[kind]}) AS {c}"
         if kind in DIGITS
         else f"CAST({c} AS {SQL_TYPES[kind]}) AS {c}"
         for c, kind in columns(name)

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import simhash
+from tradewind.llm import packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_quality": quality.op2_quality,
+    "op3_packing": packing.op3_packing,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}

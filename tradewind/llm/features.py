@@ -28,6 +28,14 @@ class Scan:
     end: np.ndarray
     first_word: np.ndarray  # of each text, and one past the last
     hash: np.ndarray
+    sums: np.ndarray
+    inverse: np.ndarray
+
+    def prefix_hash(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers, hashes of their first ``size`` bytes) of the words that are longer."""
+        longer = np.flatnonzero(self.end - self.start > size)
+        at = self.start[longer]
+        return longer, mixed((self.sums[at + size] - self.sums[at]) * self.inverse[at] + np.uint64(size))
 
     @property
     def text_of(self) -> np.ndarray:
@@ -69,6 +77,8 @@ def scan(texts: list[bytes]) -> Scan:
         end,
         np.searchsorted(start, np.r_[text_start, len(raw)]),
         mixed((sums[end] - sums[start]) * powers[start]),
+        sums,
+        powers,
     )
 
 

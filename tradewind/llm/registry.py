@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import packing, quality, simhash, toxicity
+from tradewind.llm import lines, mixing, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality": quality.op2_quality,
     "op3_packing": packing.op3_packing,
+    "op7_lines": lines.op7_lines,
+    "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_lines": lines.OP7_SQL, "op8_mixing": mixing.OP8_SQL}

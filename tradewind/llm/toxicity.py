@@ -2,8 +2,9 @@
 
 P(grade <= k) is the logistic function of a threshold minus one linear score, so the weights are
 shared by all grades and only the ordered thresholds differ. The features are the distinct words of
-the whole text, hashed. Labels tell toxic from clean; the severity of a toxic example is graded by
-how many occurrences of marker words (words seen almost only in toxic examples of the sample) it has.
+the whole text and the distinct beginnings of longer words (so that inflected forms of a stem count
+together), hashed to 32 bits. Labels tell toxic from clean; the severity of a toxic example is graded
+by how many marker features (those seen almost only in toxic examples of the sample) it has.
 """
 
 from __future__ import annotations
@@ -18,18 +19,19 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import documents, text_or_empty
 from tradewind.llm.features import Sparse, Scan, chunks, labelled_sample, scan, utf8
 
-SAMPLE_PER_CLASS = 4000  # bound of the fitting sample, per class
-BITS = 18
-MOST_FEATURES, LEAST_Z = 4000, 4.0
-GRADE_FROM = (1, 3, 6)  # marker occurrences from which a toxic example has grade 1, 2, 3
+SAMPLE_PER_CLASS = 3000  # bound of the fitting sample, per class
+PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes
+MOST_FEATURES, LEAST_Z = 2000, 5.0
+GRADES = 4  # 0 is clean; toxic examples get 1 to 3 by thirds of their marker features
 REJECT_FROM = 0.5
+_SIEVE_BITS = 16
 
 
 @dataclass
 class Model:
-    buckets: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # sorted
+    features: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint32))  # sorted
     weights: np.ndarray = field(default_factory=lambda: np.empty(0))
-    thresholds: np.ndarray = field(default_factory=lambda: np.full(len(GRADE_FROM), 50.0))
+    thresholds: np.ndarray = field(default_factory=lambda: np.full(GRADES - 1, 50.0))
 
     def grades(self, score: np.ndarray) -> np.ndarray:
         """P(grade = k), one row per score."""
@@ -50,37 +52,38 @@ def _letters_only(text: bytes) -> bytes:
     return text.translate(_PUNCTUATION)
 
 
-def _buckets(s: Scan) -> np.ndarray:
-    return (s.hash >> np.uint64(64 - BITS)).astype(np.int64)
+def _features(s: Scan):
+    """(word numbers, 32-bit features): every word, and every beginning of a longer one."""
+    high = np.uint64(32)
+    yield np.arange(len(s.hash)), (s.hash >> high).astype(np.uint32)
+    for size in PREFIXES:
+        words, code = s.prefix_hash(size)
+        yield words, (code >> high).astype(np.uint32)
 
 
 # --- fitting -------------------------------------------------------------------------------------
 
 
 def word_rows(sample: DataFrame) -> DataFrame:
-    """(doc_id, label, columns, counts): hashed words of a sample of (doc_id, text, label)."""
+    """(doc_id, label, features): the distinct features of a sample of (doc_id, text, label)."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for _, part in chunks([_letters_only(t) for t in utf8(batch.column("text"))]):
                 s = scan(part)
-                of = _buckets(s)
-                for a, b in zip(s.first_word, s.first_word[1:]):
-                    rows.append(np.unique(of[a:b], return_counts=True))
+                text = s.text_of.astype(np.uint64) << np.uint64(32)
+                both = np.unique(np.concatenate([text[w] | f for w, f in _features(s)]))
+                cuts = np.searchsorted(both, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(32))
+                rows += [both[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("label"),
-                    pa.array([c for c, _ in rows], pa.list_(pa.int64())),
-                    pa.array([n for _, n in rows], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "label", "columns", "counts"],
+                [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())],
+                names=["doc_id", "label", "features"],
             )
 
     id_type = sample.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, label int, columns array<bigint>, counts array<bigint>"
-    return sample.select("doc_id", "label", "text").mapInArrow(run, schema)
+    picked = sample.select("doc_id", "label", "text")
+    return picked.mapInArrow(run, f"doc_id {id_type}, label int, features binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
@@ -95,40 +98,47 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     toxic = np.array([r["label"] for r in found], dtype=bool)
     if toxic.all() or not toxic.any():
         return Model()
-    rows = [(np.array(r["columns"], np.int64), np.array(r["counts"], np.int64)) for r in found]
-    size = 1 << BITS
-    everywhere = np.bincount(np.concatenate([c for c, _ in rows]), minlength=size)
-    in_toxic = np.bincount(np.concatenate([c for (c, _), t in zip(rows, toxic) if t]), minlength=size)
-    least = max(3, int(0.005 * toxic.sum()))
-    marker = (in_toxic >= least) & (in_toxic >= 0.9 * everywhere)
-    hits = np.array([n[marker[c]].sum() for c, n in rows])
-    grade = np.where(toxic, np.maximum(np.searchsorted(GRADE_FROM, hits, side="right"), 1), 0)
-    # Words whose share in toxic examples stands out in both halves of the sample by a z score, so that
-    # words of single examples, or of a few alike ones, are not learnt by heart.
+    rows = [np.frombuffer(r["features"], dtype=np.uint32) for r in found]
+    least = max(4, int(0.005 * toxic.sum()))
+    # Features that stand out in both halves of the sample by a z score, so that the words of single
+    # examples, or of a few alike ones, are not learnt by heart.
     half = np.arange(len(rows)) % 2
-    z = np.minimum(*(_stand_out(rows, toxic, half == h, least) for h in (0, 1)))
-    chosen = np.sort(np.argsort(-z, kind="stable")[:MOST_FEATURES])
-    chosen = chosen[z[chosen] >= LEAST_Z]
-    place = np.full(size, -1)
-    place[chosen] = np.arange(len(chosen))
-    kept = [place[c][place[c] >= 0] for c, _ in rows]
-    x = Sparse.of([(c, np.ones(len(c))) for c in kept], max(len(chosen), 1))
-    weights, thresholds = cumulative_link(x, grade, len(GRADE_FROM) + 1)
-    return Model(chosen, weights[: len(chosen)], thresholds)
-
-
-def _stand_out(rows, toxic: np.ndarray, part: np.ndarray, least: int) -> np.ndarray:
-    """Per bucket: deviations by which its number of toxic examples is off what chance would give."""
-    size = 1 << BITS
-    empty = np.empty(0, np.int64)
-    everywhere = np.bincount(np.concatenate([empty, *(c for (c, _), p in zip(rows, part) if p)]), minlength=size)
-    in_toxic = np.bincount(
-        np.concatenate([empty, *(c for (c, _), p, t in zip(rows, part, toxic) if p and t)]), minlength=size
-    )
-    n, bad = max(int(part.sum()), 1), int(toxic[part].sum())
-    share = everywhere / n
-    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * max(bad, 1))
-    return np.where(everywhere >= max(2, least // 2), np.abs(in_toxic - share * bad) / spread, 0)
+    names, z = None, None
+    for h in (0, 1):
+        own, score = _stand_out([r for r, x in zip(rows, half) if x == h], toxic[half == h], least // 2)
+        if names is None:
+            names, z = own, score
+        else:
+            names, a, b = np.intersect1d(names, own, assume_unique=True, return_indices=True)
+            z = np.minimum(z[a], score[b])
+    best = np.argsort(-z, kind="stable")[:MOST_FEATURES]
+    chosen = np.sort(names[best[z[best] >= LEAST_Z]])
+    if not len(chosen):
+        return Model()
+    kept = []
+    for r in rows:
+        at = np.minimum(np.searchsorted(chosen, r), len(chosen) - 1)
+        kept.append(at[chosen[at] == r])
+    x = Sparse.of([(c, np.ones(len(c))) for c in kept], len(chosen))
+    everywhere = np.bincount(x.column, minlength=len(chosen))
+    in_toxic = np.bincount(x.column, weights=np.repeat(toxic, np.diff(x.first)), minlength=len(chosen))
+    hits = x.dot((in_toxic >= 0.9 * everywhere).astype(np.float64))
+    thirds = np.quantile(hits[toxic], [1 / 3, 2 / 3])
+    grade = np.where(toxic, 1 + (hits > thirds[0]) + (hits > thirds[1]), 0).astype(np.int64)
+    weights, thresholds = cumulative_link(x, grade, GRADES)
+    return Model(chosen, weights, thresholds)
+
+
+def _stand_out(rows, toxic: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(features, deviations by which a feature's number of toxic examples is above chance)."""
+    names, place = np.unique(np.concatenate(rows), return_inverse=True)
+    everywhere = np.bincount(place, minlength=len(names))
+    bad = np.repeat(toxic, [len(r) for r in rows])
+    in_toxic = np.bincount(place, weights=bad, minlength=len(names))
+    share = everywhere / len(rows)
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * max(toxic.sum(), 1))
+    often = everywhere >= max(2, least)
+    return names[often], ((in_toxic - share * toxic.sum()) / spread)[often]
 
 
 def cumulative_link(
@@ -174,15 +184,32 @@ def cumulative_link(
 # --- scoring -------------------------------------------------------------------------------------
 
 
-def _scores(part: list[bytes], model: Model) -> np.ndarray:
-    s = scan([_letters_only(t) for t in part])
-    of = _buckets(s)
-    at = np.searchsorted(model.buckets, of)
-    known = np.flatnonzero(model.buckets[np.minimum(at, len(model.buckets) - 1)] == of)
-    pairs = np.unique(s.text_of[known] * len(model.buckets) + at[known])  # each word once per text
-    return np.bincount(
-        pairs // len(model.buckets), weights=model.weights[pairs % len(model.buckets)], minlength=len(part)
-    )
+def _slim(model: Model) -> Model:
+    live = model.weights != 0
+    return Model(model.features[live], model.weights[live], model.thresholds)
+
+
+def _scores(texts: list[bytes], model: Model) -> np.ndarray:
+    """Sum of the weights of the distinct features of each text."""
+    score = np.zeros(len(texts))
+    if not len(model.features):
+        return score
+    shift = np.uint32(32 - _SIEVE_BITS)
+    sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
+    sieve[model.features >> shift] = True
+    for first, part in chunks([_letters_only(t) for t in texts]):
+        s = scan(part)
+        text, found = s.text_of, []
+        for words, features in _features(s):
+            maybe = np.flatnonzero(sieve[features >> shift])  # few, and only these are looked up
+            at = np.minimum(np.searchsorted(model.features, features[maybe]), len(model.features) - 1)
+            known = model.features[at] == features[maybe]
+            found.append(text[words[maybe[known]]] * len(model.features) + at[known])
+        pairs = np.unique(np.concatenate(found))
+        score[first : first + len(part)] = np.bincount(
+            pairs // len(model.features), weights=model.weights[pairs % len(model.features)], minlength=len(part)
+        )
+    return score
 
 
 def severities(docs: DataFrame, model: Model) -> DataFrame:
@@ -192,17 +219,11 @@ def severities(docs: DataFrame, model: Model) -> DataFrame:
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     picked = docs.select("doc_id", text_or_empty("text").alias("text"))
-    live = model.weights != 0
-    slim = Model(model.buckets[live], model.weights[live], model.thresholds)
+    slim = _slim(model)
 
     def run(batches):
         for batch in batches:
-            texts = utf8(batch.column("text"))
-            score = np.zeros(len(texts))
-            if len(slim.buckets):
-                for first, part in chunks(texts):
-                    score[first : first + len(part)] = _scores(part, slim)
-            p = slim.grades(score)
+            p = slim.grades(_scores(utf8(batch.column("text")), slim))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -219,18 +240,13 @@ def severities(docs: DataFrame, model: Model) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` whose text is not judged toxic, all columns as they are."""
-    live = model.weights != 0
-    slim = Model(model.buckets[live], model.weights[live], model.thresholds)
+    slim = _slim(model)
     at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             texts = [b"" if v is None else v.encode() for v in batch.column(at).to_pylist()]
-            score = np.zeros(len(texts))
-            if len(slim.buckets):
-                for first, part in chunks(texts):
-                    score[first : first + len(part)] = _scores(part, slim)
-            yield batch.filter(pa.array(1 - slim.grades(score)[:, 0] < REJECT_FROM))
+            yield batch.filter(pa.array(1 - slim.grades(_scores(texts, slim))[:, 0] < REJECT_FROM))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import documents, text_or_empty
 from tradewind.llm.features import Sparse, Scan, chunks, labelled_sample, mixed, scan, total_per_text, utf8
 
-SAMPLE_PER_CLASS = 2000  # bound of the fitting sample, per class
+SAMPLE_PER_CLASS = 1000  # bound of the fitting sample, per class
 BITS, GRAMS, SCALE = 15, (3, 4), 20.0
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 KEEP_FROM, SURE_FROM = 0.5, 0.9
@@ -80,26 +80,26 @@ def _rows(s: Scan):
 
 
 def feature_rows(sample: DataFrame) -> DataFrame:
-    """(doc_id, label, columns, values) of a sample of (doc_id, text, label)."""
+    """(doc_id, label, columns, values) of a sample; the lists as bytes of int32 and float32 numbers."""
 
     def run(batches):
         for batch in batches:
             rows = []
             for _, part in chunks(utf8(batch.column("text"))):
-                rows += [(c.astype(np.int32), v) for c, v in _rows(scan(part))]
+                rows += [(c.astype("<i4").tobytes(), v.astype("<f4").tobytes()) for c, v in _rows(scan(part))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("label"),
-                    pa.array([c for c, _ in rows], pa.list_(pa.int32())),
-                    pa.array([v for _, v in rows], pa.list_(pa.float64())),
+                    pa.array([c for c, _ in rows], pa.binary()),
+                    pa.array([v for _, v in rows], pa.binary()),
                 ],
                 names=["doc_id", "label", "columns", "values"],
             )
 
     id_type = sample.schema["doc_id"].dataType.simpleString()
     picked = sample.select("doc_id", "label", "text")
-    return picked.mapInArrow(run, f"doc_id {id_type}, label int, columns array<int>, values array<double>")
+    return picked.mapInArrow(run, f"doc_id {id_type}, label int, columns binary, values binary")
 
 
 # --- fitting -------------------------------------------------------------------------------------
@@ -111,12 +111,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     Without labelled rows of both kinds nothing can be told apart, and the model keeps everything
     (or nothing, if all labels are 0).
     """
-    found = feature_rows(labelled_sample(docs, labels, "quality", per_class)).orderBy("doc_id").collect()
+    found = feature_rows(labelled_sample(docs, labels, "quality", per_class)).collect()
+    found.sort(key=lambda r: r["doc_id"])
     columns = (2 + len(GRAMS)) << BITS
     y = np.array([r["label"] for r in found], dtype=np.float64)
     if len(set(y)) < 2:
         return Model(np.zeros(columns), 0.0, 0.0, -50.0 if len(y) and not y.any() else 50.0)
-    rows = [(np.array(r["columns"], np.int64), np.array(r["values"])) for r in found]
+    rows = [(np.frombuffer(r["columns"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in found]
     held = np.arange(len(rows)) % 4 == 3
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(rows), dtype=bool)

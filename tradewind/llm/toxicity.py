@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import documents, text_or_empty
 from tradewind.llm.features import Sparse, Scan, chunks, labelled_sample, scan, utf8
 
-SAMPLE_PER_CLASS = 3000  # bound of the fitting sample, per class
+SAMPLE_PER_CLASS = 2500  # bound of the fitting sample, per class
 PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes
 MOST_FEATURES, LEAST_Z = 2000, 5.0
 GRADES = 4  # 0 is clean; toxic examples get 1 to 3 by thirds of their marker features
@@ -94,7 +94,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     sample = labelled_sample(docs, labels, "toxic", per_class).groupBy("text", "label").agg(
         F.min("doc_id").alias("doc_id")
     )
-    found = word_rows(sample).orderBy("doc_id").collect()
+    found = word_rows(sample).collect()
+    found.sort(key=lambda r: r["doc_id"])
     toxic = np.array([r["label"] for r in found], dtype=bool)
     if toxic.all() or not toxic.any():
         return Model()

@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import lines, mixing, packing, quality, secret_scan, simhash, toxicity
+from tradewind.llm import lines, mixing, packing, quality, secret_scan, simhash, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality": quality.op2_quality,
     "op3_packing": packing.op3_packing,
+    "op5_topk": topk.op5_topk,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_lines": lines.op7_lines,
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {"op7_lines": lines.OP7_SQL, "op8_mixing": mixing.OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_topk": topk.OP5_SQL,
+    "op7_lines": lines.OP7_SQL,
+    "op8_mixing": mixing.OP8_SQL,
+}

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import lines, mixing, packing, quality, secret_scan, simhash, topk, toxicity
+from tradewind.llm import katz, lines, mixing, packing, quality, secret_scan, simhash, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality": quality.op2_quality,
     "op3_packing": packing.op3_packing,
+    "op4_katz": katz.op4_katz,
     "op5_topk": topk.op5_topk,
     "op6_secrets": secret_scan.op6_secrets,
     "op7_lines": lines.op7_lines,

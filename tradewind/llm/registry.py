@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import katz, lines, mixing, packing, quality, secret_scan, simhash, topk, toxicity
+from tradewind.llm import katz, lines, mixing, packing, quality, secret_scan, simhash, suffix, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_lines": lines.op7_lines,
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_suffix": suffix.op10_suffix,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_topk": topk.OP5_SQL,

@@ -105,7 +105,9 @@ def _order(epoch: Column, mixture: Mixture) -> Column:
     return F.md5(F.concat_ws("-", F.lit(str(mixture.seed)), epoch.cast("string"), F.col("__key")))
 
 
-def mix(docs: DataFrame, mixture: Mixture, *, domain: Column, tokens: Column) -> DataFrame:
+def mix(
+    docs: DataFrame, mixture: Mixture, *, domain: Column, tokens: Column, epoch: str = "epoch"
+) -> DataFrame:
     """The chosen rows of ``docs``, all columns, plus ``epoch`` (from 0; a row may appear in several).
 
     A row is read while the tokens before it in its leaf's order are fewer than the leaf's budget, so a
@@ -114,7 +116,7 @@ def mix(docs: DataFrame, mixture: Mixture, *, domain: Column, tokens: Column) ->
     column), and equal rows follow each other. An empty table gives none.
     """
     spare = F.md5("text") if "text" in docs.columns else F.lit("")
-    placed = docs.drop("epoch").withColumns(
+    placed = docs.drop(epoch).withColumns(
         {
             "__domain": F.coalesce(domain, F.lit("")),
             "__lang": F.coalesce("lang", F.lit("")),
@@ -134,26 +136,27 @@ def mix(docs: DataFrame, mixture: Mixture, *, domain: Column, tokens: Column) ->
         "budgets",
     )
     cuts = _cuts(narrow, budgets, mixture).select(
-        *[F.col(level).alias(f"c_{level}") for level in LEVELS], "whole", "rest", "cut", "below"
+        *[F.col(level).alias(f"__c_{level}") for level in LEVELS],
+        *[F.col(c).alias(f"__{c}") for c in ("whole", "rest", "cut", "below")],
     )
-    same = [F.col(f"__{level}") == F.col(f"c_{level}") for level in LEVELS]
-    ranked = placed.join(cuts, same).withColumn("__order", _order(F.col("whole"), mixture))
+    same = [F.col(f"__{level}") == F.col(f"__c_{level}") for level in LEVELS]
+    ranked = placed.join(cuts, same).withColumn("__order", _order(F.col("__whole"), mixture))
     bucket = F.substring("__order", 1, 3)
-    names = [c for c in docs.columns if c != "epoch"]
-    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)).alias("epoch")
-    read_whole = ranked.where("whole > 0").select(*names, epochs)
-    before_cut = ranked.where((F.col("rest") > 0) & (F.col("cut").isNull() | (bucket < F.col("cut"))))
+    names = [c for c in docs.columns if c != epoch]
+    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__whole") - 1)).alias(epoch)
+    read_whole = ranked.where("__whole > 0").select(*names, epochs)
+    before_cut = ranked.where((F.col("__rest") > 0) & (F.col("__cut").isNull() | (bucket < F.col("__cut"))))
     order = (
         Window.partitionBy("__domain", "__lang", "__source")
         .orderBy("__order", "__tokens")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     at_cut = (
-        ranked.where((F.col("rest") > 0) & (bucket == F.col("cut")))  # one bucket of a leaf
-        .withColumn("__before", F.col("below") + F.coalesce(F.sum("__tokens").over(order), F.lit(0)))
-        .where("__before < rest")
+        ranked.where((F.col("__rest") > 0) & (bucket == F.col("__cut")))  # one bucket of a leaf
+        .withColumn("__before", F.col("__below") + F.coalesce(F.sum("__tokens").over(order), F.lit(0)))
+        .where("__before < __rest")
     )
-    last = [r.select(*names, F.col("whole").alias("epoch")) for r in (before_cut, at_cut)]
+    last = [r.select(*names, F.col("__whole").alias(epoch)) for r in (before_cut, at_cut)]
     return read_whole.unionAll(last[0]).unionAll(last[1])
 
 

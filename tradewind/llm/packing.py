@@ -159,25 +159,25 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> Da
 
     Every row is placed, repeated rows and rows without a doc_id like any other.
     """
-    rows = written(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    salted = rows.withColumn("salt", F.pmod("uid", F.lit(salts)))
-    sizes = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
+    rows = written(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
+    salted = rows.withColumn("__salt", F.pmod("__uid", F.lit(salts)))
+    sizes = salted.groupBy("length", F.col("__salt").alias("salt")).agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = np.array(plan_slots(counts, limits), dtype=np.int64).reshape(-1, 5)
     slots = slots[np.lexsort((slots[:, 1], slots[:, 0]))]
     # At most one row per length and salt, both bounded by parameters.
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col("length").alias("l"),
-        F.col("salt").alias("s"),
-        F.coalesce(F.sum("n").over(before.partitionBy("length")), F.lit(0)).alias("below"),
+        F.col("length").alias("__l"),
+        F.col("salt").alias("__s"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__below"),
     )
-    inside = Window.partitionBy("length", "salt").orderBy("uid")
+    inside = Window.partitionBy("length", "__salt").orderBy("__uid")
     ranked = (
-        salted.withColumn("in_salt", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), (F.col("length") == F.col("l")) & (F.col("salt") == F.col("s")))
-        .withColumn("rank", F.col("below") + F.col("in_salt"))
-        .select(*pieces.columns, "rank")
+        salted.withColumn("__in_salt", F.row_number().over(inside) - 1)
+        .join(F.broadcast(offsets), (F.col("length") == F.col("__l")) & (F.col("__salt") == F.col("__s")))
+        .withColumn("__rank", F.col("__below") + F.col("__in_salt"))
+        .select(*pieces.columns, "__rank")
     )
     # Ranks of a length are gapless, so (length, rank) in one number is found by binary search.
     wide = int(max(counts.values(), default=0)) + 1
@@ -187,7 +187,7 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> Da
     def place(batches):
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("rank").to_numpy(zero_copy_only=False)
+            rank = batch.column("__rank").to_numpy(zero_copy_only=False)
             at = np.searchsorted(first, length * wide + rank, side="right") - 1
             sequence = slots[at, 3] + rank - slots[at, 1]
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +195,7 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> Da
                 names=[*batch.schema.names, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, schema).drop("rank")
+    return ranked.mapInArrow(place, schema).drop("__rank")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

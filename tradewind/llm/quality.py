@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     if len(set(y)) < 2:
         return Model(np.zeros(columns), 0.0, 0.0, -50.0 if len(y) and not y.any() else 50.0)
     rows = [(np.frombuffer(r["columns"], "<i4"), np.frombuffer(r["values"], "<f4")) for r in found]
-    held = np.arange(len(rows)) % 4 == 3
+    held = np.random.default_rng(0).permutation(len(rows)) % 4 == 3
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(rows), dtype=bool)
     train = Sparse.of([r for r, h in zip(rows, held) if not h], columns)

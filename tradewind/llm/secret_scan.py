@@ -176,15 +176,15 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
     return F.aggregate(both, start, step, lambda acc: acc["spans"])
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``spans``: all matches of all rules, by start, then in the order of the rules.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, name: str = "spans") -> DataFrame:
+    """``docs`` with a column ``name``: all matches of all rules, by start, then in the order of the rules.
 
     Null text is empty. Rows without a doc_id are not in the index and are matched directly; rows with
     equal ids share their candidates, and each is matched by its own text.
     """
     queries = {r.name: q for r in rules if (q := trigram_query(r.pattern)) is not None}
     trigrams = sorted({t for q in queries.values() for s in q for t in s})
-    own = [c for c in docs.columns if c != "spans"]
+    own = [c for c in docs.columns if c != name]
     if trigrams:
         index = written(build_index(docs, trigrams), "trigrams")
         found = candidates(index, queries).select(F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
@@ -199,7 +199,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         likely = likely if rule.name in queries else F.lit(True)
         hit = likely & text.rlike(rule.pattern)
         parts.append(F.when(hit, spans_of(text, rule, number)).otherwise(none))
-    return joined.withColumn("spans", F.array_sort(F.concat(*parts))).select(*own, "spans")
+    return joined.withColumn(name, F.array_sort(F.concat(*parts))).select(*own, name)
 
 
 def _listed(spans: Column) -> Column:
@@ -221,7 +221,7 @@ def masked(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Texts without a match stay as they are, null text too.
     """
-    found = scan(docs, rules)
+    found = scan(docs, rules, "__spans")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -235,8 +235,8 @@ def masked(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def rest(acc: Column) -> Column:
         return F.concat(acc["out"], F.col("text").substr((acc["at"] + 1).cast("int"), F.length("text")))
 
-    hit = F.size("spans") > 0
-    done = found.withColumn("__masked", F.when(hit, F.aggregate("spans", start, step, rest)).otherwise(F.col("text")))
+    hit = F.size("__spans") > 0
+    done = found.withColumn("__masked", F.when(hit, F.aggregate("__spans", start, step, rest)).otherwise(F.col("text")))
     changed = {"text": F.col("__masked")}
     if "n_chars" in docs.columns:
         length = F.length("__masked").cast(docs.schema["n_chars"].dataType)

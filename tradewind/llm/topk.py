@@ -117,7 +117,7 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     if most < _EXACT:
         return q @ c.T
     whole = [[int(x) for x in row] for row in q], [[int(x) for x in row] for row in c]
-    sums = [[sum(map(int.__mul__, a, b)) for b in whole[1]] for a in whole[0]]
+    sums = [[max(-_MOST, min(_MOST, sum(map(int.__mul__, a, b)))) for b in whole[1]] for a in whole[0]]
     return np.array(sums, dtype=object).reshape(len(q), len(c))
 
 
@@ -170,7 +170,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     Both frames are ``quantised``. A query never meets rows of its own vec_id; repeated query rows get
     a list each, repeated candidates each count. Vectors of fewer components end in zeros. Scores
-    beyond a long are returned as the nearest long.
+    beyond a long are ranked and returned as the nearest long.
     """
     probe = vectors.orderBy(F.desc("norm"), "uid").limit(PROBE).select("uid", "vec_id", "v", "norm").collect()
     longest = _unpack(_block([tuple(r) for r in probe], "c").to_pylist()[0], "c") if probe else None
@@ -203,7 +203,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             for row in batch.to_pylist():
                 query, block = _unpack(row, "q"), _unpack(row, "c")
                 found = [
-                    (int(query[0][i]), int(query[1][i]), int(x), max(-_MOST, min(_MOST, int(s))))
+                    (int(query[0][i]), int(query[1][i]), int(x), int(s))
                     for i, scores, ids in search_block(query, block, np.frombuffer(row["bound"], "<f8"), k)
                     for s, x in zip(scores, ids)
                 ]

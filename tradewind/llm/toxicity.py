@@ -21,7 +21,7 @@ from tradewind.llm.features import Sparse, Scan, chunks, labelled_sample, scan,
 
 SAMPLE_PER_CLASS = 2500  # bound of the fitting sample, per class
 PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes
-MOST_FEATURES, LEAST_Z = 2000, 5.0
+MOST_FEATURES, LEAST_Z = 2000, 4.0
 GRADES = 4  # 0 is clean; toxic examples get 1 to 3 by thirds of their marker features
 REJECT_FROM = 0.5
 _SIEVE_BITS = 16
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     least = max(4, int(0.005 * toxic.sum()))
     # Features that stand out in both halves of the sample by a z score, so that the words of single
     # examples, or of a few alike ones, are not learnt by heart.
-    half = np.arange(len(rows)) % 2
+    half = np.random.default_rng(0).permutation(len(rows)) % 2
     names, z = None, None
     for h in (0, 1):
         own, score = _stand_out([r for r, x in zip(rows, half) if x == h], toxic[half == h], least // 2)

@@ -35,7 +35,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources that exceed their share of the budget are cut to it."""
-    mixed = mixing.mix(docs, MIXTURE, domain=mixing.source_domain(), tokens=mixing.word_count())
+    mixed = mixing.mix(
+        docs, MIXTURE, domain=mixing.source_domain(), tokens=mixing.word_count(), epoch="__epoch"
+    )
     return mixed.select(*docs.columns)
 
 

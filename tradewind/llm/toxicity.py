@@ -143,7 +143,7 @@ def _stand_out(rows, toxic: np.ndarray, least: int) -> tuple[np.ndarray, np.ndar
 
 
 def cumulative_link(
-    x: Sparse, grade: np.ndarray, grades: int, sparse: float = 1e-3, penalty: float = 1e-4, rounds: int = 300
+    x: Sparse, grade: np.ndarray, grades: int, sparse: float = 1e-4, penalty: float = 1e-4, rounds: int = 800
 ) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights (L1 and L2 penalised) and ordered thresholds of the proportional-odds model.
 

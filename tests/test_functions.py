@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import expressions as x
 from tradewind.functions.grouping import group_metrics
-from tradewind.functions.ranking import SLICES, _sliced, grouped_percentile, prefix_totals
+from tradewind.functions.ranking import _sliced, grouped_percentile, prefix_totals, slice_count
 
 
 def one(spark, *columns):
@@ -91,7 +91,7 @@ def test_grouped_percentile_cuts_a_hot_group(spark):
     """No slice of a group may hold more than a small share of the distinct values."""
     df = spark.range(50_000).select(F.lit("hot").alias("g"), (F.col("id") * 1.0).alias("v"), F.lit(1).alias("n"))
     largest = _sliced(df, "v", F.col("n") > 0).groupBy("g", "slice").count().agg(F.max("count")).first()[0]
-    assert largest < 2 * 50_000 / SLICES
+    assert largest < 2 * 50_000 / slice_count(df)
 
 
 def test_prefix_totals_equal_running_sums(spark):

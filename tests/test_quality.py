@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from fixtures import raw_tables
@@ -88,6 +88,17 @@ def test_freshness(tables, year, status):
     assert got.status == status
 
 
+@pytest.mark.parametrize(
+    ("days", "hours", "status"), [(3650, 0, "pass"), (3650, 12, "warn"), (7300, 0, "warn"), (7300, 12, "error")]
+)
+def test_freshness_counts_parts_of_days(spark, days, hours, status):
+    newest = datetime(2018, 3, 1, 15)
+    rows = spark.createDataFrame([(newest,), (None,)], "order_purchase_timestamp timestamp_ntz")
+    clock = newest + timedelta(days=days, hours=hours)
+    got = checks.freshness(rows, now=clock, **catalogue.FRESHNESS).first()
+    assert (got.status, got.age_days) == (status, days)
+
+
 def test_catalogue_is_complete_and_runs(tables):
     declared = catalogue.declared()
     assert len(declared) == 181  # with freshness: 182

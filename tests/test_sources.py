@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from fixtures import raw_tables
 from pyspark.sql import functions as F
 
 from tradewind.config import Settings
-from tradewind.plans.warehouse import Warehouse
-from tradewind.session import shared_folder
+from tradewind.plans import registry
+from tradewind.plans.warehouse import BuildStopped, Warehouse
+from tradewind.session import cluster_settings, shared_folder
 from tradewind.sources import raw, sinks
 from tradewind.sources.schemas import RAW_SCHEMAS
 
@@ -32,6 +35,101 @@ def test_csv_round_trip_gives_the_same_tables(spark, tmp_path):
     assert house.table("int_orders_enriched").count() == 8
 
 
+def _csv(tmp_path, name, *lines):
+    (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    _csv(
+        tmp_path,
+        "products",
+        "product_photos_qty,name_length,product_id,product_category_name,product_width_cm,product_weight_g,"
+        "product_height_cm,product_length_cm",
+        "3,40,p1,toys,20,225,10,16",
+        ",,p2,,,,,",
+    )
+    rows = {r.product_id: r for r in raw.load_raw(spark, str(tmp_path), "products").collect()}
+    p = rows["p1"]
+    assert (p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm) == (225, 16, 10, 20)
+    assert p.product_photos_qty == 3 and p.product_category_name == "toys"
+    assert rows["p2"].product_weight_g is None
+
+
+def test_missing_columns_are_an_error(spark, tmp_path):
+    _csv(tmp_path, "sellers", "seller_id,seller_city,seller_state", "s1,x,SP")
+    with pytest.raises(ValueError, match="seller_zip_code_prefix"):
+        raw.load_raw(spark, str(tmp_path), "sellers")
+    spark.range(1).withColumnRenamed("id", "seller_id").write.parquet(str(tmp_path / "sellers.parquet"))
+    with pytest.raises(ValueError, match="seller_city"):
+        raw.load_raw(spark, str(tmp_path), "sellers", "parquet")
+
+
+def test_files_with_another_header_are_an_error(spark, tmp_path):
+    folder = tmp_path / "sellers.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,x,SP\n")
+    (folder / "b.csv").write_text("seller_id,seller_city,seller_zip_code_prefix,seller_state\ns2,y,2,RJ\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.load_raw(spark, str(tmp_path), "sellers").collect()
+
+
+def test_unparsable_values_are_an_error_or_set_aside(spark, tmp_path):
+    _csv(
+        tmp_path,
+        "sellers",
+        "seller_city,seller_id,seller_zip_code_prefix,seller_state",
+        "x,s1,100,SP",
+        "y,s2,1o0,RJ",
+        "z,s3,,MG",
+    )
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        raw.load_raw(spark, str(tmp_path), "sellers").collect()
+    good, rejected = raw.split_raw(spark, str(tmp_path), "sellers")
+    assert sorted(r.seller_id for r in good.collect()) == ["s1", "s3"]
+    assert [r[raw.REJECTED] for r in rejected.collect()] == ["y,s2,1o0,RJ"]
+
+
+def test_checked_build_stores_failures_and_stops_dependants(spark, tmp_path):
+    tables = raw_tables(spark)
+    sellers = tables["sellers"]
+    good = Warehouse(spark, tables, folder=str(tmp_path / "good"))
+    report = good.build_checked()
+    failing = {(r.table_name, r.check_name) for r in report.results if not r.passed}
+    assert failing == set(report.failures) and failing and not report.stopped_by
+    path = report.failures["order_items", "not_null_price"]
+    assert [r.order_id for r in spark.read.parquet(path).collect()] == ["no_status"]
+    tables["sellers"] = sellers.unionAll(sellers.limit(1))
+    broken = Warehouse(spark, tables, folder=str(tmp_path / "broken"))
+    with pytest.raises(BuildStopped) as stopped:
+        broken.build_checked()
+    left_out = stopped.value.report.stopped_by
+    assert left_out["stg_sellers"] == left_out["mart_seller_analytics"] == "sellers"
+    assert "stg_products" not in left_out and "mart_daily_order_anomalies" not in left_out
+    assert stopped.value.report.failures["sellers", "unique_seller_id"]
+    assert not (tmp_path / "broken" / "marts" / "mart_seller_analytics").exists()
+
+
+def test_a_changed_table_is_read_again(spark, tmp_path):
+    shutil.copytree("/root/testdata/sf0.001", tmp_path / "t")
+    (tmp_path / "t").chmod(0o755)
+    before = registry.warehouse(spark, str(tmp_path / "t"))
+    assert registry.warehouse(spark, str(tmp_path / "t")) is before
+    nation = tmp_path / "t" / "nation.parquet"
+    (tmp_path / "t" / "more.parquet").write_bytes(nation.read_bytes())
+    assert registry.warehouse(spark, str(tmp_path / "t")) is not before
+
+
+def test_partitions_follow_the_input():
+    assert int(cluster_settings(1 << 30)["spark.sql.shuffle.partitions"]) == 200
+    assert int(cluster_settings(100 << 40)["spark.sql.shuffle.partitions"]) > 1_000_000
+
+
+def test_raw_tables_are_scanned_without_an_exchange(spark):
+    for name in ("orders", "order_items", "order_payments"):
+        df = Warehouse.from_tpch(spark, "/root/testdata/sf0.001").table(name)
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parquet_source(spark, tmp_path):
     raw_tables(spark)["sellers"].write.parquet(str(tmp_path / "sellers.parquet"))
     assert raw.load_raw(spark, str(tmp_path), "sellers", "parquet").count() == 3

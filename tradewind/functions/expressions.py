@@ -27,6 +27,12 @@ def count_if(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def avg_money(name: str) -> Column:
+    """Average of amounts in cents: a whole sum divided once, the same in any order of the rows."""
+    cents = F.round(F.col(name) * 100).cast("bigint")
+    return F.try_divide(F.sum(cents).cast("double"), F.count(cents)) / 100
+
+
 def safe_div(numerator: Column, denominator: Column) -> Column:
     """Ratio, NULL for a zero denominator."""
     return F.try_divide(numerator, denominator)

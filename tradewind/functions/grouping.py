@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.ranking import grouped_percentile
+from tradewind.functions.ranking import grouped_percentiles
 
 
 def merge_groups(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -44,10 +44,9 @@ def group_metrics(
     ``more`` are further frames with one row per keys. NULL keys are a group.
     """
     parts = [df.groupBy(*keys).agg(*measures)]
-    if distinct:
-        parts.append(
-            df.groupBy(*keys).agg(*[F.countDistinct(column).alias(name) for name, column in distinct.items()])
-        )
+    # One distinct column at a time: several in one aggregation would expand every row by their number.
+    for name, column in (distinct or {}).items():
+        parts.append(df.groupBy(*keys).agg(F.countDistinct(column).alias(name)))
     if labels:
         parts.append(
             df.select(*keys, *labels.values())
@@ -55,6 +54,9 @@ def group_metrics(
             .groupBy(*keys)
             .agg(*[F.min(column).alias(name) for name, column in labels.items()])
         )
+    by_column: dict[str, dict[str, float]] = {}
     for name, (column, q) in (percentiles or {}).items():
-        parts.append(grouped_percentile(df, keys, column, q, name))
+        by_column.setdefault(column, {})[name] = q
+    for column, wanted in by_column.items():
+        parts.append(grouped_percentiles(df, keys, column, wanted))
     return merge_groups([*parts, *more], keys)

@@ -8,19 +8,23 @@ Windows run inside one slice, and a small table of slice totals carries the offs
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 128  # a power of two
+LEAST_SLICES = 128
+
+
+def slice_count(df: DataFrame) -> int:
+    """Value slices: a power of two, at least as many as the session has shuffle partitions."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_SLICES, 1 << (wanted - 1).bit_length())
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join two frames on grouping keys, where NULL is a group like any other."""
-    if not keys:
-        return left.crossJoin(F.broadcast(right))  # both come from an aggregate: right is one row
     renamed = right.select(
         *[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
@@ -36,20 +40,21 @@ def _same(key: str) -> Column:
 
 
 def _sliced(counts: DataFrame, value: str, weight: Column) -> DataFrame:
-    """Add ``slice``, which grows with the value. Splits are one row of at most SLICES numbers.
+    """Add ``slice``, which grows with the value. Splits are one row of as many numbers as slices.
 
     The weight is always true; naming it keeps every consumer on the same columns of ``counts``,
     so that the shuffle that builds the counts is planned once and reused.
     """
-    fractions = f"array({', '.join(f'{i / SLICES}D' for i in range(1, SLICES))})"
+    slices = slice_count(counts)
+    fractions = f"array({', '.join(f'{i / slices}D' for i in range(1, slices))})"
     splits = (
         counts.where(weight)
-        .agg(F.expr(f"percentile_approx(`{value}`, {fractions})").alias("splits"))
+        .agg(F.expr(f"percentile_approx(`{value}`, {fractions}, {max(10_000, 20 * slices)})").alias("splits"))
     )
     # Binary search in the sorted splits, one projection per step, all in generated code: the slice
     # is the number of splits below the value.
     sliced = counts.crossJoin(F.broadcast(splits)).withColumn("slice", F.lit(0))
-    step = SLICES // 2
+    step = slices // 2
     while step:
         sliced = sliced.withColumn(
             "slice", F.expr(f"slice + if(`{value}` > splits[slice + {step - 1}], {step}, 0)")
@@ -83,7 +88,7 @@ def prefix_totals(
 def _slice_offsets(sliced: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Per keys and slice: totals before the slice, of the slice, and of all slices."""
     totals = sliced.groupBy(*keys, "slice").agg(*[F.sum(m).alias(f"{m}_slice") for m in measures])
-    # At most SLICES rows per key; without keys at most SLICES rows in all.
+    # At most as many rows per key as slices.
     group = Window.partitionBy(*keys)
     before = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
@@ -95,39 +100,55 @@ def _slice_offsets(sliced: DataFrame, keys: Sequence[str], measures: Sequence[st
     )
 
 
-def grouped_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, q: float = 0.95, name: str = "percentile"
+def grouped_percentiles(
+    df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, float]
 ) -> DataFrame:
-    """Exact interpolated percentile of ``value`` per keys; groups without values give no row."""
+    """Exact interpolated percentiles of ``value`` per keys, as columns; groups without values give no row.
+
+    ``wanted`` maps a column to its quantile. All of them share one pass, one slicing and one table of
+    slice totals.
+    """
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     sliced = _sliced(counts, "value", F.col("n") > 0)
-    position = F.lit(q) * (F.col("n_total") - 1)
-    # Only the one or two slices holding the wanted ranks are joined back and sorted.
-    wanted = (
+    positions = F.array(*[F.lit(float(q)) * (F.col("n_total") - 1) for q in wanted.values()])
+    # Only the slices holding the wanted ranks, one or two per quantile, are joined back and sorted.
+    holds = F.exists(
+        "positions",
+        lambda p: (F.col("n_offset") <= F.ceil(p)) & (F.col("n_offset") + F.col("n_slice") > F.floor(p)),
+    )
+    slices = (
         _slice_offsets(sliced, keys, ["n"])
-        .withColumn("position", position)
-        .where(
-            (F.col("n_offset") <= F.ceil("position"))
-            & (F.col("n_offset") + F.col("n_slice") > F.floor("position"))
-        )
-        .select(*keys, "slice", "n_offset", "position")
+        .withColumn("positions", positions)
+        .where(holds)
+        .select(*keys, "slice", "n_offset", "positions")
     )
     inside = Window.partitionBy(*keys, "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = join_on_keys(sliced, wanted, [*keys, "slice"]).withColumn(
+    ranked = join_on_keys(sliced, slices, [*keys, "slice"]).withColumn(
         "below", F.col("n_offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     )
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("n")), F.col("value")))
 
-    ends = ranked.groupBy(*keys).agg(
-        value_at(F.floor("position")).alias("low"),
-        value_at(F.ceil("position")).alias("high"),
-        F.max(F.col("position") - F.floor("position")).alias("part"),
-    )
-    interpolated = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
-    return ends.select(*keys, interpolated.alias(name))
+    ends, columns = [], []
+    for i, name in enumerate(wanted):
+        position = F.col("positions")[i]
+        ends += [
+            value_at(F.floor(position)).alias(f"low{i}"),
+            value_at(F.ceil(position)).alias(f"high{i}"),
+            F.max(position - F.floor(position)).alias(f"part{i}"),
+        ]
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        columns.append((low + (high - low) * F.col(f"part{i}")).alias(name))
+    return ranked.groupBy(*keys).agg(*ends).select(*keys, *columns)
+
+
+def grouped_percentile(
+    df: DataFrame, keys: Sequence[str], value: str, q: float = 0.95, name: str = "percentile"
+) -> DataFrame:
+    """One exact interpolated percentile of ``value`` per keys."""
+    return grouped_percentiles(df, keys, value, {name: q})

@@ -33,7 +33,8 @@ def quality_gate(metrics: DataFrame, min_roc_auc: float = MIN_ROC_AUC) -> DataFr
 
 
 def leaked_names(features: tuple[str, ...] = FEATURES) -> list[str]:
-    return sorted(set(features) & set(LEAKY))
+    """Features that are only known after the order was placed."""
+    return [name for name in LEAKY if name in features]
 
 
 def no_leakage(data: DataFrame, features: tuple[str, ...] = NUMERIC) -> DataFrame:

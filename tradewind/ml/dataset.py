@@ -39,8 +39,8 @@ def feature_frame(features: DataFrame) -> DataFrame:
 
 def in_holdout(test_frac: float, seed: int, key: str = KEY):
     """Condition for holdout rows: depends on key and seed only, and grows with the fraction."""
-    if not 0.0 < test_frac < 1.0:
-        raise ValueError(f"test_frac must be in (0, 1), got {test_frac!r}")
+    if test_frac <= 0 or test_frac >= 1:
+        raise ValueError(f"test_frac is the held-out share, above 0 and below 1; {test_frac} is not")
     return hash_bucket(key, seed) < int(test_frac * HASH_BUCKETS)
 
 

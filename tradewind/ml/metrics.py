@@ -20,11 +20,12 @@ def evaluate(
 ) -> DataFrame:
     """One row (per keys): roc_auc, pr_auc, accuracy, positive_rate, n_rows.
 
+    Rows without a label or a score say nothing and are left out.
     Tied scores count as half in the ROC AUC; pr_auc is the step sum of precision over recall.
     Both are NULL when they are undefined for want of a class.
     """
     counts = (
-        scored.where(F.col(score).isNotNull())
+        scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(*keys, F.col(score).cast("double").alias("score"))
         .agg(F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n"))
         .select(*keys, "score", "pos", (F.col("n") - F.col("pos")).alias("neg"))

@@ -29,10 +29,18 @@ def scaling(train: DataFrame, fill: dict[str, float]) -> DataFrame:
     )
 
 
+def fill_values(train: DataFrame) -> dict[str, float]:
+    """Median of each numeric feature; a feature without any training value is an error."""
+    found = {row["feature"]: row["median"] for row in medians(train).collect()}  # one row per feature
+    empty = [c for c in NUMERIC if c not in found]
+    if empty:
+        raise ValueError(f"no training row has a value of {', '.join(empty)}")
+    return {c: found[c] for c in NUMERIC}
+
+
 def _preparation(train: DataFrame) -> SQLTransformer:
     """Impute and scale with constants from the training rows; they are saved with the stage."""
-    found = {row["feature"]: row["median"] for row in medians(train).collect()}  # one row per feature
-    fill = {c: found.get(c, 0.0) for c in NUMERIC}
+    fill = fill_values(train)
     row = scaling(train, fill).first()
     columns = ", ".join(
         f"(coalesce(`{c}`, {fill[c]!r}D) - {row[f'{c}_mean']!r}D) / {row[f'{c}_std'] or 1.0!r}D"
@@ -85,6 +93,37 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*df.columns, probability.alias("score"))
 
 
+def gradient(model: PipelineModel, train: DataFrame, settings: TrainingSettings = TrainingSettings()) -> DataFrame:
+    """(coefficient, gradient) of the fitted objective at the model's coefficients; zero at the optimum.
+
+    The objective is the mean of the class-weighted log loss plus half the squared norm of the
+    coefficients over C n; the intercept is not penalised.
+    """
+    indexer, classifier = model.stages[1], model.stages[-1]
+    labels = [f"{c}={v}" for c, values in zip(CATEGORICAL, indexer.labelsArray) for v in values]
+    names = [*NUMERIC, *labels]
+    scored = model.transform(train).select(
+        F.col(TARGET).cast("double").alias("y"), vector_to_array("features").alias("x"),
+        vector_to_array("probability")[1].alias("p"),
+    )
+    row = scored.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("late")).first()
+    n, late = row["n"], row["late"]
+    weight = F.when(F.col("y") == 1, n / (2 * late)).otherwise(n / (2 * (n - late)))
+    error = (weight * (F.col("p") - F.col("y"))).alias("error")
+    sums = scored.select(error, F.posexplode("x").alias("place", "value")).groupBy("place").agg(
+        (F.sum(F.col("error") * F.col("value")) / n).alias("slope")
+    )
+    penalty = [float(b) / (settings.inverse_regularization * n) for b in classifier.coefficients]
+    table = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(p).alias("penalty")) for c, p in zip(names, penalty)])
+    own = sums.withColumn("c", table[F.col("place")]).select(
+        F.col("c.name").alias("coefficient"), (F.col("slope") + F.col("c.penalty")).alias("gradient")
+    )
+    intercept = scored.agg((F.sum(error) / n).alias("gradient")).select(
+        F.lit("intercept").alias("coefficient"), "gradient"
+    )
+    return own.unionByName(intercept)
+
+
 def save(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path

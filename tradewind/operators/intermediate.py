@@ -7,17 +7,29 @@ from pyspark.sql import functions as F
 
 from tradewind.config import Settings
 from tradewind.functions.expressions import flag, haversine_km, price_bucket
+from tradewind.functions.grouping import group_metrics
 
 
 def order_totals(items: DataFrame) -> DataFrame:
-    """Items of an order in one row, before any join can multiply them."""
-    return items.groupBy("order_id").agg(
+    """Items of an order in one row, before any join can multiply them.
+
+    Sums collapse map-side; only bare (order, product) and (order, seller) pairs travel besides.
+    """
+    measures = [
         F.count(F.lit(1)).alias("items_cnt"),
-        F.countDistinct("product_id").alias("distinct_products_cnt"),
-        F.countDistinct("seller_id").alias("distinct_sellers_cnt"),
         F.sum("price").alias("items_value"),
         F.sum("freight_value").alias("freight_value"),
         F.sum("item_total").alias("order_value"),
+    ]
+    distinct = {"distinct_products_cnt": "product_id", "distinct_sellers_cnt": "seller_id"}
+    return group_metrics(items, ["order_id"], measures, distinct=distinct).select(
+        "order_id",
+        "items_cnt",
+        "distinct_products_cnt",
+        "distinct_sellers_cnt",
+        "items_value",
+        "freight_value",
+        "order_value",
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradewind.config import AnomalySettings, Settings
 from tradewind.functions.expressions import (
     UNKNOWN,
+    avg_money,
     count_if,
     day_diff,
     flag,
@@ -43,7 +44,7 @@ def mart_daily_state_metrics(orders: DataFrame) -> DataFrame:
     measures = [
         _rows().alias("orders_cnt"),
         F.sum("order_value").alias("total_revenue"),
-        F.avg("order_value").alias("avg_order_value"),
+        avg_money("order_value").alias("avg_order_value"),
         pct(_is("is_large_order"), _rows()).alias("large_order_share"),
         _is("is_delivered").alias("delivered_cnt"),
         _late_rate(),
@@ -79,7 +80,7 @@ def mart_delivery_quality_by_category(items: DataFrame) -> DataFrame:
     measures = [
         _rows().alias("items_cnt"),
         F.sum("item_total").alias("total_revenue"),
-        F.avg("price").alias("avg_price"),
+        avg_money("price").alias("avg_price"),
         F.avg("freight_share").alias("avg_freight_share"),
         _is("is_delivered").alias("delivered_cnt"),
         _late_rate(),
@@ -118,7 +119,7 @@ def mart_delivery_quality_by_state(orders: DataFrame) -> DataFrame:
         _rows().alias("orders_cnt"),
         F.sum("distinct_sellers_cnt").alias("seller_links_cnt"),
         F.sum("order_value").alias("total_revenue"),
-        F.avg("order_value").alias("avg_order_value"),
+        avg_money("order_value").alias("avg_order_value"),
         F.sum("freight_value").alias("total_freight"),
         pct(F.sum("freight_value"), F.sum("order_value")).alias("freight_share_pct"),
         _is("is_delivered").alias("delivered_cnt"),
@@ -161,7 +162,7 @@ def mart_hourly_order_pattern(orders: DataFrame) -> DataFrame:
     measures = [
         _rows().alias("orders_cnt"),
         F.sum("order_value").alias("total_revenue"),
-        F.avg("order_value").alias("avg_order_value"),
+        avg_money("order_value").alias("avg_order_value"),
         pct(_is("is_large_order"), _rows()).alias("large_order_share"),
         _is("is_delivered").alias("delivered_cnt"),
         _late_rate(),
@@ -188,12 +189,10 @@ def mart_hourly_order_pattern(orders: DataFrame) -> DataFrame:
 
 def mart_customer_value_profile(orders: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per person, not per order-bound customer_id. Recency counts from the last day of the data."""
-    people = orders.groupBy("customer_unique_id").agg(
-        F.min("customer_state").alias("customer_state"),
-        F.min("customer_region").alias("customer_region"),
+    measures = [
         _rows().alias("orders_cnt"),
         F.sum("order_value").alias("total_spend"),
-        F.avg("order_value").alias("avg_order_value"),
+        avg_money("order_value").alias("avg_order_value"),
         F.max("order_value").alias("max_order_value"),
         F.min("order_purchase_date").alias("first_order_date"),
         F.max("order_purchase_date").alias("last_order_date"),
@@ -202,7 +201,9 @@ def mart_customer_value_profile(orders: DataFrame, settings: Settings = Settings
         _is("is_canceled").alias("canceled_orders_cnt"),
         _is("has_review").alias("reviewed_orders_cnt"),
         F.avg("review_score").alias("avg_review_score"),
-    )
+    ]
+    labels = {"customer_state": "customer_state", "customer_region": "customer_region"}
+    people = group_metrics(orders, ["customer_unique_id"], measures, labels=labels)
     # One row, read from one column of the order table instead of a second aggregation per person.
     last_day = orders.agg(F.max("order_purchase_date").alias("dataset_last_date"))
     segment = (
@@ -241,7 +242,7 @@ def mart_seller_analytics(items: DataFrame, settings: Settings = Settings()) ->
     measures = [
         _rows().alias("items_sold"),
         F.sum("item_total").alias("total_revenue"),
-        F.avg("price").alias("avg_price"),
+        avg_money("price").alias("avg_price"),
         F.sum("freight_value").alias("total_freight"),
         _is("is_delivered").alias("delivered_cnt"),
         _late_rate(),
@@ -371,9 +372,9 @@ def daily_orders(orders: DataFrame) -> DataFrame:
         .groupBy(F.col("order_purchase_date").alias("order_date"))
         .agg(F.count("order_id").alias("orders_cnt"), F.sum("is_canceled").alias("canceled_cnt"))
     )
-    calendar = orders.agg(
-        F.min("order_purchase_date").alias("first"), F.max("order_purchase_date").alias("last")
-    ).select(F.explode(F.sequence("first", "last")).alias("order_date"))
+    calendar = counted.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).select(
+        F.explode(F.sequence("first", "last")).alias("order_date")
+    )
     return calendar.join(counted, "order_date", "left").fillna(0, ["orders_cnt", "canceled_cnt"])
 
 

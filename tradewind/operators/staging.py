@@ -90,12 +90,22 @@ def main_by_value(value: str, label: str) -> Column:
 
 
 def stg_order_payments(order_payments: DataFrame) -> DataFrame:
-    """Payments of an order in one row."""
-    return order_payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("payment_total"),
-        F.count(F.lit(1)).alias("payments_cnt"),
-        F.max("payment_installments").alias("max_installments"),
-        main_by_value("payment_value", "payment_type").alias("main_payment_type"),
+    """Payments of an order in one row.
+
+    Payments collapse per order and type by hashing first; the label and the list of types, which need
+    sorting or sets, see those few rows only.
+    """
+    by_type = order_payments.groupBy("order_id", "payment_type").agg(
+        F.sum("payment_value").alias("value"),
+        F.count(F.lit(1)).alias("payments"),
+        F.max("payment_installments").alias("installments"),
+        F.max("payment_value").alias("largest"),
+    )
+    return by_type.groupBy("order_id").agg(
+        F.sum("value").alias("payment_total"),
+        F.sum("payments").alias("payments_cnt"),
+        F.max("installments").alias("max_installments"),
+        main_by_value("largest", "payment_type").alias("main_payment_type"),
         string_agg_distinct("payment_type").alias("payment_types"),
     )
 

@@ -1,11 +1,11 @@
 """Column types of every registered query, in output order.
 
 One letter per column: i integer, s text, d date, t timestamp, b boolean, m money (2 digits),
-k kilometres (6 digits), r any other real number (single precision, then 6 digits).
+k kilometres (6 digits), r any other real number (9 digits).
 
-Two engines add floats in different orders, so reals are compared with their last digits dropped.
-Sums of cents are exact at two digits. An average of cents can end exactly halfway between two
-decimals, where noise would decide; single precision has no such boundary there.
+Two engines add floats in different orders, so reals are compared at a fixed number of decimals, in
+double precision. Sums of cents are exact at two digits; averages of cents are whole sums divided
+once, so both engines get the same double.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = {"m": 2, "k": 6, "r": 6}
+DIGITS = {"m": 2, "k": 6, "r": 9}
 SPARK_TYPES = {"i": "bigint", "s": "string", "d": "date", "t": "timestamp_ntz", "b": "boolean"}
 SQL_TYPES = {"i": "BIGINT", "s": "VARCHAR", "d": "DATE", "t": "TIMESTAMP", "b": "BOOLEAN"}
 
@@ -82,6 +82,8 @@ CONTRACTS = {
     " z_score:r is_anomaly:i anomaly_direction:s",
     # Sources and sinks
     "raw_state_region": "state_code:s state_name:s region:s",
+    "raw_products_reloaded": "product_id:i product_category_name:s product_weight_g:r product_length_cm:r"
+    " product_height_cm:r product_width_cm:r product_photos_qty:r",
     "raw_order_payments": "order_id:i payment_sequential:i payment_type:s payment_installments:i"
     " payment_value:m",
     "stg_orders_window": "order_id:i order_purchase_timestamp:t is_late_delivery:i",
@@ -107,6 +109,7 @@ CONTRACTS = {
     "dq_negative_amounts": "source_column:s bad_cnt:i",
     "dq_freshness": "newest:t age_days:i status:s",
     "dq_stored_failures": "customer_region:s failing_cnt:i",
+    "dq_failed_checks": "table_name:s check_name:s failing_cnt:i",
     "dq_duplicate_lines": "order_id:i line_number:i n_records:i",
     # Training
     "ml_features": "order_id:i items_cnt:r order_value:m freight_share:r max_installments:r"
@@ -119,9 +122,13 @@ CONTRACTS = {
     "ml_roc_auc": "roc_auc:r",
     "ml_average_precision": "pr_auc:r",
     "ml_accuracy": "accuracy:r positive_rate:r n_rows:i",
+    "ml_metrics_with_unlabelled": "roc_auc:r pr_auc:r accuracy:r positive_rate:r n_rows:i",
     "ml_metrics_by_state": "customer_state:s roc_auc:r pr_auc:r accuracy:r positive_rate:r n_rows:i",
     "ml_no_leakage": "feature:s roc_auc:r forbidden_name:b passed:b",
-    "ml_quality_gate": "check_name:s roc_auc_holdout:r threshold:r passed:b severity:s blocking:b",
+    "ml_quality_gate": "check_name:s threshold:r passed:b severity:s blocking:b",
+    "ml_metrics": "n_rows:i positive_rate:r passed:b",
+    "ml_scores": "order_id:i is_late_delivery:i in_bounds:b",
+    "ml_optimality": "coefficient:s gradient:r",
     "ml_fingerprint": "fingerprint:s",
 }
 
@@ -135,7 +142,7 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     """Columns, types and rounding of the contract."""
     return df.select(
         *[
-            F.round(F.col(c).cast("float" if kind == "r" else "double").cast("double"), DIGITS[kind]).alias(c)
+            F.round(F.col(c).cast("double"), DIGITS[kind]).alias(c)
             if kind in DIGITS
             else F.col(c).cast(SPARK_TYPES[kind]).alias(c)
             for c, kind in columns(name)
@@ -145,7 +152,7 @@ def conform(name: str, df: DataFrame) -> DataFrame:
 
 def conform_sql(name: str, sql: str) -> str:
     picked = ", ".join(
-        f"round(CAST(CAST({c} AS {'FLOAT' if kind == 'r' else 'DOUBLE'}) AS DOUBLE), {DIGITS[kind]}) AS {c}"
+        f"round(CAST({c} AS DOUBLE), {DIGITS[kind]}) AS {c}"
         if kind in DIGITS
         else f"CAST({c} AS {SQL_TYPES[kind]}) AS {c}"
         for c, kind in columns(name)

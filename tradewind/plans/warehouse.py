@@ -2,19 +2,23 @@
 
 A table is a DataFrame built on first use. The tables that several others read are written once to
 the shared folder and read back: dimensions, so that the planner knows their file size when it
-decides about a broadcast, and the two wide tables, so that seven marts do not repeat their joins.
+decides about a broadcast, the two wide tables, so that seven marts do not repeat their joins, and
+the marts that checks read.
 """
 
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.config import AnomalySettings, Settings
 from tradewind.operators import intermediate, marts, staging
-from tradewind.session import apply_settings, shared_folder
+from tradewind.quality import catalogue, checks
+from tradewind.session import PARTITION_BYTES, shared_folder
 from tradewind.sources import raw as raw_source
 from tradewind.sources import sinks, tpch
 from tradewind.sources.schemas import RAW_SCHEMAS
@@ -54,9 +58,61 @@ SHARED = frozenset(
         "stg_sellers",
         "int_orders_enriched",
         "int_order_items_enriched",
-        "mart_order_features",
+        *MARTS,
     }
-)
+) - {"mart_customer_value_profile", "mart_daily_order_anomalies"}
+# What each table reads, for stopping what depends on a table with a blocking failure.
+DEPENDS = {
+    "stg_customers": ("customers",),
+    "stg_geolocation": ("geolocation",),
+    "stg_order_items": ("order_items",),
+    "stg_order_payments": ("order_payments",),
+    "stg_order_reviews": ("order_reviews",),
+    "stg_orders": ("orders",),
+    "stg_products": ("products", "product_category_name_translation"),
+    "stg_sellers": ("sellers",),
+    "int_order_distance": ("stg_order_items", "stg_orders", "stg_customers", "stg_sellers", "stg_geolocation"),
+    "int_orders_enriched": (
+        "stg_orders",
+        "stg_customers",
+        "stg_order_items",
+        "stg_order_payments",
+        "stg_order_reviews",
+        "int_order_distance",
+        "seed_state_region",
+    ),
+    "int_order_items_enriched": (
+        "stg_order_items",
+        "int_orders_enriched",
+        "stg_products",
+        "stg_sellers",
+        "seed_state_region",
+    ),
+    "mart_daily_state_metrics": ("int_orders_enriched",),
+    "mart_delivery_quality_by_category": ("int_order_items_enriched",),
+    "mart_delivery_quality_by_state": ("int_orders_enriched",),
+    "mart_hourly_order_pattern": ("int_orders_enriched",),
+    "mart_customer_value_profile": ("int_orders_enriched",),
+    "mart_seller_analytics": ("int_order_items_enriched",),
+    "mart_order_features": ("int_orders_enriched", "stg_order_items", "stg_products"),
+    "mart_daily_order_anomalies": ("stg_orders",),
+}
+CHECKED = tuple(catalogue.CONTRACT)
+
+
+@dataclass
+class BuildReport:
+    """Results of a checked build: one entry per check, paths of stored failures, what was left out."""
+
+    results: list = field(default_factory=list)
+    failures: dict[tuple[str, str], str] = field(default_factory=dict)
+    stopped_by: dict[str, str] = field(default_factory=dict)  # table left out -> the table at fault
+
+
+class BuildStopped(RuntimeError):
+    def __init__(self, report: BuildReport) -> None:
+        super().__init__(f"not built: {report.stopped_by}")
+        self.report = report
 
 
 def layer_of(name: str) -> str:
@@ -75,11 +131,13 @@ class Warehouse:
         anomalies: AnomalySettings = ANOMALIES,
         folder: str | None = None,
     ) -> None:
-        self.spark = apply_settings(spark)
+        self.spark = spark
         self.raw = raw
+        _warn_about_partitions(spark, raw)
         self.settings = settings
         self.anomalies = anomalies
         self.folder = folder or f"{shared_folder(spark)}/tradewind-{uuid.uuid4().hex}"
+        self.memo: dict = {}  # what queries over these tables share, such as a fitted model
         self._tables: dict[str, DataFrame] = {}
 
     @classmethod
@@ -113,6 +171,42 @@ class Warehouse:
                 self._tables[name] = self.write(name, df)
         return {name: self._tables[name] for name in DATASETS}
 
+    def check_table(self, name: str, report: BuildReport) -> bool:
+        """Run the declared checks of a table, store the failing rows; whether what depends on it may go on."""
+        declared = {c.name: c for c in catalogue.declared(name)}
+        if not declared:
+            return True
+        needed = {name, *(c.parent for c in declared.values() if c.parent)}
+        tables = {n: self.table(n) for n in needed}
+        rows = checks.check_table(list(declared.values()), tables).collect()  # one row per check
+        report.results += rows
+        for row in rows:
+            if not row.passed:
+                path = checks.store_failures(declared[row.check_name], tables, self.folder)
+                report.failures[name, row.check_name] = path
+        return all(r.passed or not r.blocking or r.severity != "error" for r in rows)
+
+    def build_checked(self) -> BuildReport:
+        """Like ``build``, with the declared checks after each table.
+
+        Failing rows are stored for every failing check. A blocking check of severity error keeps all
+        tables that depend on its table from being built; the rest is built, then BuildStopped raised.
+        """
+        report = BuildReport()
+        at_fault: dict[str, str] = {}
+        for name in (*RAW_SCHEMAS, *DATASETS):
+            cause = next((at_fault[d] for d in DEPENDS.get(name, ()) if d in at_fault), None)
+            if cause:
+                at_fault[name] = report.stopped_by[name] = cause
+                continue
+            if name in DEPENDS and name not in SHARED:
+                self._tables[name] = self.write(name, self.table(name))
+            if not self.check_table(name, report):
+                at_fault[name] = name
+        if report.stopped_by:
+            raise BuildStopped(report)
+        return report
+
     def define(self, name: str) -> DataFrame:
         """The plan of a staging, intermediate or mart table over its inputs."""
         return self._definitions()[name]()
@@ -175,3 +269,24 @@ class Warehouse:
                 t("stg_orders"), self.anomalies
             ),
         }
+
+
+def _warn_about_partitions(spark: SparkSession, raw: dict[str, DataFrame]) -> None:
+    """Warns when the session's shuffle partitions are far too few for the raw tables."""
+    size = max((_planned_bytes(df) for df in raw.values()), default=0)
+    each = size / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if each > 8 * PARTITION_BYTES:
+        warnings.warn(
+            f"shuffle partitions of {each / 2**30:.1f} GiB; build the session with"
+            " tradewind.session.cluster_settings(input_bytes)",
+            stacklevel=3,
+        )
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    """Size of the files that a table reads, as the planner has it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = (leaves.apply(i) for i in range(leaves.size()))
+    return sum(
+        int(str(leaf.stats().sizeInBytes())) for leaf in files if leaf.getClass().getSimpleName() == "LogicalRelation"
+    )

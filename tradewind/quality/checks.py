@@ -173,13 +173,21 @@ def store_failures(check: Check, tables: Mapping[str, DataFrame], folder: str) -
 def freshness(
     df: DataFrame, column: str, now: datetime, warn_after_days: int, error_after_days: int
 ) -> DataFrame:
-    """Age of the newest row against a given clock: status pass, warn or error."""
-    age = F.timestamp_diff("DAY", F.col("newest"), F.lit(now).cast("timestamp_ntz"))
+    """Age of the newest row against a given clock: status pass, warn or error.
+
+    A limit is passed by any time beyond it; ``age_days`` are whole days, for reading only.
+    """
+    clock = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+
+    def older_than(days: int) -> Column:
+        return F.col("newest") < clock - F.make_dt_interval(days=F.lit(days))
+
     status = (
-        F.when(F.col("newest").isNull() | (age > error_after_days), "error")
-        .when(age > warn_after_days, "warn")
+        F.when(F.col("newest").isNull() | older_than(error_after_days), "error")
+        .when(older_than(warn_after_days), "warn")
         .otherwise("pass")
     )
+    age = F.timestamp_diff("DAY", F.col("newest"), clock)
     return df.agg(F.max(column).alias("newest")).select(
         "newest", age.cast("bigint").alias("age_days"), status.alias("status")
     )

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings. Dimension joins carry no hint: the planner compares the file size of the
-# written dimension with the broadcast threshold, and beyond it falls back to a sort-merge join
-# whose hot partitions adaptive execution splits. The skew split must also happen when the join
-# output feeds an aggregation on the same key, hence "forceOptimizeSkewedJoin".
+# Dimension joins carry no hint: the planner compares the file size of the written dimension with
+# the broadcast threshold, and beyond it falls back to a sort-merge join whose hot partitions adaptive
+# execution splits. The skew split must also happen when the join output feeds an aggregation on the
+# same key, hence "forceOptimizeSkewedJoin".
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,22 +21,30 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
+PARTITION_BYTES = 128 * 1024 * 1024
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    for key, value in SQL_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+def cluster_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Settings for a session over ``input_bytes`` of tables (their compressed file sizes).
+
+    Adaptive execution merges small shuffle partitions but does not split evenly large ones, so the
+    number to start from must follow the input: rows unpack to about three times their file size.
+    """
+    partitions = max(200, -(-3 * input_bytes // partition_bytes))
+    return {**SQL_SETTINGS, "spark.sql.shuffle.partitions": str(partitions)}
 
 
 def local_session(cores: str = "*", app: str = "tradewind", **extra: str) -> SparkSession:
-    """A local session for tests and the benchmark."""
+    """A local session for tests and the benchmark; its shared folder goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="tradewind-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", folder)
     )
     for key, value in {**SQL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -46,21 +56,9 @@ def local_session(cores: str = "*", app: str = "tradewind", **extra: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, visible to every executor.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. A temporary folder is used only by
-    a local master without that setting; on a cluster a missing setting is an error.
+    It is the one the cluster names in ``spark.checkpoint.dir``; a session without it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
-
-
-_LOCAL: list[str] = []
-
-
-def _local_folder() -> str:
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="tradewind-"))
-    return _LOCAL[0]
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")

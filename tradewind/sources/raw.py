@@ -1,22 +1,69 @@
-"""Raw tables from files, with their declared schemas."""
+"""Raw tables from files, read by column name against their declared schemas."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tradewind.config import Settings
 from tradewind.sources.schemas import RAW_SCHEMAS
 
+REJECTED = "rejected_row"
+
+
+def _declared(name: str) -> StructType:
+    return StructType.fromDDL(RAW_SCHEMAS[name])
+
+
+def _path(folder: str, name: str, fmt: str) -> str:
+    return f"{folder.rstrip('/')}/{name}.{fmt}"
+
+
+def _require(name: str, present: list[str]) -> None:
+    missing = [f.name for f in _declared(name) if f.name not in present]
+    if missing:
+        raise ValueError(f"{name} lacks the columns {', '.join(missing)}; found {', '.join(present)}")
+
+
+def _read_csv(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    """All columns of the files in their own order, the declared ones with their types.
+
+    The header of the first file gives the order and Spark compares that of every other file with it.
+    """
+    path = _path(folder, name, "csv")
+    # Review texts hold quoted line breaks; only that table gives up split reads for them.
+    shape = {"header": True, "escape": '"', "multiLine": name == "order_reviews"}
+    present = spark.read.csv(path, **shape).columns
+    _require(name, present)
+    types = {f.name: f.dataType for f in _declared(name)}
+    found = StructType([StructField(c, types.get(c, StringType())) for c in present])
+    if "columnNameOfCorruptRecord" in options:
+        found.add(REJECTED, StringType())
+    return spark.read.schema(found).csv(path, enforceSchema=False, **shape, **options)
+
 
 def load_raw(spark: SparkSession, folder: str, name: str, fmt: str = "csv") -> DataFrame:
-    """One raw table: ``<folder>/<name>.csv`` (header row, multi-line text allowed) or ``.parquet``."""
-    path = f"{folder.rstrip('/')}/{name}.{fmt}"
-    reader = spark.read.schema(RAW_SCHEMAS[name])
+    """One raw table: ``<folder>/<name>.csv`` (header row, multi-line text allowed) or ``.parquet``.
+
+    Columns are found by name, in any order and among others. A missing column is an error, and so is
+    a value that does not have its declared type; ``split_raw`` sets such rows aside instead.
+    """
+    names = [f.name for f in _declared(name)]
     if fmt == "csv":
-        # Review texts hold quoted line breaks; only that table gives up split reads for them.
-        return reader.csv(path, header=True, escape='"', multiLine=name == "order_reviews")
-    return reader.format(fmt).load(path)
+        return _read_csv(spark, folder, name, mode="FAILFAST").select(*names)
+    df = spark.read.format(fmt).load(_path(folder, name, fmt))
+    _require(name, df.columns)
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in _declared(name)])
+
+
+def split_raw(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that parse, ``rejected_row`` texts of those that do not) of a CSV table."""
+    df = _read_csv(spark, folder, name, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
+    names = [f.name for f in _declared(name)]
+    # Spark does not read the rejected text alone, so the parsed columns are read along.
+    rejected = df.where(F.col(REJECTED).isNotNull()).select(*names, REJECTED)
+    return df.where(F.col(REJECTED).isNull()).select(*names), rejected
 
 
 def load_all_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:

@@ -81,12 +81,14 @@ def test_two_stage_order():
         letters = [b"ab", b"abcdefgh", bytes(range(256)), b"a"][trial % 4]
         text = bytes(rng.choice(letters) for _ in range(rng.randint(1, 300)))
         text = text[:17] * 9 if trial % 5 == 0 else text
-        order = suffix.suffix_order(np.frombuffer(text, np.uint8), 48).tolist()
+        raw = np.frombuffer(text, np.uint8)
+        keys = suffix.eight_bytes(raw)
+        order = suffix.suffix_order(raw, keys, 48).tolist()
         assert sorted(order) == list(range(len(text)))
         cut = [text[i : i + 48] for i in order]
         assert cut == sorted(cut)
         whole = [i for i in order if i + 20 <= len(text)]
-        same = suffix.common_prefix_reaches(np.frombuffer(text, np.uint8), np.array(whole, dtype=np.int64), 20)
+        same = suffix.common_prefix_reaches(keys, np.array(whole, dtype=np.int64), 20)
         assert same.tolist() == [
             k > 0 and text[whole[k - 1] :][:20] == text[i:][:20] for k, i in enumerate(whole)
         ]

@@ -35,24 +35,23 @@ SALT_FROM = 4096  # documents that share an anchor, beyond which it is salted
 # --- two-stage suffix sorting --------------------------------------------------------------------
 
 
-def _keys(text: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
-    """The eight bytes from each position as one number; zeros follow the end."""
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    if isinstance(at, slice):
-        at = np.arange(len(text))
-    key = np.zeros(len(at), dtype=np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[np.minimum(at + k, len(text) + 7)]
+def eight_bytes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position, and the one past the last, as one number; zeros follow the end."""
+    padded = np.concatenate([text, np.zeros(9, np.uint8)]).astype(np.uint64)
+    key = padded[: len(text) + 1].copy()
+    for k in range(1, 8):
+        key <<= np.uint64(8)
+        key |= padded[k : len(text) + 1 + k]
     return key
 
 
-def suffix_order(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_order(text: np.ndarray, keys: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     """Starts of the suffixes of ``text`` in order of at least their first ``depth`` bytes."""
     n = len(text)
     if not n:
         return np.empty(0, np.int64)
     smaller = _smaller_than_successor(text)
-    direct = _sorted_directly(text, np.flatnonzero(smaller), depth)
+    direct = _sorted_directly(keys, np.flatnonzero(smaller), depth)
     first_of = np.searchsorted(text[direct], np.arange(257))
     queues: list[list[np.ndarray]] = [[] for _ in range(256)]
     queues[text[n - 1]].append(np.array([n - 1]))  # induced by the empty suffix
@@ -94,19 +93,18 @@ def _smaller_than_successor(text: np.ndarray) -> np.ndarray:
     return step[decides] > 0
 
 
-def _sorted_directly(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
+def _sorted_directly(keys: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by eight bytes at a time, further only where they are still equal."""
-    key = _keys(text, starts)
+    key = keys[starts]
     order = np.argsort(key, kind="stable")
     starts, key = starts[order], key[order]
     same = np.r_[False, key[1:] == key[:-1]]
     for offset in range(8, depth, 8):
-        tied = same | np.r_[same[1:], False]
-        at = np.flatnonzero(tied)
+        at = np.flatnonzero(same | np.r_[same[1:], False])
         if not len(at):
             break
         group = np.cumsum(~same[at])
-        key = _keys(text, np.minimum(starts[at] + offset, len(text)))
+        key = keys[np.minimum(starts[at] + offset, len(keys) - 1)]
         by = np.lexsort((key, group))
         starts[at] = starts[at][by]
         key = key[by]
@@ -114,17 +112,13 @@ def _sorted_directly(text: np.ndarray, starts: np.ndarray, depth: int) -> np.nda
     return starts
 
 
-def common_prefix_reaches(text: np.ndarray, order: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Whether each suffix in ``order`` (none shorter than ``depth``) agrees that far with the one before."""
+def common_prefix_reaches(keys: np.ndarray, order: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+    """Whether each suffix in ``order`` (none shorter than ``depth``, at least 8) agrees that far with the one before."""
     same = np.ones(len(order), dtype=bool)
     same[:1] = False
-    offsets = [*range(0, depth - 8, 8), depth - 8] if depth >= 8 else []
-    for offset in offsets:
+    for offset in [*range(0, depth - 8, 8), depth - 8]:
         at = np.flatnonzero(same)
-        both = _keys(text, np.concatenate([order[at], order[at - 1]]) + offset)
-        same[at] = both[: len(at)] == both[len(at) :]
-    for offset in range(depth if depth < 8 else 0):
-        same[1:] &= text[order[1:] + offset] == text[order[:-1] + offset]
+        same[at] = keys[order[at] + offset] == keys[order[at - 1] + offset]
     return same
 
 
@@ -365,9 +359,10 @@ def _earliest(text, begin, starts, first_id, length: int) -> np.ndarray:
     place = np.repeat(begin, starts) + offset
     string_at = np.full(len(text), -1)
     string_at[place] = np.arange(len(place))
-    order = suffix_order(text, length)
+    keys = eight_bytes(text)
+    order = suffix_order(text, keys, length)
     order = order[string_at[order] >= 0]  # suffixes that reach into the next window start no string
-    new = np.flatnonzero(~common_prefix_reaches(text, order, length))
+    new = np.flatnonzero(~common_prefix_reaches(keys, order, length))
     number = string_at[order]
     id_ = np.repeat(first_id, starts)
     least = np.minimum.reduceat(id_[number], new)

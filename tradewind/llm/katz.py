@@ -6,8 +6,9 @@ requests and answers: a batch asks each partition of the n-gram space about its
 the partition adds up the requests of all batches and answers in the order asked. So an n-gram
 travels once per batch, however often it occurs, and no table is ever held as a whole.
 
-* Unigram partitions are ranges of word hashes and answer with training counts.
-* Bigram partitions are ranges of history hashes and answer with the training count of each bigram
+* Unigram partitions are ranges of word hashes and answer with training counts and a number for each
+  word, which is shorter than its hash.
+* Bigram partitions are ranges of hashed history numbers and answer with the training count of each bigram
   and, per history, with what its backoff weight needs: how many successors were seen 1..K times
   and the unigram probability of all seen ones. A history with more than its share of the training
   tokens is salted by successor; the sums of these few histories (at most two per partition) are
@@ -23,15 +24,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import documents, text_or_empty, written
-from tradewind.llm.features import chunks, scan, utf8
+from tradewind.llm.features import chunks, mixed, scan, utf8
 
 K = 5  # counts up to here are discounted
-BATCH_TOKENS, PART_TOKENS = 1 << 21, 1 << 20
-END, BEGIN = np.uint64(0), np.uint64(0xFFFFFFFFFFFFFFFF)  # hashes no word has
+BATCH_TOKENS, PART_TOKENS = 1 << 20, 1 << 20
+END, LAST = np.uint64(0), np.uint64(0xFFFFFFFFFFFFFFFF)  # END is a hash that no word has
+BEGIN = 0  # number of the history before a text's first token
 HELD_OUT = 2
 
 
@@ -39,14 +42,27 @@ HELD_OUT = 2
 
 
 def _counts_to_bytes(x: np.ndarray) -> bytes:
-    """Non-negative integers in the narrowest type that holds them, its width first."""
+    """Non-negative integers in the narrowest type that holds them, byte by byte place, compressed."""
     most = int(x.max(initial=0))
-    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w) or w == 8)
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+    width = next(w for w in (1, 2, 3, 4, 8) if most < 1 << (8 * w) or w == 8)
+    places = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(places.T.tobytes())
 
 
 def _counts_from_bytes(b: bytes) -> np.ndarray:
-    return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64) if b else np.empty(0, np.int64)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    places = np.zeros((raw.shape[1], 8), np.uint8)
+    places[:, : b[0]] = raw.T
+    return places.view("<i8").ravel()
+
+
+def _hashes_to_bytes(x: np.ndarray) -> bytes:
+    """Sorted hashes as their differences."""
+    return _counts_to_bytes(np.diff(x, prepend=np.uint64(0)))
+
+
+def _hashes_from_bytes(b: bytes) -> np.ndarray:
+    return np.cumsum(_counts_from_bytes(b).view(np.uint64))
 
 
 def _batch(names, *rows) -> pa.Table:
@@ -57,7 +73,7 @@ def _batch(names, *rows) -> pa.Table:
 
 
 def corpus_batches(docs: DataFrame) -> DataFrame:
-    """(batch, doc_ids, held, sizes, vocabulary, tokens): the corpus as numbers, written once.
+    """(batch, doc_ids, held, sizes, vocabulary, tokens, ranks): the corpus as numbers, written once.
 
     Tokens are lower-cased words (A-Z, cut at ASCII white space) by 64-bit hash, then one end mark.
     """
@@ -66,7 +82,7 @@ def corpus_batches(docs: DataFrame) -> DataFrame:
         "doc_id", F.coalesce(ident % 7 == HELD_OUT, F.lit(False)).alias("held"), text_or_empty("text").alias("text")
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_ids array<{id_type}>, held binary, sizes binary, vocabulary binary, tokens binary"
+    schema = f"doc_ids array<{id_type}>, held binary, sizes binary, vocabulary binary, tokens binary, ranks binary"
 
     def run(batches):
         ids, held, sizes, words = [], [], [], []
@@ -75,7 +91,7 @@ def corpus_batches(docs: DataFrame) -> DataFrame:
             texts = utf8(batch.column("text"))
             for first, part in chunks(texts):
                 s = scan(part)
-                hashes = np.clip(s.hash, END + np.uint64(1), BEGIN - np.uint64(1))
+                hashes = np.clip(s.hash, END + np.uint64(1), LAST)
                 words.append(np.insert(hashes, s.first_word[1:], END))
                 sizes.append(np.diff(s.first_word) + 1)
                 ids += batch.column("doc_id")[first : first + len(part)].to_pylist()
@@ -94,15 +110,20 @@ def corpus_batches(docs: DataFrame) -> DataFrame:
 
 def _packed(ids, held, sizes, words, id_type) -> pa.RecordBatch:
     vocabulary, tokens = np.unique(np.concatenate(words), return_inverse=True)
+    # Frequent words get small numbers, which compress better.
+    order = np.argsort(-np.bincount(tokens), kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
     parts = [
-        np.array(held, dtype=np.uint8),
-        np.concatenate(sizes).astype("<i8"),
-        vocabulary.astype("<u8"),
-        tokens.astype("<i4"),
+        _counts_to_bytes(np.array(held, dtype=np.int64)),
+        _counts_to_bytes(np.concatenate(sizes)),
+        _hashes_to_bytes(vocabulary),
+        _counts_to_bytes(place[tokens]),
+        _counts_to_bytes(order),
     ]
     return pa.RecordBatch.from_arrays(
-        [pa.array([ids], pa.list_(id_type)), *(pa.array([p.tobytes()], pa.binary()) for p in parts)],
-        names=["doc_ids", "held", "sizes", "vocabulary", "tokens"],
+        [pa.array([ids], pa.list_(id_type)), *(pa.array([p], pa.binary()) for p in parts)],
+        names=["doc_ids", "held", "sizes", "vocabulary", "tokens", "ranks"],
     )
 
 
@@ -118,10 +139,10 @@ class Batch:
     def of(cls, row: dict) -> Batch:
         return cls(
             row["doc_ids"],
-            np.frombuffer(row["held"], np.uint8).astype(bool),
-            np.frombuffer(row["sizes"], "<i8"),
-            np.frombuffer(row["vocabulary"], "<u8"),
-            np.frombuffer(row["tokens"], "<i4").astype(np.int64),
+            _counts_from_bytes(row["held"]).astype(bool),
+            _counts_from_bytes(row["sizes"]),
+            _hashes_from_bytes(row["vocabulary"]),
+            _counts_from_bytes(row["ranks"])[_counts_from_bytes(row["tokens"])],
         )
 
     @property
@@ -153,12 +174,12 @@ def _slices(part: np.ndarray):
 
 _WORDS = "part bigint, batch bigint, words binary, counts binary"
 _WORD_ANSWERS = (
-    "part bigint, batch bigint, counts binary, types bigint, tokens bigint, " + ", ".join(f"n{r} bigint" for r in range(1, K + 2))
+    "part bigint, batch bigint, counts binary, numbers binary, types bigint, tokens bigint, " + ", ".join(f"n{r} bigint" for r in range(1, K + 2))
 )
 
 
 def word_answers(batches: DataFrame, parts: int) -> DataFrame:
-    """Training counts of every batch's words, by batch and partition.
+    """Training counts and numbers (as differences) of every batch's words, by batch and partition.
 
     Each partition also has a row without a batch: its types, tokens and counts of counts.
     """
@@ -169,7 +190,7 @@ def word_answers(batches: DataFrame, parts: int) -> DataFrame:
                 b = Batch.of(row)
                 counts = np.bincount(b.tokens[b.training], minlength=len(b.vocabulary))
                 asked = [
-                    (part, row["batch"], b.vocabulary[x:y].tobytes(), _counts_to_bytes(counts[x:y]))
+                    (part, row["batch"], _hashes_to_bytes(b.vocabulary[x:y]), _counts_to_bytes(counts[x:y]))
                     for part, x, y in _slices(_ranges(b.vocabulary, parts))
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -181,17 +202,18 @@ def word_answers(batches: DataFrame, parts: int) -> DataFrame:
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        words = [np.frombuffer(r["words"], "<u8") for r in rows]
+        words = [_hashes_from_bytes(r["words"]) for r in rows]
         own, place = np.unique(np.concatenate(words), return_inverse=True)
         counts = np.concatenate([_counts_from_bytes(r["counts"]) for r in rows])
         total = np.bincount(place, weights=counts, minlength=len(own)).astype(np.int64)
         cuts = np.cumsum([len(w) for w in words])[:-1]
         part, blank = rows[0]["part"], [None] * (K + 3)
         out = [
-            (part, r["batch"], _counts_to_bytes(total[p]), *blank) for r, p in zip(rows, np.split(place, cuts))
+            (part, r["batch"], _counts_to_bytes(total[p]), _counts_to_bytes(np.diff(p, prepend=0)), *blank)
+            for r, p in zip(rows, np.split(place, cuts))
         ]
         by_count = np.bincount(np.minimum(total, K + 2), minlength=K + 3)
-        out.append((part, None, None, int((total > 0).sum()), int(total.sum()), *by_count[1 : K + 2].tolist()))
+        out.append((part, None, None, None, int((total > 0).sum()), int(total.sum()), *by_count[1 : K + 2].tolist()))
         return _batch(names, *zip(*out))
 
     return batches.mapInArrow(ask, _WORDS).groupBy("part").applyInArrow(answer, _WORD_ANSWERS)
@@ -255,7 +277,10 @@ class Unigrams:
 
 # --- bigrams -------------------------------------------------------------------------------------
 
-_PAIRS = "part bigint, batch bigint, histories binary, runs binary, successors binary, counts binary, words binary"
+_PAIRS = (
+    "part bigint, batch bigint, histories binary, runs binary, successors binary, counts binary, "
+    "history_counts binary, word_counts binary"
+)
 _PAIR_ANSWERS = (
     "part bigint, batch bigint, counts binary, once binary, mass binary, history bigint, "
     + ", ".join(f"n{r} bigint" for r in range(1, K + 2))
@@ -263,13 +288,15 @@ _PAIR_ANSWERS = (
 )
 
 
-def _pair_parts(b: Batch, first: np.ndarray, second: np.ndarray, counts: np.ndarray, share: float, parts: int):
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _pair_parts(numbers, first: np.ndarray, second: np.ndarray, counts: np.ndarray, share: float, parts: int):
     """Partition of each bigram: the history's, or for a hot history one of as many as it fills."""
-    hashes = np.append(b.vocabulary, BEGIN)
-    base = _ranges(hashes, parts)[first]
+    hashed = mixed(numbers.astype(np.uint64) + _SEED)
     salts = np.maximum(np.ceil(counts[first] / share), 1).astype(np.int64)
-    salt = (b.vocabulary[second] % salts.astype(np.uint64)).astype(np.int64)
-    return (base + salt) % parts, salts > 1
+    salt = (hashed[second] % salts.astype(np.uint64)).astype(np.int64)
+    return (_ranges(hashed, parts)[first] + salt) % parts, salts > 1
 
 
 def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts: int, parts: int) -> DataFrame:
@@ -284,12 +311,12 @@ def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts
         out = []
         for row in left.to_pylist():
             b = Batch.of(row)
-            counts = np.append(_word_counts(right), texts)
+            counts, numbers = _word_counts(right, parts)
+            counts, numbers = np.append(counts, texts), np.append(numbers, BEGIN)
             first, second, place = b.bigrams()
             seen = np.bincount(place[b.training], minlength=len(first))
-            part, _hot = _pair_parts(b, first, second, counts, share, parts)
+            part, _hot = _pair_parts(numbers, first, second, counts, share, parts)
             order = np.argsort(part, kind="stable")
-            hashes = np.append(b.vocabulary, BEGIN)
             for p, x, y in _slices(part[order]):
                 own = order[x:y]
                 starts = np.flatnonzero(np.r_[True, first[own][1:] != first[own][:-1]])
@@ -298,11 +325,12 @@ def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts
                     (
                         p,
                         row["batch"],
-                        hashes[history].tobytes(),
+                        _counts_to_bytes(numbers[history]),
                         _counts_to_bytes(np.diff(np.r_[starts, y - x])),
-                        b.vocabulary[second[own]].tobytes(),
+                        _counts_to_bytes(numbers[second[own]]),
                         _counts_to_bytes(seen[own]),
-                        _counts_to_bytes(np.concatenate([counts[history], counts[second[own]]])),
+                        _counts_to_bytes(counts[history]),
+                        _counts_to_bytes(counts[second[own]]),
                     )
                 )
         return _batch(asked, *zip(*out)) if out else pa.table({n: pa.array([], t) for n, t in asked})
@@ -313,13 +341,12 @@ def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        histories = [np.frombuffer(r["histories"], "<u8") for r in rows]
+        histories = [_counts_from_bytes(r["histories"]) for r in rows]
         runs = [_counts_from_bytes(r["runs"]) for r in rows]
         first = np.concatenate([np.repeat(h, n) for h, n in zip(histories, runs)])
-        second = np.concatenate([np.frombuffer(r["successors"], "<u8") for r in rows])
+        second = np.concatenate([_counts_from_bytes(r["successors"]) for r in rows])
         seen = np.concatenate([_counts_from_bytes(r["counts"]) for r in rows])
-        both = [_counts_from_bytes(r["words"]) for r in rows]
-        word = np.concatenate([w[len(h) :] for w, h in zip(both, histories)])
+        word = np.concatenate([_counts_from_bytes(r["word_counts"]) for r in rows])
         # Number the bigrams of the partition, then its histories.
         order = np.lexsort((second, first))
         f, s = first[order], second[order]
@@ -336,8 +363,8 @@ def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts
         )
         out, at = [], 0
         blank = [None] * (K + 3)
-        for row, h in zip(rows, histories):
-            size = len(row["successors"]) // 8
+        for row, h, n in zip(rows, histories, runs):
+            size = int(n.sum())
             pick = np.searchsorted(own, h)
             out.append(
                 (
@@ -354,11 +381,10 @@ def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts
         part = rows[0]["part"]
         out.append((part, None, None, None, None, None, *by_count, None))
         count_of = np.zeros(len(own), np.int64)
-        for w, h in zip(both, histories):
-            count_of[np.searchsorted(own, h)] = w[: len(h)]
+        for row, h in zip(rows, histories):
+            count_of[np.searchsorted(own, h)] = _counts_from_bytes(row["history_counts"])
         for i in np.flatnonzero(count_of > share):  # salted: this partition has a part of its successors
-            code = int(own[i : i + 1].view(np.int64)[0])
-            out.append((part, None, None, None, None, code, *once[i].tolist(), 0, float(mass[i])))
+            out.append((part, None, None, None, None, int(own[i]), *once[i].tolist(), 0, float(mass[i])))
         return _batch(names, *zip(*out))
 
     requests = (
@@ -367,12 +393,11 @@ def pair_answers(batches: DataFrame, words: DataFrame, unigrams: Unigrams, texts
     return requests.groupBy("part").applyInArrow(answer, _PAIR_ANSWERS)
 
 
-def _word_counts(table: pa.Table) -> np.ndarray:
-    """A batch's word counts, from the answers of all its partitions."""
-    rows = sorted(
-        (r for r in table.select(["part", "counts"]).to_pylist()), key=lambda r: r["part"]
-    )
-    return np.concatenate([_counts_from_bytes(r["counts"]) for r in rows])
+def _word_counts(table: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and numbers of a batch's words, from the answers of all its partitions."""
+    rows = sorted(table.select(["part", "counts", "numbers"]).to_pylist(), key=lambda r: r["part"])
+    numbers = [np.cumsum(_counts_from_bytes(r["numbers"])) * parts + r["part"] + 1 for r in rows]
+    return np.concatenate([_counts_from_bytes(r["counts"]) for r in rows]), np.concatenate(numbers)
 
 
 # --- scoring -------------------------------------------------------------------------------------
@@ -384,7 +409,7 @@ class Model:
     ratio: np.ndarray  # of bigrams
     texts: int  # learnt from
     parts: int
-    hot: dict[int, tuple[list[int], float]]  # hash of a salted history -> its successors by count, their mass
+    hot: dict[int, tuple[list[int], float]]  # number of a salted history -> its successors by count, their mass
 
     def history_mass(self, counts: np.ndarray, once: np.ndarray, mass: np.ndarray):
         """(factor of seen successors, backoff weight) per history, so that all successors add up to one."""
@@ -401,11 +426,11 @@ class Model:
 
 
 def _score(b: Batch, word_rows: pa.Table, pair_rows: list[dict], model: Model):
-    words = _word_counts(word_rows)
-    counts = np.append(words, model.texts)
+    words, numbers = _word_counts(word_rows, model.parts)
+    counts, numbers = np.append(words, model.texts), np.append(numbers, BEGIN)
     share = max(model.unigrams.tokens / model.parts, 1.0)
     first, second, place = b.bigrams()
-    part, hot = _pair_parts(b, first, second, counts, share, model.parts)
+    part, hot = _pair_parts(numbers, first, second, counts, share, model.parts)
     order = np.argsort(part, kind="stable")
     total, once = np.empty(len(first), np.int64), np.zeros((len(first), K), np.int64)
     mass = np.empty(len(first))
@@ -416,10 +441,9 @@ def _score(b: Batch, word_rows: pa.Table, pair_rows: list[dict], model: Model):
         run = np.cumsum(np.r_[False, first[own][1:] != first[own][:-1]])
         once[own] = _counts_from_bytes(row["once"]).reshape(-1, K)[run]
         mass[own] = np.frombuffer(row["mass"], "<f8")[run]
-    hashes = np.append(b.vocabulary, BEGIN)
     for h in np.unique(first[hot]):
         at = slice(*np.searchsorted(first, [h, h + 1]))
-        once[at], mass[at] = model.hot[int(hashes[h : h + 1].view(np.int64)[0])]
+        once[at], mass[at] = model.hot[int(numbers[h])]
     keep, weight = model.history_mass(counts[first], once, mass)
     word_p = model.unigrams.probability(words)
     pair_p = model.pair_probability(total, counts[first], word_p[second], keep, weight)
@@ -463,7 +487,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
         .first()
     )
     unigrams = Unigrams.of(total["types"], total["tokens"], [total[n] for n in names])
-    asked = words.where("batch IS NOT NULL").select("part", "batch", "counts")
+    asked = words.where("batch IS NOT NULL").select("part", "batch", "counts", "numbers")
     pairs = written(pair_answers(batches, asked, unigrams, sums["texts"], parts), "pairs")
     apart = pairs.where("batch IS NULL")
     found = apart.where("history IS NULL").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
@@ -474,8 +498,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
     hot = {r["history"]: ([r[n] for n in names[:K]], r["sum"]) for r in salted.collect()}
     model = Model(unigrams, discounts([found[n] for n in names]), sums["texts"], parts, hot)
     blank = [F.lit(None).cast("binary").alias(c) for c in ("once", "mass")]
-    answers = asked.select("part", "batch", "counts", *blank, F.lit(True).alias("of_words")).unionAll(
-        pairs.where("batch IS NOT NULL").select("part", "batch", "counts", "once", "mass", F.lit(False))
+    answers = asked.select("part", "batch", "counts", "numbers", *blank, F.lit(True).alias("of_words")).unionAll(
+        pairs.where("batch IS NOT NULL").select(
+            "part", "batch", "counts", F.lit(None).cast("binary"), "once", "mass", F.lit(False)
+        )
     )
     id_type = docs.schema["doc_id"].dataType
 

@@ -144,6 +144,18 @@ def test_window_reaches_the_scan(spark, tmp_path):
     assert {r.order_id for r in kept.collect()} == {"early", "canceled"}
 
 
+def test_window_of_the_adapter_prunes_the_scan(spark):
+    folder = "/root/testdata/sf0.001"
+    window = Settings(start_date="1996-01-01", end_date="1997-01-01")
+    orders = Warehouse.from_tpch(spark, folder, settings=window).table("stg_orders")
+    plan = orders._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    placed = F.col("order_purchase_timestamp")
+    everything = Warehouse.from_tpch(spark, folder).table("stg_orders")
+    wanted = everything.where((placed >= "1996-01-01") & (placed < "1997-01-01"))
+    assert orders.count() == wanted.count() > 0
+
+
 def test_month_layout_is_sorted_and_pruned(spark, tmp_path):
     df = spark.sql(
         "SELECT date_add(DATE '2018-01-20', CAST(id % 40 AS INT)) AS day, id FROM range(200)"

@@ -59,7 +59,7 @@ def _rows(name: str = "rows_cnt"):
 
 
 def stg_orders_window(w: Warehouse) -> DataFrame:
-    return staging.stg_orders(w.table("orders"), WINDOW)
+    return Warehouse.from_tpch(w.spark, w.memo["source"], settings=WINDOW, folder=w.folder).table("stg_orders")
 
 
 def raw_products_reloaded(w: Warehouse) -> DataFrame:

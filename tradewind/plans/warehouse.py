@@ -146,7 +146,10 @@ class Warehouse:
 
     @classmethod
     def from_tpch(cls, spark: SparkSession, source: str, **options) -> Warehouse:
-        return cls(spark, tpch.raw_tables(spark, source), **options)
+        settings = options.get("settings", Settings())
+        house = cls(spark, tpch.raw_tables(spark, source, settings), **options)
+        house.memo["source"] = source
+        return house
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:

@@ -135,17 +135,23 @@ def mix(
         .withColumn("rest", F.col("budget") - F.col("whole") * F.col("supply")),
         "budgets",
     )
-    cuts = _cuts(narrow, budgets, mixture).select(
-        *[F.col(level).alias(f"__c_{level}") for level in LEVELS],
-        *[F.col(c).alias(f"__{c}") for c in ("whole", "rest", "cut", "below")],
+    # One row per leaf, written so that the planner knows its size: while that is small, no text is shuffled.
+    cuts = written(
+        _cuts(narrow, budgets, mixture).select(
+            *[F.col(level).alias(f"__c_{level}") for level in LEVELS],
+            *[F.col(c).alias(f"__{c}") for c in ("whole", "rest", "cut", "below")],
+        ),
+        "cuts",
     )
     same = [F.col(f"__{level}") == F.col(f"__c_{level}") for level in LEVELS]
     ranked = placed.join(cuts, same).withColumn("__order", _order(F.col("__whole"), mixture))
     bucket = F.substring("__order", 1, 3)
     names = [c for c in docs.columns if c != epoch]
-    epochs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__whole") - 1)).alias(epoch)
-    read_whole = ranked.where("__whole > 0").select(*names, epochs)
-    before_cut = ranked.where((F.col("__rest") > 0) & (F.col("__cut").isNull() | (bucket < F.col("__cut"))))
+    none = F.array().cast("array<bigint>")
+    all_read = F.when(F.col("__whole") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("__whole") - 1)).otherwise(none)
+    in_prefix = (F.col("__rest") > 0) & (F.col("__cut").isNull() | (bucket < F.col("__cut")))
+    last_read = F.when(in_prefix, F.array("__whole")).otherwise(none)
+    certain = ranked.select(*names, F.explode(F.concat(all_read, last_read)).alias(epoch))
     order = (
         Window.partitionBy("__domain", "__lang", "__source")
         .orderBy("__order", "__tokens")
@@ -156,8 +162,7 @@ def mix(
         .withColumn("__before", F.col("__below") + F.coalesce(F.sum("__tokens").over(order), F.lit(0)))
         .where("__before < __rest")
     )
-    last = [r.select(*names, F.col("__whole").alias(epoch)) for r in (before_cut, at_cut)]
-    return read_whole.unionAll(last[0]).unionAll(last[1])
+    return certain.unionAll(at_cut.select(*names, F.col("__whole").alias(epoch)))
 
 
 def _cuts(narrow: DataFrame, budgets: DataFrame, mixture: Mixture) -> DataFrame:

@@ -27,7 +27,7 @@ from tradewind.llm.common import documents, text_or_empty, written
 from tradewind.llm.features import chunks, mixed
 
 LENGTH, GRAM = 50, 16
-BATCH_BYTES, ANCHOR_PART_BYTES, WINDOW_PART_BYTES = 1 << 24, 1 << 26, 1 << 23
+BATCH_BYTES, ANCHOR_PART_BYTES, WINDOW_PART_BYTES = 1 << 23, 1 << 25, 1 << 22
 MOST_STARTS = 64  # strings in a window
 SALT_FROM = 4096  # documents that share an anchor, beyond which it is salted
 

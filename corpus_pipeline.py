@@ -1,7 +1,7 @@
 """Corpus pipeline: documents to packed training sequences, one operator per stage.
 
 Every stage reads all rows its predecessor kept. All but the last return the columns of documents;
-the last returns the token pieces with their sequences.
+the last returns the token pieces, their ids included, with their sequences.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of every document with their sequence and offset."""
+    """Token pieces of every document, token ids included, with their sequence and offset."""
     return packing.pack(packing.token_pieces(docs))
 
 

@@ -90,3 +90,21 @@ def test_few_sequences_on_documents(spark, sample):
 def test_a_piece_beyond_a_limit_is_an_error():
     with pytest.raises(ValueError):
         packing.plan_slots({10: 1}, packing.Limits(attention=50))
+
+
+def test_sequences_are_built_from_the_result_alone(spark, sample):
+    docs = spark.read.parquet(f"{sample}/documents.parquet").limit(50)
+    rows = packing.pack(packing.token_pieces(docs)).collect()
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    by_doc, by_sequence = defaultdict(dict), defaultdict(dict)
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length and zlib.crc32(r.ids) == r.ids_crc32
+        by_doc[r.doc_id][r.start] = ids
+        by_sequence[r.sequence_id][r.offset] = ids
+    for d in docs.collect():
+        ids = [i for _, piece in sorted(by_doc[d.doc_id].items()) for i in piece]
+        assert ids == [*exact.encode(d.text, add_special_tokens=False).ids, 2]
+    for pieces in by_sequence.values():
+        sequence = [i for _, piece in sorted(pieces.items()) for i in piece]
+        assert len(sequence) <= 1024 and all(sequence[a : a + len(p)] == p for a, p in pieces.items())

@@ -14,14 +14,13 @@ from __future__ import annotations
 
 import base64
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType
 
 from tradewind.llm.common import documents, text_or_empty, written
 
@@ -74,7 +73,10 @@ def _encoder(name: str):
 def token_pieces(
     docs: DataFrame, *, capacity: int = CAPACITY, tokenizer: str = "byte_bpe_50k", end_id: int = END_ID
 ) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): whole texts tokenised, null text as an empty one."""
+    """(doc_id, piece, start, length, ids, ids_crc32): whole texts tokenised, null text as an empty one.
+
+    ``ids`` are the token ids of the piece, four little-endian bytes each.
+    """
     picked = docs.select("doc_id", text_or_empty("text").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -87,16 +89,21 @@ def token_pieces(
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((row, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
-            of, *rest = (np.array(c, dtype=np.int64) for c in zip(*rows)) if rows else [np.empty(0, np.int64)] * 5
+                    rows.append((row, piece, a, b - a, ids[a:b].tobytes()))
+            of, piece, start, length, ids = zip(*rows) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(of)), pa.array(rest[0].astype(np.int32)), *map(pa.array, rest[1:])],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                [
+                    batch.column(0).take(pa.array(of, pa.int64())),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ],
+                names=["doc_id", "piece", "start", "length", "ids"],
             )
 
-    return picked.mapInArrow(
-        run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    )
+    pieces = picked.mapInArrow(run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary")
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 # --- the plan ------------------------------------------------------------------------------------
@@ -157,10 +164,12 @@ def plan_slots(counts: dict[int, int], limits: Limits = Limits()) -> list[tuple[
 def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> DataFrame:
     """``pieces`` (any columns, one of them ``length``) plus ``sequence_id`` and ``offset``.
 
-    Every row is placed, repeated rows and rows without a doc_id like any other.
+    Every row is placed, repeated rows and rows without a doc_id like any other. Token ids travel along.
     """
-    rows = written(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
-    salted = rows.withColumn("__salt", F.pmod("__uid", F.lit(salts)))
+    planar = [f.name for f in pieces.schema.fields if f.name == "ids" and f.dataType == BinaryType()]
+    rows = written(_turned(pieces, planar).withColumn("__uid", F.monotonically_increasing_id()), "pieces")
+    # Only lengths are ranked; the other columns wait on disk and meet their places by row number.
+    salted = rows.select("__uid", "length").withColumn("__salt", F.pmod("__uid", F.lit(salts)))
     sizes = salted.groupBy("length", F.col("__salt").alias("salt")).agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = np.array(plan_slots(counts, limits), dtype=np.int64).reshape(-1, 5)
@@ -177,12 +186,11 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> Da
         salted.withColumn("__in_salt", F.row_number().over(inside) - 1)
         .join(F.broadcast(offsets), (F.col("length") == F.col("__l")) & (F.col("__salt") == F.col("__s")))
         .withColumn("__rank", F.col("__below") + F.col("__in_salt"))
-        .select(*pieces.columns, "__rank")
+        .select(F.col("__uid").alias("__of"), "length", "__rank")
     )
     # Ranks of a length are gapless, so (length, rank) in one number is found by binary search.
     wide = int(max(counts.values(), default=0)) + 1
     first = slots[:, 0] * wide + slots[:, 1]
-    schema = StructType(list(ranked.schema.fields)).add("sequence_id", "long").add("offset", "long")
 
     def place(batches):
         for batch in batches:
@@ -191,13 +199,43 @@ def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> Da
             at = np.searchsorted(first, length * wide + rank, side="right") - 1
             sequence = slots[at, 3] + rank - slots[at, 1]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sequence), pa.array(slots[at, 4])],
-                names=[*batch.schema.names, "sequence_id", "offset"],
+                [batch.column("__of"), pa.array(sequence), pa.array(slots[at, 4])],
+                names=["__of", "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, schema).drop("__rank")
+    placed = ranked.mapInArrow(place, "__of bigint, sequence_id bigint, offset bigint")
+    joined = rows.join(placed, F.col("__uid") == F.col("__of"))
+    return _turned(joined.select(*pieces.columns, "sequence_id", "offset"), planar, back=True)
+
+
+def _turned(df: DataFrame, columns: list[str], back: bool = False) -> DataFrame:
+    """``df`` with four-byte numbers in ``columns`` as four runs of bytes of one place, or back again.
+
+    Token ids have two high bytes of zero, which shrink on disk only when they stand together.
+    """
+    if not columns:
+        return df
+
+    def turn(value: bytes | None) -> bytes | None:
+        if value is None or len(value) % 4:
+            return value
+        return np.frombuffer(value, np.uint8).reshape((4, -1) if back else (-1, 4)).T.tobytes()
+
+    def run(batches):
+        for batch in batches:
+            for name in columns:
+                at = batch.schema.get_field_index(name)
+                turned = pa.array(map(turn, batch.column(at).to_pylist()), batch.schema.field(at).type)
+                batch = batch.set_column(at, name, turned)
+            yield batch
+
+    return df.mapInArrow(run, df.schema)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence of at most 1024 tokens and its place there."""
-    return pack(token_pieces(documents(spark, sf_dir)))
+    """Every piece of every document with its sequence of at most 1024 tokens and its place there.
+
+    The ids are packed along; the query shows their checksum.
+    """
+    placed = pack(token_pieces(documents(spark, sf_dir)))
+    return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -104,3 +104,19 @@ def test_runs_cover_every_string_once():
         for s in range(a, a + n):
             assert seen.setdefault(texts[d][s : s + 50], key) == key
     assert int(count.sum()) == sum(max(len(t) - 49, 0) for t in texts)
+
+
+def test_copies_in_a_batch_do_not_travel(spark):
+    """What meets in a partition is the same for 3 and for 300 copies of a text."""
+    text = "".join(random.Random(14).choice("abcdefgh ") for _ in range(400))
+
+    def traffic(copies):
+        docs = spark.createDataFrame([(i, text) for i in range(copies)], "doc_id bigint, text string")
+        batched = docs.selectExpr("doc_id", "xxhash64(text) AS copy", "text", "0L AS batch")
+        shared = suffix._shared_anchors(batched, 1, 50)
+        rows = suffix._windows(batched, shared, 1, 1, 50).collect()
+        return sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray)))
+
+    assert traffic(300) == traffic(3) > 0
+    rows = [(i, text) for i in range(300)]
+    assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)

@@ -4,15 +4,16 @@ Every string of ``LENGTH`` bytes has an anchor, the smallest hash among its ``GR
 equal strings have equal anchors. Documents are dealt into batches and go through three rounds:
 
 1. A batch asks the partitions of the anchor space which of its anchors occur in several documents.
-2. Texts around shared anchors (windows, each distinct one once per batch) meet in one partition per
-   anchor. Anchors of very many documents are salted by whole strings. The partition sorts the
-   suffixes of its windows in two stages: suffixes smaller than their successors directly, the others
-   induced by scanning the buckets of first bytes. Neighbours whose common prefix reaches the length
-   are equal strings, and the smallest doc_id among them decides for all.
-3. Each batch cuts the spans found out of its documents.
-
-A text is read in whole in every round, only shared stretches travel, and no round holds more than a
-batch or a partition, both of bounded size whatever the number of copies.
+2. Texts around shared anchors (windows, each distinct one once per batch, with the batch's smallest
+   doc_id that holds it) meet in one partition per anchor. Anchors of very many documents are salted
+   by whole strings. The partition sorts the suffixes of its windows in two stages: suffixes smaller
+   than their successors directly, the others induced by scanning the buckets of first bytes.
+   Neighbours whose common prefix reaches the length are equal strings; the smallest doc_id among
+   them is the answer to every batch that asked.
+3. Each batch finds its windows again, applies the answers to all their occurrences and cuts.
+
+A text is read in whole in every round, and only shared stretches travel. Copies of a window within a
+batch never leave it: a string costs a partition one row's share per batch, not per document.
 """
 
 from __future__ import annotations
@@ -215,8 +216,8 @@ def _rows(schema: str, rows: list[tuple]) -> pa.Table:
 
 _QUESTIONS = "part bigint, batch bigint, anchors binary, several binary"
 _ANSWERS = "batch bigint, part bigint, shared binary"
-_WINDOWS = "part bigint, batch bigint, sizes binary, bytes binary, times binary, doc binary, id binary, start binary"
-_SPANS = "batch bigint, doc binary, start binary, end binary"
+_WINDOWS = "part bigint, batch bigint, sizes binary, bytes binary, id binary"
+_EARLIEST = "batch bigint, part bigint, differs binary, id binary"
 
 
 def _shared_anchors(batched: DataFrame, parts: int, length: int) -> DataFrame:
@@ -249,60 +250,66 @@ def _shared_anchors(batched: DataFrame, parts: int, length: int) -> DataFrame:
     return asked.groupBy("part").applyInArrow(answer, _ANSWERS)
 
 
-def _windows(batched: DataFrame, shared: DataFrame, parts: int, window_parts: int, length: int) -> DataFrame:
-    """The distinct windows of a batch around shared anchors with their occurrences, by partition."""
+class _Found:
+    """The distinct windows of a batch around shared anchors, in order of partition, and where they occur."""
 
-    def collect(_, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return _rows(_WINDOWS, [])
-        docs = _Docs(left)
+    def __init__(self, docs: _Docs, shared: list[dict], parts: int, window_parts: int, length: int) -> None:
         of, start, count, anchor = docs.runs(length)
         slices, own, _ = _asked(anchor, of, parts)
-        answers = {r["part"]: np.frombuffer(r["shared"], np.uint8) for r in right.to_pylist()}
+        answers = {r["part"]: np.frombuffer(r["shared"], np.uint8) for r in shared}
         code = np.concatenate([answers[p] for p, _, _ in slices]) if slices else np.empty(0, np.uint8)
         by = np.argsort(own)
         code_of = code[by][np.searchsorted(own[by], anchor)]
         pick = np.flatnonzero(code_of)
-        places: dict[tuple[int, bytes], list[int]] = {}
-        where: list[tuple[int, int]] = []
+        number: dict[tuple[int, bytes], int] = {}
+        where: list[tuple[int, int, int]] = []  # window, document, start
         for d, a, n, key, salts in zip(*(x[pick].tolist() for x in (of, start, count, anchor, code_of))):
             text = docs.texts[d]
             if salts == 1:
-                places.setdefault((key, text[a : a + n + length - 1]), []).append(len(where))
-                where.append((d, a))
+                where.append((number.setdefault((key, text[a : a + n + length - 1]), len(number)), d, a))
                 continue
             for s in range(a, a + n):  # a salted anchor: every string by itself
                 string = text[s : s + length]
                 salt = xxhash.xxh64_intdigest(string) & ((1 << (salts - 1)) - 1)
-                places.setdefault(((key + salt * _ODD) & _ALL, string), []).append(len(where))
-                where.append((d, s))
-        if not places:
-            return _rows(_WINDOWS, [])
-        keys = np.fromiter((k for k, _ in places), dtype=np.uint64, count=len(places))
+                where.append((number.setdefault(((key + salt * _ODD) & _ALL, string), len(number)), d, s))
+        keys = np.fromiter((k for k, _ in number), dtype=np.uint64, count=len(number))
         part = _part_of(keys, window_parts)
-        windows, occurrences = [w for _, w in places], list(places.values())
-        doc, at = (np.array(c, dtype=np.int64) for c in zip(*where))
-        ids = np.array([i if i is not None else 0 for i in docs.ids], dtype=np.int64)
         order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1]])
+        windows = [w for _, w in number]
+        self.windows = [windows[i] for i in order.tolist()]
+        self.starts = np.fromiter(map(len, self.windows), dtype=np.int64, count=len(order)) - length + 1
+        part = part[order]
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else order
+        self.slices = list(zip(part[cuts].tolist(), cuts.tolist(), np.r_[cuts[1:], len(part)].tolist()))
+        window, self.doc, self.start = np.array(where, dtype=np.int64).reshape(-1, 3).T
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.window = place[window]
+        ids = np.array(docs.ids[: docs.ranked], dtype=np.int64)
+        self.id = ids[self.doc]
+
+    def first_ids(self) -> np.ndarray:
+        first = np.full(len(self.windows), np.iinfo(np.int64).max)
+        np.minimum.at(first, self.window, self.id)
+        return first
+
+
+def _windows(batched: DataFrame, shared: DataFrame, parts: int, window_parts: int, length: int) -> DataFrame:
+    """The distinct windows of a batch around shared anchors with their smallest doc_id, by partition."""
+
+    def collect(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _rows(_WINDOWS, [])
+        found = _Found(_Docs(left), right.to_pylist(), parts, window_parts, length)
+        sizes, first = (found.starts + length - 1).astype("<u4"), found.first_ids().astype("<i8")
         batch = left.column("batch")[0].as_py()
-        out = []
-        for x, y in zip(cuts, np.r_[cuts[1:], len(order)]):
-            mine = order[x:y].tolist()
-            occ = np.array([o for i in mine for o in occurrences[i]])
-            out.append(
-                (
-                    int(part[order[x]]),
-                    batch,
-                    np.array([len(windows[i]) for i in mine], "<u4").tobytes(),
-                    b"".join([windows[i] for i in mine]),
-                    np.array([len(occurrences[i]) for i in mine], "<u4").tobytes(),
-                    doc[occ].astype("<u4").tobytes(),
-                    ids[doc[occ]].astype("<i8").tobytes(),
-                    at[occ].astype("<i8").tobytes(),
-                )
-            )
-        return _rows(_WINDOWS, out)
+        return _rows(
+            _WINDOWS,
+            [
+                (p, batch, sizes[a:b].tobytes(), b"".join(found.windows[a:b]), first[a:b].tobytes())
+                for p, a, b in found.slices
+            ],
+        )
 
     grouped = batched.where("doc_id IS NOT NULL").groupBy("batch")
     return grouped.cogroup(shared.groupBy("batch")).applyInArrow(collect, _WINDOWS)
@@ -311,8 +318,8 @@ def _windows(batched: DataFrame, shared: DataFrame, parts: int, window_parts: in
 _ODD, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
-def _spans(windows: DataFrame, length: int) -> DataFrame:
-    """Spans of each batch's documents that an earlier document holds too."""
+def _answers(windows: DataFrame, length: int) -> DataFrame:
+    """Per batch and partition, for each window asked: the earliest doc_id, of each string where they differ."""
 
     def sort(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -321,36 +328,49 @@ def _spans(windows: DataFrame, length: int) -> DataFrame:
         for r in rows:
             ends = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist()
             text = r["bytes"]
-            own = [number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)]
-            window_of.append(np.repeat(np.array(own), np.frombuffer(r["times"], "<u4")))
+            window_of.append(
+                np.array([number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)])
+            )
         sizes = np.fromiter(map(len, number), dtype=np.int64, count=len(number))
         text = np.frombuffer(b"".join(number), dtype=np.uint8)
-        window = np.concatenate(window_of)
-        ids = np.concatenate([np.frombuffer(r["id"], "<i8") for r in rows])
         first_id = np.full(len(number), np.iinfo(np.int64).max)
-        np.minimum.at(first_id, window, ids)
+        for r, w in zip(rows, window_of):
+            np.minimum.at(first_id, w, np.frombuffer(r["id"], "<i8"))
         starts = sizes - length + 1
         begin = np.cumsum(sizes) - sizes
         earliest = _earliest(text, begin, starts, first_id, length)
         edge = np.cumsum(starts) - starts
-        low, high = np.minimum.reduceat(earliest, edge), np.maximum.reduceat(earliest, edge)
-        out, at = [], 0
+        differs = np.minimum.reduceat(earliest, edge) != np.maximum.reduceat(earliest, edge)
+        number_of = np.where(differs, starts, 1)
+        out = []
         for r, w in zip(rows, window_of):
-            id_, doc = ids[at : at + len(w)], np.frombuffer(r["doc"], "<u4").astype(np.int64)
-            at += len(w)
-            start = np.frombuffer(r["start"], "<i8")
-            whole = np.flatnonzero(id_ > high[w])
-            found = [(doc[whole], start[whole], start[whole] + starts[w[whole]] - 1 + length)]
-            for i in np.flatnonzero((id_ > low[w]) & (id_ <= high[w])).tolist():  # differs within the window
-                x = edge[w[i]]
-                hit = np.flatnonzero(earliest[x : x + starts[w[i]]] < id_[i])
-                found.append((np.full(len(hit), doc[i]), start[i] + hit, start[i] + hit + length))
-            d, a, b = (np.concatenate(c) for c in zip(*found))
-            if len(d):
-                out.append((r["batch"], *_merged(d, a, b)))
-        return _rows(_SPANS, out)
-
-    return windows.groupBy("part").applyInArrow(sort, _SPANS)
+            n = number_of[w]
+            at = np.repeat(edge[w] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            out.append((r["batch"], r["part"], differs[w].astype(np.uint8).tobytes(), earliest[at].astype("<i8").tobytes()))
+        return _rows(_EARLIEST, out)
+
+    return windows.groupBy("part").applyInArrow(sort, _EARLIEST)
+
+
+def _spans(found: _Found, answers: list[dict], length: int):
+    """(document, start, end) of the stretches of a batch that an earlier document holds too."""
+    by_part = {r["part"]: r for r in answers}
+    rows = [by_part[p] for p, _, _ in found.slices]
+    if not rows:
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    differs = np.concatenate([np.frombuffer(r["differs"], np.uint8) for r in rows]).astype(bool)
+    earliest = np.concatenate([np.frombuffer(r["id"], "<i8") for r in rows])
+    number = np.where(differs, found.starts, 1)
+    edge = np.cumsum(number) - number
+    low, high = np.minimum.reduceat(earliest, edge), np.maximum.reduceat(earliest, edge)
+    id_, w, doc, start = found.id, found.window, found.doc, found.start
+    whole = np.flatnonzero(id_ > high[w])
+    spans = [(doc[whole], start[whole], start[whole] + found.starts[w[whole]] - 1 + length)]
+    for i in np.flatnonzero((id_ > low[w]) & (id_ <= high[w])).tolist():  # differs within the window
+        x = edge[w[i]]
+        hit = np.flatnonzero(earliest[x : x + number[w[i]]] < id_[i])
+        spans.append((np.full(len(hit), doc[i]), start[i] + hit, start[i] + hit + length))
+    return merge_spans(*(np.concatenate(c) for c in zip(*spans)))
 
 
 def _earliest(text, begin, starts, first_id, length: int) -> np.ndarray:
@@ -371,10 +391,6 @@ def _earliest(text, begin, starts, first_id, length: int) -> np.ndarray:
     return earliest
 
 
-def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, bytes, bytes]:
-    return tuple(x.astype("<i8").tobytes() for x in merge_spans(doc, start, end))
-
-
 def merge_spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray):
     """Maximal runs of the spans of each document, by document and start."""
     order = np.lexsort((start, doc))
@@ -404,15 +420,22 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text).alias("copy"), text.alias("text"))
     batched = keyed.withColumn("batch", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(batches)))
     shared = written(_shared_anchors(batched, parts, length), "anchors")
-    spans = written(_spans(_windows(batched, shared, parts, window_parts, length), length), "spans")
+    windows = _windows(batched, shared, parts, window_parts, length)
+    answers = written(_answers(windows, length), "answers")
+    # What a batch was told in both rounds: a row is of the first if it has ``shared``.
+    none = F.lit(None).cast("binary")
+    told = shared.select("batch", "part", "shared", none.alias("differs"), none.alias("id")).unionAll(
+        answers.select("batch", "part", none, "differs", "id")
+    )
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         own = _Docs(left)
-        found = [[np.frombuffer(r[c], "<i8") for c in ("doc", "start", "end")] for r in right.to_pylist()]
+        rows = right.to_pylist()
+        found = _Found(own, [r for r in rows if r["shared"] is not None], parts, window_parts, length)
         spans: dict[int, list[tuple[int, int]]] = {}
-        if found:
-            for d, a, b in zip(*(x.tolist() for x in merge_spans(*(np.concatenate(c) for c in zip(*found))))):
-                spans.setdefault(d, []).append((a, b))
+        heard = [r for r in rows if r["shared"] is None]
+        for d, a, b in zip(*(x.tolist() for x in _spans(found, heard, length))):
+            spans.setdefault(d, []).append((a, b))
         kept, lists = [], []
         for d, body in enumerate(own.texts):
             edges = [0, *(x for span in spans.get(d, ()) for x in span), len(body)]
@@ -429,7 +452,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         )
 
     schema = "doc_id bigint, n_bytes bigint, kept binary, spans array<struct<start:bigint,end:bigint>>"
-    return batched.groupBy("batch").cogroup(spans.groupBy("batch")).applyInArrow(cut, schema)
+    return batched.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(cut, schema)
 
 
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

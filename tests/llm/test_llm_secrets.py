@@ -124,3 +124,20 @@ def test_digest_of_documents(spark, sample):
     for r in scans.op6_secrets(spark, sample).collect():
         listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base_spans(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
+def test_masking_leaves_no_key_material(spark):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = "\n".join(["MIIEpAIBAAKC+/" + "Qx9" * 16] * 25 + ["Qx9="])
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F1E2D\n\n"
+    texts = {
+        f"a\n{begin}\n{lines}\n{end}\nb": "a\n[secret]\nb",
+        f"a\n{begin}\n{head}{lines}\n{end}\nb": "a\n[secret]\nb",
+        f"a\n{begin}\n{lines}\nsome words, b": "a\n[secret]\nsome words, b",
+        f"a\n{begin}\n{head}{lines}": "a\n[secret]",
+        "k: " + f"{begin}\n{lines}\n{end}".replace("\n", "\\n") + " b": "k: [secret] b",
+        f"the header {begin} alone.": "the header [secret] alone.",
+        f"see https://{'u' * 90}:{'Qx9' * 40}@host/x": "see [secret]host/x",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.text for r in scans.masked(docs).orderBy("doc_id").collect()] == list(texts.values())

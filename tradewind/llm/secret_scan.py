@@ -47,8 +47,14 @@ MORE = (
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[sr]k_live_[0-9A-Za-z]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/@]{3,64}@"),
+    # Up to the END line; without one, up to the last line of base64.
+    Rule(
+        "private_key",
+        r"""-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"""
+        r"""(?:[A-Za-z0-9+/=\s\\:,"'-]*?-----END [A-Z ]{0,20}PRIVATE KEY-----"""
+        r"""|(?:\s*Proc-Type:[^\n]*\s+DEK-Info:[^\n]*)?[\x20\t]*[A-Za-z0-9+/=\r\n\\]*(?![^\r\n"']))?""",
+    ),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]+:[^\s/@]{3,}@"),
 )
 RULES = BASE + MORE
 MASK = "[secret]"

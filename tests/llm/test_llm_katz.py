@@ -126,3 +126,10 @@ def test_nothing_to_learn_from(spark, nothing):
 def test_discounts_are_discounts(counts):
     ratio = katz.discounts(counts)[1:]
     assert (ratio > 0).all() and (ratio < 1).all()
+
+
+def test_words_that_end_in_nul_bytes_are_words_of_their_own(spark):
+    rows = [(1, "abc abc\0 abc\0\0 \0 x"), (2, "abc\0 \0\0 \0"), (3, "abc \0a a"), (4, "\0")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    brute = compare(rows, katz.score_texts(docs).collect())
+    assert brute.types == 9

@@ -113,3 +113,13 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
     right = [verdict[r.doc_id] == bool(r.quality) for r in labels if r.doc_id in verdict]
     assert np.mean(right) > 0.9
+
+
+def test_a_text_scores_alone_as_among_others():
+    rng = np.random.default_rng(11)
+    weights = rng.normal(size=(2 + len(quality.GRAMS)) << quality.BITS)
+    texts = [b"", b"ab", b"abc", b"a short one", b"x" * 50, "é 中文".encode(), b" lead and trail ", b"end\n", b"a\0"]
+    together = quality._margins(scan(texts), weights)
+    turned = quality._margins(scan(texts[::-1]), weights)[::-1]
+    alone = [quality._margins(scan([t]), weights)[0] for t in texts]
+    assert np.allclose(together, alone, atol=1e-12) and np.allclose(turned, alone, atol=1e-12)

@@ -52,11 +52,22 @@ def test_awkward_rows(awkward):
 def test_one_of_each_stays(awkward):
     kept = simhash.keep_one_of_each(awkward)
     assert kept.columns == awkward.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 3, 6, 9, 10]
+    rows = kept.collect()
+    ids = [r.doc_id for r in rows]
+    # Row 9 has two unrelated texts, and both stay.
+    assert sorted(i for i in ids if i is not None) == [1, 3, 6, 9, 9, 10]
+    assert {r.text for r in rows if r.doc_id == 9} == {"word", "other words here"}
     assert ids.count(None) == 2  # rows that cannot be named stay
 
 
+def test_one_row_of_each_component_whatever_its_ids(spark):
+    near = " ".join(f"w{i}" for i in range(400))
+    rows = [(1, near), (1, "something else entirely"), (2, near + " x"), (2, "a third text"), (3, near), (3, near)]
+    docs = spark.createDataFrame([(*r, {"k": i}) for i, r in enumerate(rows)], "doc_id int, text string, m map<string,int>")
+    got = simhash.keep_one_of_each(docs).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got)) == [(1, "something else entirely"), (1, near), (2, "a third text")]
+
+
 def test_empty(nothing):
     assert simhash.near_duplicates(nothing).count() == 0
     assert simhash.keep_one_of_each(nothing).count() == 0

@@ -5,15 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 21  # bytes of text looked at together
+CHUNK = 1 << 20  # bytes of text looked at together
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint64)
+# Byte 0 must add to a hash too, or words that end in it would equal shorter ones.
+_LOWER = np.array([1 + (b + 32 if 65 <= b <= 90 else b) for b in range(256)], dtype=np.uint64)
 
 
 @dataclass
@@ -98,18 +101,34 @@ def utf8(column) -> list[bytes]:
     return [v.as_buffer().to_pybytes() for v in column]
 
 
+def slices(column: pa.Array, most: int = CHUNK):
+    """(first row, texts as bytes) of slices of at most ``most`` bytes, or one longer text; null is empty.
+
+    Bytes come from the Arrow buffers, and only one slice of a batch is alive at a time.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(column):
+        before = ends[first - 1] if first else 0
+        after = max(int(np.searchsorted(ends, before + most, side="right")), first + 1)
+        yield first, [v.as_buffer().to_pybytes() if v.is_valid else b"" for v in column[first:after]]
+        first = after
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(doc_id, text, label): at most ``per_class`` documents of label 0 and of label 1 each.
 
     They are those with the smallest hashes of their ids, so the sample depends on the ids alone. Labels
-    other than 0 and 1, nulls, and labels of unknown documents are left out; of conflicting labels of
-    one document the larger counts.
+    other than 0 and 1, nulls, and labels of documents that are unknown or have no text are left out before
+    the bound counts; of conflicting labels of one document the larger counts.
     """
+    there = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").alias("d"))
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
         .where("doc_id IS NOT NULL AND label IN (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
+        .join(there, F.col("doc_id") == F.col("d"), "left_semi")
         .withColumn("order", F.xxhash64("doc_id"))
     )
     parts = [known.where(F.col("label") == c).orderBy("order", "doc_id").limit(per_class) for c in (0, 1)]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import documents, text_or_empty, written
-from tradewind.llm.features import chunks, mixed, scan, utf8
+from tradewind.llm.features import mixed, scan, slices
 
 K = 5  # counts up to here are discounted
 BATCH_TOKENS, PART_TOKENS = 1 << 20, 1 << 20
@@ -88,8 +88,7 @@ def corpus_batches(docs: DataFrame) -> DataFrame:
         ids, held, sizes, words = [], [], [], []
         tokens = 0
         for batch in batches:
-            texts = utf8(batch.column("text"))
-            for first, part in chunks(texts):
+            for first, part in slices(batch.column("text")):
                 s = scan(part)
                 hashes = np.clip(s.hash, END + np.uint64(1), LAST)
                 words.append(np.insert(hashes, s.first_word[1:], END))

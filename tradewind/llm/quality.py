@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import documents, text_or_empty
-from tradewind.llm.features import Sparse, Scan, chunks, labelled_sample, mixed, scan, total_per_text, utf8
+from tradewind.llm.features import Scan, Sparse, labelled_sample, mixed, scan, slices, total_per_text
 
 SAMPLE_PER_CLASS = 1000  # bound of the fitting sample, per class
 BITS, GRAMS, SCALE = 15, (3, 4), 20.0
@@ -55,9 +55,12 @@ def _grams(s: Scan):
         code = np.zeros(len(s.raw), dtype=np.uint64)
         for k in range(n):
             code = (code << np.uint64(8)) | wide[k : k + len(s.raw)]
-        buckets = (mixed(code + np.uint64(n)) >> pick).astype(np.int64) + kind * size
-        # Grams may reach one text's end mark but start inside it; the marks themselves start none.
-        yield buckets, np.r_[s.text_start, len(s.raw)]
+        # A gram ends with its text at the latest, so a text's grams do not depend on the one behind it.
+        number = np.maximum(s.text_end - s.text_start - n + 1, 0)
+        first = np.cumsum(number) - number
+        at = np.arange(int(number.sum())) + np.repeat(s.text_start - first, number)
+        buckets = (mixed(code[at] + np.uint64(n)) >> pick).astype(np.int64) + kind * size
+        yield buckets, np.r_[first, len(at)]
 
 
 def _margins(s: Scan, weights: np.ndarray) -> np.ndarray:
@@ -85,7 +88,7 @@ def feature_rows(sample: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = []
-            for _, part in chunks(utf8(batch.column("text"))):
+            for _, part in slices(batch.column("text")):
                 rows += [(c.astype("<i4").tobytes(), v.astype("<f4").tobytes()) for c, v in _rows(scan(part))]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -226,7 +229,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in batches:
             got = []
-            for _, part in chunks(utf8(batch.column("text"))):
+            for _, part in slices(batch.column("text")):
                 s = scan(part)
                 got.append([*_measures(part, s), model.probability(_margins(s, model.weights))])
             arrays = [pa.array(np.concatenate(c)) for c in zip(*got)]

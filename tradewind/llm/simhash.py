@@ -30,14 +30,19 @@ _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 # --- fingerprints --------------------------------------------------------------------------------
 
 
-def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE, copies: bool = False
+) -> DataFrame:
     """(doc_id, fp): fp as a signed long. Null text is empty; a text without words has fp 0.
 
-    Words are split at ASCII white space after lower-casing A-Z; every shingle of ``shingle`` words
+    With ``copies`` a hash of the text stands beside them, which tells apart rows of one doc_id. Words are split at ASCII white space after lower-casing A-Z; every shingle of ``shingle`` words
     counts, repeats included, and a shorter text is one shingle.
     """
     picked = docs.select("doc_id", text_or_empty(text).alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp bigint"
+    if copies:
+        picked = picked.withColumn("copy", F.xxhash64("text"))
+        schema += ", copy bigint"
 
     def run(batches):
         for batch in batches:
@@ -45,7 +50,8 @@ def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = SHINGLE)
                 [_fingerprint(t.lower().split(), shingle) for t in _utf8(batch.column(1))], dtype=np.uint64
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]],
+                names=["doc_id", "fp", *batch.schema.names[2:]],
             )
 
     return picked.mapInArrow(run, schema)
@@ -241,7 +247,13 @@ def near_duplicates(
     differing bits. Rows with equal doc_id are each returned. A null doc_id links like any other but
     names no component: a group of null ids alone has a null component_id. An empty table gives none.
     """
-    prints = written(fingerprints(docs, text=text, shingle=shingle), "fingerprints")
+    found = _grouped(fingerprints(docs, text=text, shingle=shingle), radius, blocks, tile)
+    return found.select("doc_id", "fp", "component_id")
+
+
+def _grouped(prints: DataFrame, radius: int, blocks: int, tile: int) -> DataFrame:
+    """``prints`` with the smallest fingerprint (``top``) and the smallest doc_id of each row's component."""
+    prints = written(prints, "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     star = connected_components(link_edges(nodes.select("fp"), radius, blocks, tile))
     rooted = (
@@ -249,31 +261,51 @@ def near_duplicates(
         .select("fp", "first", F.coalesce("root", "fp").alias("top"))
     )
     firsts = rooted.groupBy("top").agg(F.min("first").alias("component_id")).withColumnRenamed("top", "t")
-    groups = rooted.join(firsts, F.col("top") == F.col("t")).select(F.col("fp").alias("f"), "component_id")
-    return prints.join(groups, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+    groups = rooted.join(firsts, F.col("top") == F.col("t")).select(F.col("fp").alias("f"), "top", "component_id")
+    return prints.join(groups, F.col("fp") == F.col("f")).drop("f")
 
 
-def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
+def keep_one_of_each(
+    docs: DataFrame,
+    *,
+    text: str = "text",
+    shingle: int = SHINGLE,
+    radius: int = RADIUS,
+    blocks: int = BLOCKS,
+    tile: int = TILE,
+) -> DataFrame:
     """The rows of ``docs`` without near-duplicates, all columns as they are.
 
-    One row of each group stays: that of the smallest doc_id; of rows with equal doc_id the one whose
-    other columns sort first. Rows without a doc_id cannot be named and stay.
+    One row of each group stays: that of the smallest doc_id and, where rows of that doc_id differ in
+    their text, the smallest hash of it. Of rows with equal doc_id and text the one stays whose other
+    columns sort first (maps, which have no order, do not count). Rows without a doc_id cannot be named
+    and stay. Null text is empty, and an empty table gives none.
     """
+    prints = fingerprints(docs.where("doc_id IS NOT NULL"), text=text, shingle=shingle, copies=True)
     stay = (
-        near_duplicates(docs, **options)
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("__stays"))
-        .distinct()
+        _grouped(prints, radius, blocks, tile)
+        .groupBy("top")
+        .agg(F.min(F.struct("doc_id", "copy")).alias("one"))
+        .select(F.col("one.doc_id").alias("__stays"), F.col("one.copy").alias("__as"))
     )
-    rest = [c for c in docs.columns if c != "doc_id"]
-    first = (
-        docs.join(stay, F.col("doc_id") == F.col("__stays"), "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min(F.struct(*rest)).alias("__row"))
-        .select("doc_id", *[F.col("__row")[c].alias(c) for c in rest])
-        .select(*docs.columns)
+    rest = [f for f in docs.schema.fields if f.name not in ("doc_id", text)]
+    ordered = [f.name for f in rest if "map<" not in f.dataType.simpleString()]
+    other = [f.name for f in rest if f.name not in ordered]
+    # Repeated rows collapse before they travel, and the join reuses their distribution.
+    single = (
+        docs.where("doc_id IS NOT NULL")
+        .withColumn("__copy", F.xxhash64(text_or_empty(text)))
+        .groupBy("doc_id", "__copy")
+        .agg(
+            F.first(text).alias("__text"),
+            F.min(F.struct(F.lit(0).alias("__"), *ordered)).alias("__row"),
+            *[F.first(c).alias(f"__map_{i}") for i, c in enumerate(other)],
+        )
     )
-    return first.unionByName(docs.where(F.col("doc_id").isNull()))
+    columns = {"doc_id": F.col("doc_id"), text: F.col("__text")}
+    columns |= {c: F.col("__row")[c] for c in ordered} | {c: F.col(f"__map_{i}") for i, c in enumerate(other)}
+    kept = single.join(stay, (F.col("doc_id") == F.col("__stays")) & (F.col("__copy") == F.col("__as")), "left_semi")
+    return kept.select(*[columns[c].alias(c) for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,21 +95,32 @@ def _smaller_than_successor(text: np.ndarray) -> np.ndarray:
 
 
 def _sorted_directly(keys: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by eight bytes at a time, further only where they are still equal."""
+    """Suffixes sorted by eight bytes at a time, further only where they are still equal.
+
+    Most groups of equal suffixes of near copies agree in their next eight bytes too; those stay as they are.
+    """
     key = keys[starts]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     starts, key = starts[order], key[order]
     same = np.r_[False, key[1:] == key[:-1]]
     for offset in range(8, depth, 8):
         at = np.flatnonzero(same | np.r_[same[1:], False])
         if not len(at):
             break
-        group = np.cumsum(~same[at])
+        inner = same[at]
         key = keys[np.minimum(starts[at] + offset, len(keys) - 1)]
-        by = np.lexsort((key, group))
-        starts[at] = starts[at][by]
+        differs = np.r_[False, key[1:] != key[:-1]] & inner
+        group = np.cumsum(~inner) - 1
+        torn = np.zeros(int(group[-1]) + 1, dtype=bool)
+        torn[group[differs]] = True
+        sub = np.flatnonzero(torn[group])
+        if not len(sub):
+            continue
+        by = sub[np.lexsort((key[sub], group[sub]))]
+        place = at[sub]
+        starts[place] = starts[at[by]]
         key = key[by]
-        same[at] = np.r_[False, (key[1:] == key[:-1]) & (group[1:] == group[:-1])]
+        same[place] = np.r_[False, key[1:] == key[:-1]] & inner[sub]
     return starts
 
 

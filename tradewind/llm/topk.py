@@ -138,8 +138,8 @@ def search_block(query, block, bound: np.ndarray, k: int):
 
     ``bound`` is a score that the query's k-th best reaches; candidates are sorted by length, longest first.
     """
-    _, query_ids, query_norm, q = query
-    _, ids, norm, c = block
+    query_uids, _, query_norm, q = query
+    uids, ids, norm, c = block
     need = bound / np.maximum(query_norm, 1e-300)  # least length of a candidate, if the bound is positive
     slack = 1 - 1e-9
     for i in np.flatnonzero((bound <= 0) | (norm[0] >= need * slack)):
@@ -150,7 +150,7 @@ def search_block(query, block, bound: np.ndarray, k: int):
         pick = np.arange(reach)
         if bound[i] > 0 and cosine >= COORDINATES_FROM and reach:
             pick = np.flatnonzero(_may_reach(q[i], c[:reach], norm[:reach], query_norm[i], bound[i]))
-        pick = pick[ids[pick] != query_ids[i]]
+        pick = pick[uids[pick] != query_uids[i]]
         if len(pick):
             scores = _products(q[i : i + 1], c[pick])[0]
             yield i, *_best(scores, ids[pick], k)
@@ -168,8 +168,9 @@ def _may_reach(q: np.ndarray, c: np.ndarray, norm: np.ndarray, query_norm: float
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest products, ties to the smaller vec_id.
 
-    Both frames are ``quantised``. A query never meets rows of its own vec_id; repeated query rows get
-    a list each, repeated candidates each count. Vectors of fewer components end in zeros. Scores
+    Both frames are ``quantised``, with the same ``uid`` for the same row. A query never meets its own row;
+    other rows of its vec_id are candidates like any. Repeated query rows get a list each, repeated
+    candidates each count. Vectors of fewer components end in zeros. Scores
     beyond a long are ranked and returned as the nearest long.
     """
     probe = vectors.orderBy(F.desc("norm"), "uid").limit(PROBE).select("uid", "vec_id", "v", "norm").collect()
@@ -226,14 +227,14 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v
+  SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
-  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % {EVERY} = 0
+  SELECT q.uid, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v AS q JOIN v AS c ON q.uid <> c.uid WHERE q.vec_id % {EVERY} = 0
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS rank FROM scored
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= {K}
 """

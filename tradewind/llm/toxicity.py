@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import documents, text_or_empty
-from tradewind.llm.features import Sparse, Scan, chunks, labelled_sample, scan, utf8
+from tradewind.llm.features import Scan, Sparse, labelled_sample, scan, slices
 
 SAMPLE_PER_CLASS = 2500  # bound of the fitting sample, per class
 PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes
@@ -70,8 +70,8 @@ def word_rows(sample: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = []
-            for _, part in chunks([_letters_only(t) for t in utf8(batch.column("text"))]):
-                s = scan(part)
+            for _, part in slices(batch.column("text")):
+                s = scan([_letters_only(t) for t in part])
                 text = s.text_of.astype(np.uint64) << np.uint64(32)
                 both = np.unique(np.concatenate([text[w] | f for w, f in _features(s)]))
                 cuts = np.searchsorted(both, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(32))
@@ -190,16 +190,16 @@ def _slim(model: Model) -> Model:
     return Model(model.features[live], model.weights[live], model.thresholds)
 
 
-def _scores(texts: list[bytes], model: Model) -> np.ndarray:
+def _scores(column: pa.Array, model: Model) -> np.ndarray:
     """Sum of the weights of the distinct features of each text."""
-    score = np.zeros(len(texts))
+    score = np.zeros(len(column))
     if not len(model.features):
         return score
     shift = np.uint32(32 - _SIEVE_BITS)
     sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
     sieve[model.features >> shift] = True
-    for first, part in chunks([_letters_only(t) for t in texts]):
-        s = scan(part)
+    for first, part in slices(column):
+        s = scan([_letters_only(t) for t in part])
         text, found = s.text_of, []
         for words, features in _features(s):
             maybe = np.flatnonzero(sieve[features >> shift])  # few, and only these are looked up
@@ -224,7 +224,7 @@ def severities(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            p = slim.grades(_scores(utf8(batch.column("text")), slim))
+            p = slim.grades(_scores(batch.column("text"), slim))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -240,16 +240,17 @@ def severities(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` whose text is not judged toxic, all columns as they are."""
+    """The rows of ``docs`` whose text is not judged toxic, all columns as they are.
+
+    Only the text goes to Python, and one truth value a row comes back.
+    """
     slim = _slim(model)
-    at = docs.columns.index("text")
 
-    def run(batches):
-        for batch in batches:
-            texts = [b"" if v is None else v.encode() for v in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(1 - slim.grades(_scores(texts, slim))[:, 0] < REJECT_FROM))
+    @F.arrow_udf("boolean")
+    def toxic(text: pa.Array) -> pa.Array:
+        return pa.array(1 - slim.grades(_scores(text, slim))[:, 0] >= REJECT_FROM)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(~toxic(F.col("text")))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from tradewind.llm import registry
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*registry.QUERIES, "pipeline"} <= set(registered.queries())
     assert set(registry.ORACLE_SQL) <= set(registered.oracle_sql())
 

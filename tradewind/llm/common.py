@@ -13,6 +13,8 @@ from tradewind.session import shared_folder
 
 # Words are runs of anything but ASCII white space; ``bytes.split()`` cuts at the same six characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
+ARROW_BYTES = 4 << 20  # bytes of a batch that goes to a Python worker
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -36,8 +38,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends texts to Python in batches of at most ``ARROW_BYTES``, or one row.
+
+    The default of 64 MB is held several times over by each task: in the JVM, in the worker, and as results.
+    """
+    conf = df.sparkSession.conf
+    conf.set(_ARROW, str(ARROW_BYTES))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def text_or_empty(column: str | Column) -> Column:

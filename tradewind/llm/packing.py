@@ -7,24 +7,26 @@ per length (one row per length, bounded by the sequence's capacity) is all the p
 packs lengths in decreasing order, always into the open sequences that score best under every
 constraint, and treats sequences in equal states as one range. The result is a table of slots, each
 a range of pieces of one length at one offset of a range of sequences. Pieces find their slot by
-their rank among the pieces of their length, which is counted in salted groups.
+their rank among the pieces of their length, which is counted in groups whose number follows the
+number of pieces; pieces that fill a sequence need no rank.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from tradewind.llm.common import documents, text_or_empty, written
 
-CAPACITY, END_ID, SALTS = 1024, 2, 64
+CAPACITY, END_ID = 1024, 2
+LEAST_GROUPS, RANKED_TOGETHER = 256, 1 << 18  # groups a length is ranked in, and pieces of all lengths per group
 SPECIAL = {"<|endoftext|>": 50256}
 _LONG_RUN = re.compile(r"\S{2000}|\s{2000}")
 
@@ -75,7 +77,8 @@ def token_pieces(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids, ids_crc32): whole texts tokenised, null text as an empty one.
 
-    ``ids`` are the token ids of the piece, four little-endian bytes each.
+    ``ids`` are the token ids of the piece, two little-endian bytes each (four if a larger vocabulary needs
+    them); the checksum is that of four bytes each.
     """
     picked = docs.select("doc_id", text_or_empty("text").alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -86,11 +89,12 @@ def token_pieces(
             rows = []
             for row, text in enumerate(batch.column(1)):
                 ids = np.array([*encode(text.as_py()), end_id], dtype="<u4")
+                kept = ids.astype("<u2") if ids.max() < 1 << 16 else ids
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append((row, piece, a, b - a, ids[a:b].tobytes()))
-            of, piece, start, length, ids = zip(*rows) if rows else [()] * 5
+                    rows.append((row, piece, a, b - a, kept[a:b].tobytes(), zlib.crc32(ids[a:b].tobytes())))
+            of, piece, start, length, ids, crc = zip(*rows) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(of, pa.int64())),
@@ -98,12 +102,13 @@ def token_pieces(
                     pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()),
                     pa.array(ids, pa.binary()),
+                    pa.array(crc, pa.int64()),
                 ],
-                names=["doc_id", "piece", "start", "length", "ids"],
+                names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"],
             )
 
-    pieces = picked.mapInArrow(run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary")
-    return pieces.withColumn("ids_crc32", F.crc32("ids"))
+    schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint"
+    return picked.mapInArrow(run, schema)
 
 
 # --- the plan ------------------------------------------------------------------------------------
@@ -161,75 +166,76 @@ def plan_slots(counts: dict[int, int], limits: Limits = Limits()) -> list[tuple[
 # --- ranks and places ----------------------------------------------------------------------------
 
 
-def pack(pieces: DataFrame, limits: Limits = Limits(), salts: int = SALTS) -> DataFrame:
+def pack(pieces: DataFrame, limits: Limits = Limits(), groups: int | None = None) -> DataFrame:
     """``pieces`` (any columns, one of them ``length``) plus ``sequence_id`` and ``offset``.
 
-    Every row is placed, repeated rows and rows without a doc_id like any other. Token ids travel along.
+    Every row is placed, repeated rows and rows without a doc_id like any other. Token ids travel along and
+    come back as four little-endian bytes each. Pieces that fill a sequence get one of a negative number.
     """
-    planar = [f.name for f in pieces.schema.fields if f.name == "ids" and f.dataType == BinaryType()]
-    rows = written(_turned(pieces, planar).withColumn("__uid", F.monotonically_increasing_id()), "pieces")
+    rows = written(pieces.withColumn("__uid", F.monotonically_increasing_id()), "pieces")
     # Only lengths are ranked; the other columns wait on disk and meet their places by row number.
-    salted = rows.select("__uid", "length").withColumn("__salt", F.pmod("__uid", F.lit(salts)))
-    sizes = salted.groupBy("length", F.col("__salt").alias("salt")).agg(F.count(F.lit(1)).alias("n"))
+    fills = F.lit(limits.tokens**2 <= limits.attention) & (F.col("length") == limits.tokens)
+    groups = groups or max(LEAST_GROUPS, -(-rows.count() // RANKED_TOGETHER))
+    dealt = rows.where(~fills).select("__uid", "length", F.pmod(F.xxhash64("__uid"), F.lit(groups)).alias("__group"))
+    sizes = dealt.groupBy("length", F.col("__group").alias("group")).agg(F.count(F.lit(1)).alias("n"))
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = np.array(plan_slots(counts, limits), dtype=np.int64).reshape(-1, 5)
     slots = slots[np.lexsort((slots[:, 1], slots[:, 0]))]
-    # At most one row per length and salt, both bounded by parameters.
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    # A length has at most one size per group, so its running total is a short list.
+    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col("length").alias("__l"),
-        F.col("salt").alias("__s"),
+        F.col("group").alias("__g"),
         F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__below"),
     )
-    inside = Window.partitionBy("length", "__salt").orderBy("__uid")
+    inside = Window.partitionBy("length", "__group").orderBy("__uid")
     ranked = (
-        salted.withColumn("__in_salt", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), (F.col("length") == F.col("__l")) & (F.col("__salt") == F.col("__s")))
-        .withColumn("__rank", F.col("__below") + F.col("__in_salt"))
-        .select(F.col("__uid").alias("__of"), "length", "__rank")
+        dealt.withColumn("__nth", F.row_number().over(inside) - 1)
+        .join(offsets, (F.col("length") == F.col("__l")) & (F.col("__group") == F.col("__g")))
+        .select(F.col("__uid").alias("__of"), (F.col("__below") + F.col("__nth")).alias("__rank"))
     )
-    # Ranks of a length are gapless, so (length, rank) in one number is found by binary search.
-    wide = int(max(counts.values(), default=0)) + 1
-    first = slots[:, 0] * wide + slots[:, 1]
+    none = F.lit(None).cast("bigint").alias("__rank")
+    ordered = rows.columns
+    met = rows.where(~fills).join(ranked, F.col("__uid") == F.col("__of")).select(*ordered, "__rank")
+    place = _placer(slots, max(counts.values(), default=0) + 1)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    schema += ", sequence_id bigint, offset bigint"
+    alone = rows.where(fills).select(*ordered, none)
+    return met.mapInArrow(place, schema).unionAll(alone.mapInArrow(place, schema))
 
-    def place(batches):
+
+def _placer(slots: np.ndarray, wide: int):
+    """Batches of ranked rows -> the rows with their places. Rows without a rank are sequences of their own."""
+    first = slots[:, 0] * wide + slots[:, 1]  # ranks of a length are gapless, so a search finds the slot
+
+    def run(batches):
         for batch in batches:
-            length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("__rank").to_numpy(zero_copy_only=False)
-            at = np.searchsorted(first, length * wide + rank, side="right") - 1
-            sequence = slots[at, 3] + rank - slots[at, 1]
+            uid, length = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__uid", "length"))
+            rank = batch.column("__rank").fill_null(-1).to_numpy(zero_copy_only=False)
+            sequence, offset = -1 - uid, np.zeros(len(uid), np.int64)
+            short = np.flatnonzero(rank >= 0)
+            if len(short):
+                at = np.searchsorted(first, length[short] * wide + rank[short], side="right") - 1
+                sequence[short], offset[short] = slots[at, 3] + rank[short] - slots[at, 1], slots[at, 4]
+            out = batch.drop_columns(["__uid", "__rank"])
+            at = out.schema.get_field_index("ids")
+            if at >= 0 and pa.types.is_binary(out.schema.field(at).type):
+                ids = [_four_bytes(v, n) for v, n in zip(out.column(at), length.tolist())]
+                out = out.set_column(at, "ids", pa.array(ids, pa.binary()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__of"), pa.array(sequence), pa.array(slots[at, 4])],
-                names=["__of", "sequence_id", "offset"],
+                [*out.columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
+                names=[*out.schema.names, "sequence_id", "offset"],
             )
 
-    placed = ranked.mapInArrow(place, "__of bigint, sequence_id bigint, offset bigint")
-    joined = rows.join(placed, F.col("__uid") == F.col("__of"))
-    return _turned(joined.select(*pieces.columns, "sequence_id", "offset"), planar, back=True)
-
-
-def _turned(df: DataFrame, columns: list[str], back: bool = False) -> DataFrame:
-    """``df`` with four-byte numbers in ``columns`` as four runs of bytes of one place, or back again.
+    return run
 
-    Token ids have two high bytes of zero, which shrink on disk only when they stand together.
-    """
-    if not columns:
-        return df
-
-    def turn(value: bytes | None) -> bytes | None:
-        if value is None or len(value) % 4:
-            return value
-        return np.frombuffer(value, np.uint8).reshape((4, -1) if back else (-1, 4)).T.tobytes()
-
-    def run(batches):
-        for batch in batches:
-            for name in columns:
-                at = batch.schema.get_field_index(name)
-                turned = pa.array(map(turn, batch.column(at).to_pylist()), batch.schema.field(at).type)
-                batch = batch.set_column(at, name, turned)
-            yield batch
 
-    return df.mapInArrow(run, df.schema)
+def _four_bytes(ids: pa.BinaryScalar, length: int) -> bytes | None:
+    """Ids of two bytes each as ids of four; anything else as it is."""
+    if not ids.is_valid:
+        return None
+    body = ids.as_buffer()
+    return np.frombuffer(body, "<u2").astype("<u4").tobytes() if len(body) == 2 * length else body.to_pybytes()
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import katz, lines, mixing, packing, quality, secret_scan, simhash, suffix, topk, toxicity
+from tradewind.llm import (
+    dual_tree,
+    histogram_packing,
+    katz,
+    lines,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    suffix,
+    topk,
+    toxicity,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash.op1_simhash,
@@ -19,9 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_suffix": suffix.op10_suffix,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_ranked_search": dual_tree.op12_ranked_search,
+    "op13_spfhp": histogram_packing.op13_spfhp,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_topk": topk.OP5_SQL,
     "op7_lines": lines.OP7_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op12_ranked_search": dual_tree.OP12_SQL,
 }

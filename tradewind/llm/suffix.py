@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by a long string that an earlier document holds too.
 
 Every string of ``LENGTH`` bytes has an anchor, the smallest hash among its ``GRAM``-byte grams, so
-equal strings have equal anchors. Documents are dealt into batches and go through three rounds:
+equal strings have equal anchors. Documents are written in batches and go through three rounds:
 
 1. A batch asks the partitions of the anchor space which of its anchors occur in several documents.
 2. Texts around shared anchors (windows, each distinct one once per batch, with the batch's smallest
@@ -10,7 +10,7 @@ equal strings have equal anchors. Documents are dealt into batches and go throug
    than their successors directly, the others induced by scanning the buckets of first bytes.
    Neighbours whose common prefix reaches the length are equal strings; the smallest doc_id among
    them is the answer to every batch that asked.
-3. Each batch finds its windows again, applies the answers to all their occurrences and cuts.
+3. Each batch applies the answers to all places of its windows, which round 2 wrote down, and cuts.
 
 A text is read in whole in every round, and only shared stretches travel. Copies of a window within a
 batch never leave it: a string costs a partition one row's share per batch, not per document.
@@ -28,7 +28,7 @@ from tradewind.llm.common import documents, text_or_empty, written
 from tradewind.llm.features import chunks, mixed
 
 LENGTH, GRAM = 50, 16
-BATCH_BYTES, ANCHOR_PART_BYTES, WINDOW_PART_BYTES = 1 << 23, 1 << 25, 1 << 22
+BATCH_BYTES, BATCH_ROWS, ANCHOR_PART_BYTES, WINDOW_PART_BYTES = 1 << 23, 1 << 18, 1 << 25, 1 << 22
 MOST_STARTS = 64  # strings in a window
 SALT_FROM = 4096  # documents that share an anchor, beyond which it is salted
 
@@ -46,22 +46,30 @@ def eight_bytes(text: np.ndarray) -> np.ndarray:
     return key
 
 
-def suffix_order(text: np.ndarray, keys: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Starts of the suffixes of ``text`` in order of at least their first ``depth`` bytes."""
+def suffix_order(
+    text: np.ndarray, keys: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | None = None
+) -> np.ndarray:
+    """Starts of the suffixes of ``text`` in order of at least their first ``depth`` bytes.
+
+    With ``wanted`` (a mask), only of those and of the ones they are induced from.
+    """
     n = len(text)
     if not n:
         return np.empty(0, np.int64)
     smaller = _smaller_than_successor(text)
-    direct = _sorted_directly(keys, np.flatnonzero(smaller), depth)
+    needed = np.ones(n, dtype=bool) if wanted is None else _with_sources(wanted, smaller)
+    direct = _sorted_directly(keys, np.flatnonzero(smaller & needed), depth)
     first_of = np.searchsorted(text[direct], np.arange(257))
     queues: list[list[np.ndarray]] = [[] for _ in range(256)]
-    queues[text[n - 1]].append(np.array([n - 1]))  # induced by the empty suffix
+    if needed[n - 1]:
+        queues[text[n - 1]].append(np.array([n - 1]))  # induced by the empty suffix
     order: list[np.ndarray] = []
+    induced = needed & ~smaller
 
     def induce(entries: np.ndarray, byte: int) -> np.ndarray:
         """Hands the larger predecessors of sorted entries to their buckets; returns those of this one."""
         before = entries[entries > 0] - 1
-        before = before[~smaller[before]]
+        before = before[induced[before]]
         byte_of = text[before]
         here = byte_of == byte
         ahead, byte_of = before[~here], byte_of[~here]
@@ -82,7 +90,19 @@ def suffix_order(text: np.ndarray, keys: np.ndarray, depth: int = LENGTH) -> np.
         if len(own):
             order.append(own)
             induce(own, byte)
-    return np.concatenate(order)
+    return np.concatenate(order) if order else np.empty(0, np.int64)
+
+
+def _with_sources(wanted: np.ndarray, smaller: np.ndarray) -> np.ndarray:
+    """``wanted`` and, behind its larger suffixes, all up to the next one that is sorted directly."""
+    n = len(wanted)
+    at = np.where(smaller, np.arange(n), n - 1)
+    source = np.minimum.accumulate(at[::-1])[::-1]
+    last = np.flatnonzero(wanted & ~np.r_[wanted[1:], False])
+    step = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(step, last, 1)
+    np.add.at(step, source[last] + 1, -1)
+    return wanted | (np.cumsum(step[:-1]) > 0)
 
 
 def _smaller_than_successor(text: np.ndarray) -> np.ndarray:
@@ -189,16 +209,51 @@ def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 # --- rounds --------------------------------------------------------------------------------------
 
 
+def corpus_batches(docs: DataFrame) -> DataFrame:
+    """(batch, ids, sizes, text): the rows of ``docs`` in batches, written once without a shuffle.
+
+    Rows without a doc_id stand last in their batch.
+    """
+
+    def run(batches):
+        ids, texts, size = [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids.append(doc_id)
+                texts.append(text.as_buffer().to_pybytes())
+                size += len(texts[-1])
+                if size >= BATCH_BYTES or len(ids) >= BATCH_ROWS:
+                    yield _batch_row(ids, texts)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield _batch_row(ids, texts)
+
+    picked = docs.select(F.col("doc_id").cast("bigint"), text_or_empty("text").alias("text"))
+    rows = picked.mapInArrow(run, "ids array<bigint>, sizes binary, text binary")
+    return written(rows.withColumn("batch", F.monotonically_increasing_id()), "batches")
+
+
+def _batch_row(ids: list, texts: list[bytes]) -> pa.RecordBatch:
+    order = sorted(range(len(ids)), key=lambda i: ids[i] is None)
+    texts = [texts[i] for i in order]
+    columns = [
+        pa.array([[ids[i] for i in order]], pa.list_(pa.int64())),
+        pa.array([np.array(list(map(len, texts)), dtype="<u4").tobytes()], pa.binary()),
+        pa.array([b"".join(texts)], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["ids", "sizes", "text"])
+
+
 class _Docs:
-    """The documents of a batch in order of (doc_id, text hash); those without a doc_id come last."""
+    """The documents of a batch; those without a doc_id come last."""
 
-    def __init__(self, table: pa.Table) -> None:
-        ids, copies = table.column("doc_id").to_pylist(), table.column("copy").to_pylist()
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, copies[i]))
-        column = table.column("text").combine_chunks()
-        self.ids = [ids[i] for i in order]
-        self.texts = [column[i].as_buffer().to_pybytes() for i in order]
-        self.ranked = sum(i is not None for i in ids)
+    def __init__(self, row) -> None:
+        self.ids = row.column("ids")[0].as_py()
+        ends = np.cumsum(np.frombuffer(row.column("sizes")[0].as_py(), "<u4"), dtype=np.int64).tolist()
+        body = row.column("text")[0].as_buffer().to_pybytes()
+        self.texts = [body[a:b] for a, b in zip([0, *ends], ends)]
+        self.ranked = sum(i is not None for i in self.ids)
+        self.batch = row.column("batch")[0].as_py()
 
     def runs(self, length: int):
         return anchor_runs(self.texts[: self.ranked], length)
@@ -234,14 +289,16 @@ _EARLIEST = "batch bigint, part bigint, differs binary, id binary"
 def _shared_anchors(batched: DataFrame, parts: int, length: int) -> DataFrame:
     """Per batch and partition, for each anchor asked: 0 if one document has it, else 1 + log2 of its salts."""
 
-    def ask(table: pa.Table) -> pa.Table:
-        of, _, _, anchor = _Docs(table).runs(length)
-        slices, own, several = _asked(anchor, of, parts)
-        batch = table.column("batch")[0].as_py()
-        return _rows(
-            _QUESTIONS,
-            [(p, batch, own[a:b].tobytes(), several[a:b].astype("<u4").tobytes()) for p, a, b in slices],
-        )
+    def ask(batches):
+        for some in batches:
+            for i in range(some.num_rows):
+                own_docs = _Docs(some.slice(i, 1))
+                of, _, _, anchor = own_docs.runs(length)
+                slices, own, several = _asked(anchor, of, parts)
+                rows = [
+                    (p, own_docs.batch, own[a:b].tobytes(), several[a:b].astype("<u4").tobytes()) for p, a, b in slices
+                ]
+                yield from _rows(_QUESTIONS, rows).to_batches()
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -257,14 +314,14 @@ def _shared_anchors(batched: DataFrame, parts: int, length: int) -> DataFrame:
             [(r["batch"], r["part"], c.tobytes()) for r, c in zip(rows, np.split(code, cuts))],
         )
 
-    asked = batched.where("doc_id IS NOT NULL").groupBy("batch").applyInArrow(ask, _QUESTIONS)
+    asked = batched.mapInArrow(ask, _QUESTIONS)
     return asked.groupBy("part").applyInArrow(answer, _ANSWERS)
 
 
 class _Found:
     """The distinct windows of a batch around shared anchors, in order of partition, and where they occur."""
 
-    def __init__(self, docs: _Docs, shared: list[dict], parts: int, window_parts: int, length: int) -> None:
+    def __init__(self, docs, shared: list[dict], parts: int, window_parts: int, length: int) -> None:
         of, start, count, anchor = docs.runs(length)
         slices, own, _ = _asked(anchor, of, parts)
         answers = {r["part"]: np.frombuffer(r["shared"], np.uint8) for r in shared}
@@ -296,34 +353,51 @@ class _Found:
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.window = place[window]
-        ids = np.array(docs.ids[: docs.ranked], dtype=np.int64)
-        self.id = ids[self.doc]
 
-    def first_ids(self) -> np.ndarray:
+    def first_ids(self, ids: list) -> np.ndarray:
         first = np.full(len(self.windows), np.iinfo(np.int64).max)
-        np.minimum.at(first, self.window, self.id)
+        np.minimum.at(first, self.window, np.array(ids, dtype=np.int64)[self.doc])
         return first
 
+    def occurrences(self) -> tuple[bytes, bytes, bytes]:
+        """What round 3 needs: strings per window; window, document and start of each place; slices."""
+        places = b"".join(x.astype("<u4").tobytes() for x in (self.window, self.doc, self.start))
+        return self.starts.astype("u1").tobytes(), places, np.array(self.slices, dtype="<i8").tobytes()
+
+
+class _Places:
+    """Windows and their places as round 2 found them."""
+
+    def __init__(self, starts: bytes, places: bytes, slices: bytes, ids: list) -> None:
+        self.starts = np.frombuffer(starts, "u1").astype(np.int64)
+        self.window, self.doc, self.start = np.frombuffer(places, "<u4").astype(np.int64).reshape(3, -1)
+        self.slices = np.frombuffer(slices, "<i8").reshape(-1, 3).tolist()
+        self.id = np.array(ids, dtype=np.int64)[self.doc]
+
 
 def _windows(batched: DataFrame, shared: DataFrame, parts: int, window_parts: int, length: int) -> DataFrame:
-    """The distinct windows of a batch around shared anchors with their smallest doc_id, by partition."""
+    """The distinct windows of a batch around shared anchors with their smallest doc_id, by partition.
+
+    One more row per batch, without a partition, holds the places of its windows.
+    """
 
     def collect(_, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _rows(_WINDOWS, [])
-        found = _Found(_Docs(left), right.to_pylist(), parts, window_parts, length)
-        sizes, first = (found.starts + length - 1).astype("<u4"), found.first_ids().astype("<i8")
-        batch = left.column("batch")[0].as_py()
+        docs = _Docs(left)
+        found = _Found(docs, right.to_pylist(), parts, window_parts, length)
+        sizes = (found.starts + length - 1).astype("<u4")
+        first = found.first_ids(docs.ids[: docs.ranked]).astype("<i8")
         return _rows(
             _WINDOWS,
             [
-                (p, batch, sizes[a:b].tobytes(), b"".join(found.windows[a:b]), first[a:b].tobytes())
+                (p, docs.batch, sizes[a:b].tobytes(), b"".join(found.windows[a:b]), first[a:b].tobytes())
                 for p, a, b in found.slices
-            ],
+            ]
+            + [(None, docs.batch, *found.occurrences())],
         )
 
-    grouped = batched.where("doc_id IS NOT NULL").groupBy("batch")
-    return grouped.cogroup(shared.groupBy("batch")).applyInArrow(collect, _WINDOWS)
+    return batched.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(collect, _WINDOWS)
 
 
 _ODD, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -363,7 +437,7 @@ def _answers(windows: DataFrame, length: int) -> DataFrame:
     return windows.groupBy("part").applyInArrow(sort, _EARLIEST)
 
 
-def _spans(found: _Found, answers: list[dict], length: int):
+def _spans(found: _Places, answers: list[dict], length: int):
     """(document, start, end) of the stretches of a batch that an earlier document holds too."""
     by_part = {r["part"]: r for r in answers}
     rows = [by_part[p] for p, _, _ in found.slices]
@@ -391,7 +465,7 @@ def _earliest(text, begin, starts, first_id, length: int) -> np.ndarray:
     string_at = np.full(len(text), -1)
     string_at[place] = np.arange(len(place))
     keys = eight_bytes(text)
-    order = suffix_order(text, keys, length)
+    order = suffix_order(text, keys, length, string_at >= 0)
     order = order[string_at[order] >= 0]  # suffixes that reach into the next window start no string
     new = np.flatnonzero(~common_prefix_reaches(keys, order, length))
     number = string_at[order]
@@ -424,27 +498,24 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    batches, parts, window_parts = (
-        max(1, -(-size // each)) for each in (BATCH_BYTES, ANCHOR_PART_BYTES, WINDOW_PART_BYTES)
-    )
-    text = text_or_empty("text")
-    keyed = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(text).alias("copy"), text.alias("text"))
-    batched = keyed.withColumn("batch", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(batches)))
+    parts, window_parts = (max(1, -(-size // each)) for each in (ANCHOR_PART_BYTES, WINDOW_PART_BYTES))
+    batched = corpus_batches(docs)
     shared = written(_shared_anchors(batched, parts, length), "anchors")
-    windows = _windows(batched, shared, parts, window_parts, length)
-    answers = written(_answers(windows, length), "answers")
-    # What a batch was told in both rounds: a row is of the first if it has ``shared``.
+    windows = written(_windows(batched, shared, parts, window_parts, length), "windows")
+    answers = _answers(windows.where("part IS NOT NULL"), length)
+    # What a batch is told: one row with its own places, and the answers of the partitions.
     none = F.lit(None).cast("binary")
-    told = shared.select("batch", "part", "shared", none.alias("differs"), none.alias("id")).unionAll(
-        answers.select("batch", "part", none, "differs", "id")
+    told = windows.where("part IS NULL").withColumn("differs", none).unionByName(
+        answers.select("part", "batch", none.alias("sizes"), none.alias("bytes"), "id", "differs")
     )
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         own = _Docs(left)
         rows = right.to_pylist()
-        found = _Found(own, [r for r in rows if r["shared"] is not None], parts, window_parts, length)
+        place = next(r for r in rows if r["part"] is None)
+        found = _Places(place["sizes"], place["bytes"], place["id"], own.ids[: own.ranked])
         spans: dict[int, list[tuple[int, int]]] = {}
-        heard = [r for r in rows if r["shared"] is None]
+        heard = [r for r in rows if r["part"] is not None]
         for d, a, b in zip(*(x.tolist() for x in _spans(found, heard, length))):
             spans.setdefault(d, []).append((a, b))
         kept, lists = [], []

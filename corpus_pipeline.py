@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.llm import mixing, packing, secret_scan, simhash, toxicity
+from tradewind.llm.common import small_batches
 from tradewind.session import shared_folder
 
 # Equal weights at every level, nothing read twice: only branches with more than their share of nine
@@ -20,12 +21,13 @@ MIXTURE = mixing.Mixture(budget_percent=90, max_epochs=1)
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents judged toxic go; the model is fitted on the labelled ones."""
+    docs = small_batches(docs)
     return toxicity.without_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, by the production shingle length and distance."""
-    return simhash.keep_one_of_each(docs)
+    return simhash.keep_one_of_each(small_batches(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of every document, token ids included, with their sequence and offset."""
-    return packing.pack(packing.token_pieces(docs))
+    return packing.pack(packing.token_pieces(small_batches(docs)))
 
 
 STAGES = [

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from tradewind.functions.expressions import (
     weekday_name,
 )
 from tradewind.functions.grouping import group_metrics
+from tradewind.functions.series import deviations, fill_days, rolling
 
 
 def _rows() -> Column:
@@ -365,46 +368,42 @@ def mart_order_features(orders: DataFrame, items: DataFrame, products: DataFrame
     )
 
 
-def daily_orders(orders: DataFrame) -> DataFrame:
-    """Orders per day without gaps: days between the first and the last one count zero."""
+def daily_orders(orders: DataFrame, partition_cols: Sequence[str] = (), *, shared_calendar: bool = False) -> DataFrame:
+    """Orders per day without gaps, one series per ``partition_cols``: missing days count zero.
+
+    A series runs from its own first to its own last day, or with ``shared_calendar`` over the days of all.
+    """
+    keys = list(partition_cols)
     counted = (
         orders.where(F.col("order_purchase_date").isNotNull())
-        .groupBy(F.col("order_purchase_date").alias("order_date"))
+        .groupBy(*keys, F.col("order_purchase_date").alias("order_date"))
         .agg(F.count("order_id").alias("orders_cnt"), F.sum("is_canceled").alias("canceled_cnt"))
     )
-    calendar = counted.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")).select(
-        F.explode(F.sequence("first", "last")).alias("order_date")
-    )
-    return calendar.join(counted, "order_date", "left").fillna(0, ["orders_cnt", "canceled_cnt"])
+    return fill_days(counted, "order_date", ["orders_cnt", "canceled_cnt"], keys, shared=shared_calendar)
 
 
-def mart_daily_order_anomalies(orders: DataFrame, settings: AnomalySettings) -> DataFrame:
-    """Days whose order count is far from the days before them.
+def mart_daily_order_anomalies(
+    orders: DataFrame,
+    settings: AnomalySettings,
+    partition_cols: Sequence[str] = (),
+    *,
+    shared_calendar: bool = False,
+) -> DataFrame:
+    """Days whose order count is far from the days before them, in each series by itself.
 
-    The window spans one row per calendar day, so its single task does not grow with the orders.
+    Without ``partition_cols`` there is one series, of all orders.
     """
-    days = int(settings.rolling_window_days)
-    before = Window.orderBy("order_date").rowsBetween(-days, -1)
-    full = F.count("orders_cnt").over(before) == days
-    count, mean, std, z = map(F.col, ("orders_cnt", "rolling_mean", "rolling_std", "z_score"))
-    return (
-        daily_orders(orders)
-        .withColumn("rolling_mean", F.when(full, F.avg("orders_cnt").over(before)))
-        .withColumn("rolling_std", F.when(full, F.stddev_samp("orders_cnt").over(before)))
-        .withColumn("z_score", F.when(std > 0, (count - mean) / std))
-        .withColumn("is_anomaly", flag(F.abs(z) >= float(settings.anomaly_z_threshold)))
-        .withColumn(
-            "anomaly_direction",
-            F.when(F.col("is_anomaly") == 1, F.when(z > 0, "spike").otherwise("drop")),
-        )
-        .select(
-            "order_date",
-            "orders_cnt",
-            "canceled_cnt",
-            "rolling_mean",
-            "rolling_std",
-            "z_score",
-            "is_anomaly",
-            "anomaly_direction",
-        )
+    keys = list(partition_cols)
+    days = daily_orders(orders, keys, shared_calendar=shared_calendar)
+    scored = rolling(days, "orders_cnt", "order_date", int(settings.rolling_window_days), keys)
+    return scored.withColumns(deviations("z_score", float(settings.anomaly_z_threshold))).select(
+        *keys,
+        "order_date",
+        "orders_cnt",
+        "canceled_cnt",
+        "rolling_mean",
+        "rolling_std",
+        "z_score",
+        "is_anomaly",
+        "anomaly_direction",
     )

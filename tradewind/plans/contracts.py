@@ -102,6 +102,11 @@ CONTRACTS = {
     "order_calendar": "order_dow:i dow_name:s purchase_month:i order_hour:i orders_cnt:i avg_delay_days:r",
     "seller_state_distance": "seller_state:s customer_state:s nearest_km:k mean_km:k",
     "anomalies_short_window": "order_date:d orders_cnt:i z_score:r is_anomaly:i anomaly_direction:s",
+    "anomalies_by_state": "customer_state:s order_date:d orders_cnt:i canceled_cnt:i rolling_mean:r"
+    " rolling_std:r z_score:r is_anomaly:i anomaly_direction:s",
+    "anomalies_by_status_shared_calendar": "customer_region:s order_status:s order_date:d orders_cnt:i"
+    " canceled_cnt:i rolling_mean:r rolling_std:r z_score:r is_anomaly:i anomaly_direction:s",
+    "daily_orders_by_region": "customer_region:s order_date:d orders_cnt:i canceled_cnt:i",
     # Checks across tables
     "dq_reconciliation": "check_name:s violations:i passed:b",
     "dq_revenue_totals": "mart_revenue:m source_revenue:m difference:m",

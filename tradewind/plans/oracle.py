@@ -288,7 +288,22 @@ RELATIONS = {
 }
 
 
-def anomalies(days: int, threshold: float) -> str:
+def daily_series(keys: str, shared: bool = False) -> str:
+    """Orders per day of every combination of ``keys``, days without orders included."""
+    ends = "(SELECT min(order_purchase_date) FROM int_orders_enriched), (SELECT max(order_purchase_date) FROM int_orders_enriched)"
+    own = "min(order_purchase_date), max(order_purchase_date)"
+    same = " AND ".join(f"o.{k} IS NOT DISTINCT FROM d.{k}" for k in keys.split(", "))
+    return f"""
+        SELECT {", ".join(f"d.{k}" for k in keys.split(", "))}, order_date, count(order_id) AS orders_cnt,
+            ifnull(sum(is_canceled), 0) AS canceled_cnt
+        FROM (SELECT {keys}, CAST(unnest(generate_series({ends if shared else own}, INTERVAL 1 DAY)) AS DATE)
+                AS order_date FROM int_orders_enriched WHERE order_purchase_date IS NOT NULL GROUP BY {keys}) AS d
+            LEFT JOIN int_orders_enriched AS o ON o.order_purchase_date = d.order_date AND {same}
+        GROUP BY ALL"""
+
+
+def anomalies(days: int, threshold: float, series: str = "daily_orders", keys: str = "") -> str:
+    by = f"PARTITION BY {keys} " if keys else ""
     return f"""
         SELECT *, CAST(ifnull(abs(z_score) >= {threshold}, false) AS INTEGER) AS is_anomaly,
             CASE WHEN z_score >= {threshold} THEN 'spike' WHEN z_score <= -{threshold} THEN 'drop'
@@ -299,11 +314,14 @@ def anomalies(days: int, threshold: float) -> str:
                 SELECT *, CASE WHEN count(*) OVER past = {days} THEN avg(orders_cnt) OVER past END AS rolling_mean,
                     CASE WHEN count(*) OVER past = {days} THEN stddev_samp(orders_cnt) OVER past END
                         AS rolling_std
-                FROM daily_orders
-                WINDOW past AS (ORDER BY order_date ROWS BETWEEN {days} PRECEDING AND 1 PRECEDING)))"""
+                FROM {series}
+                WINDOW past AS ({by}ORDER BY order_date ROWS BETWEEN {days} PRECEDING AND 1 PRECEDING)))"""
 
 
 RELATIONS["mart_daily_order_anomalies"] = anomalies(7, 3.0)
+RELATIONS["daily_orders_by_state"] = daily_series("customer_state")
+RELATIONS["daily_orders_by_region"] = daily_series("customer_region")
+RELATIONS["daily_orders_by_status"] = daily_series("customer_region, order_status", shared=True)
 
 # --- training ------------------------------------------------------------------------------------
 
@@ -379,6 +397,10 @@ ANSWERS = {name: f"SELECT * FROM {name}" for name in (*DATASETS, *RELATIONS) if
         min(customer_seller_distance_km) AS nearest_km, avg(customer_seller_distance_km) AS mean_km
         FROM int_order_items_enriched GROUP BY ALL""",
     "anomalies_short_window": anomalies(3, 2.0),
+    "anomalies_by_state": anomalies(7, 3.0, "daily_orders_by_state", "customer_state"),
+    "anomalies_by_status_shared_calendar": anomalies(
+        3, 2.0, "daily_orders_by_status", "customer_region, order_status"
+    ),
     "dq_reconciliation": """
         SELECT check_name, sum(bad) AS violations, sum(bad) = 0 AS passed FROM (
             SELECT 'delivery_after_purchase' AS check_name, count(*) AS bad FROM int_orders_enriched

@@ -338,6 +338,13 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "order_calendar": order_calendar,
     "seller_state_distance": seller_state_distance,
     "anomalies_short_window": lambda w: marts.mart_daily_order_anomalies(w.table("stg_orders"), SHORT_WINDOW),
+    "anomalies_by_state": lambda w: marts.mart_daily_order_anomalies(
+        w.table("int_orders_enriched"), w.anomalies, ("customer_state",)
+    ),
+    "anomalies_by_status_shared_calendar": lambda w: marts.mart_daily_order_anomalies(
+        w.table("int_orders_enriched"), SHORT_WINDOW, ("customer_region", "order_status"), shared_calendar=True
+    ),
+    "daily_orders_by_region": lambda w: marts.daily_orders(w.table("int_orders_enriched"), ("customer_region",)),
     "dq_reconciliation": lambda w: reconciliation.run(w_tables(w)),
     "dq_revenue_totals": lambda w: reconciliation.revenue_totals(w_tables(w)),
     "dq_rates": dq_rates,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import expressions as x
 from tradewind.functions.grouping import group_metrics
-from tradewind.functions.ranking import _sliced, grouped_percentile, prefix_totals, slice_count
+from tradewind.functions.ranking import SLICES, _sliced, coarse_bucket, grouped_percentile, prefix_totals
 
 
 def one(spark, *columns):
@@ -87,11 +87,45 @@ def test_grouped_percentile_equals_numpy(spark, q):
         assert got[g] == pytest.approx(want, rel=1e-12), g
 
 
-def test_grouped_percentile_cuts_a_hot_group(spark):
-    """No slice of a group may hold more than a small share of the distinct values."""
-    df = spark.range(50_000).select(F.lit("hot").alias("g"), (F.col("id") * 1.0).alias("v"), F.lit(1).alias("n"))
-    largest = _sliced(df, "v", F.col("n") > 0).groupBy("g", "slice").count().agg(F.max("count")).first()[0]
-    assert largest < 2 * 50_000 / slice_count(df)
+@pytest.mark.parametrize("value", ["id * 1.0", "1e12 + id", "-1e-9 * id", "exp(id / 200.0)", "if(id = 0, 0, 1e15 + id)", "id % 2 * 1e9 + id"])
+def test_grouped_percentile_cuts_a_hot_group(spark, value):
+    """No slice of a group may hold more than a small share of the distinct values, wherever these lie."""
+    df = spark.range(50_000).select(F.lit("hot").alias("g"), F.expr(value).cast("double").alias("v"), F.lit(1).alias("n"))
+    found = _sliced(df, "v", F.col("n") > 0)
+    sizes = found.groupBy("g", "slice").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 4 * 50_000 / SLICES and sizes[1] < 3 * SLICES
+    # Slices follow the values.
+    ends = [(r.a, r.b) for r in found.groupBy("slice").agg(F.min("v").alias("a"), F.max("v").alias("b")).orderBy("slice").collect()]
+    assert all(x[1] < y[0] for x, y in zip(ends, ends[1:]))
+
+
+def test_buckets_never_fall(spark):
+    edges = [s * m * 2.0**e for e in (-1074, -1022, -3, 0, 1, 52, 1023) for m in (1, 1 + 2**-52, 2 - 2**-52) for s in (1, -1)]
+    values = sorted({*edges, 0.0, float("inf"), -float("inf"), 0.1, 1e308, -1e308})
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "v double").select("v", coarse_bucket(F.col("v")).alias("b"))
+    got = [r.b for r in df.orderBy("v").collect()]
+    assert got == sorted(got) and len(set(got)) > 20
+
+
+def test_odd_values_are_ranked_like_others(spark):
+    values = [float("inf"), -float("inf"), 0.0, -0.0, 5e-324, 1e308, -1e308, 2.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {q: grouped_percentile(df, [], "v", q).first()[0] for q in (0.0, 1 / 7, 6 / 7, 1.0)}
+    assert got == {0.0: -float("inf"), 1 / 7: -1e308, 6 / 7: 1e308, 1.0: float("inf")}
+
+
+def test_the_plan_does_not_grow_with_the_partitions(spark):
+    df = spark.range(10).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+
+    def plan(partitions):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        try:
+            return grouped_percentile(df, ["g"], "v", 0.5)._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    assert abs(len(plan(4)) - len(plan(1_000_000))) < 200 and "percentile_approx" not in plan(4)
 
 
 def test_prefix_totals_equal_running_sums(spark):

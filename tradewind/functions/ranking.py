@@ -1,26 +1,25 @@
 """Order statistics over groups of any size: prefix totals and exact percentiles.
 
 A window over a whole group (or over no group at all) sorts that group in one task. Here the rows
-are first collapsed to one per distinct value, then cut into value slices of about equal size by
-split points taken over all rows, so that a group holding most of the data is cut into many slices.
-Windows run inside one slice, and a small table of slice totals carries the offsets between them.
+are first collapsed to one per distinct value and cut into value slices by a histogram over all rows,
+so that a group holding most of the data is cut into many slices. The histogram has a bounded number
+of buckets on a logarithmic scale, and a bucket that holds more than its share of the values is refined
+into even parts between its own smallest and largest value. Windows run inside one slice, and a small
+table of slice totals carries the offsets between them. Slices only spread the work: every result is exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEAST_SLICES = 128
-
-
-def slice_count(df: DataFrame) -> int:
-    """Value slices: a power of two, at least as many as the session has shuffle partitions."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(LEAST_SLICES, 1 << (wanted - 1).bit_length())
+SLICES = 4096  # parts that buckets are refined into, on top of one per bucket
+PER_OCTAVE = 32  # buckets between a value and its double
+_ABOVE = 1 << 16  # more than buckets between one and the smallest double
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -39,28 +38,47 @@ def _same(key: str) -> Column:
     return F.col(key).eqNullSafe(F.col(f"__{key}"))
 
 
+def coarse_bucket(value: Column) -> Column:
+    """A whole number that never falls as the value grows: a logarithmic scale on both sides of zero.
+
+    NaN comes last, as in sorting. The logarithm is monotone also after rounding.
+    """
+    size = F.floor(F.least(F.log(F.abs(value)), F.lit(710.0)) * (PER_OCTAVE / math.log(2))) + _ABOVE
+    return (
+        F.when(F.isnan(value), F.lit(2 * _ABOVE))
+        .when(value > 0, size)
+        .when(value < 0, -size)
+        .otherwise(F.lit(0))
+        .cast("bigint")
+    )
+
+
 def _sliced(counts: DataFrame, value: str, weight: Column) -> DataFrame:
-    """Add ``slice``, which grows with the value. Splits are one row of as many numbers as slices.
+    """Add ``slice``, a whole number that never falls as the value grows.
 
     The weight is always true; naming it keeps every consumer on the same columns of ``counts``,
     so that the shuffle that builds the counts is planned once and reused.
     """
-    slices = slice_count(counts)
-    fractions = f"array({', '.join(f'{i / slices}D' for i in range(1, slices))})"
-    splits = (
+    v = F.col(value)
+    histogram = (
         counts.where(weight)
-        .agg(F.expr(f"percentile_approx(`{value}`, {fractions}, {max(10_000, 20 * slices)})").alias("splits"))
+        .groupBy(coarse_bucket(v).alias("__bucket"))
+        .agg(F.count(F.lit(1)).alias("__rows"), F.min(v).alias("__low"), F.max(v).alias("__high"))
+    )
+    # At most four times _ABOVE buckets, in practice hundreds: one task adds them up, all tasks get them.
+    share = F.col("__rows") * SLICES / F.sum("__rows").over(Window.partitionBy(F.lit(0)))
+    refined = histogram.select(
+        F.col("__bucket").alias("__of"), "__low", (F.col("__high") - F.col("__low")).alias("__wide"), F.ceil(share).alias("__parts")
+    )
+    inside = F.floor(F.try_divide((v - F.col("__low")) * F.col("__parts"), F.col("__wide")))
+    # Values that are all equal, infinite or NaN have one part.
+    finite = (F.col("__wide") > 0) & (F.col("__wide") < float("inf"))
+    part = F.when(finite, F.least(inside, F.col("__parts") - 1)).otherwise(0)
+    return (
+        counts.withColumn("__bucket", coarse_bucket(v))
+        .join(F.broadcast(refined), F.col("__bucket") == F.col("__of"))
+        .select(*counts.columns, (F.col("__bucket") * (2 * SLICES) + part).cast("bigint").alias("slice"))
     )
-    # Binary search in the sorted splits, one projection per step, all in generated code: the slice
-    # is the number of splits below the value.
-    sliced = counts.crossJoin(F.broadcast(splits)).withColumn("slice", F.lit(0))
-    step = slices // 2
-    while step:
-        sliced = sliced.withColumn(
-            "slice", F.expr(f"slice + if(`{value}` > splits[slice + {step - 1}], {step}, 0)")
-        )
-        step //= 2
-    return sliced.drop("splits")
 
 
 def prefix_totals(
@@ -88,7 +106,7 @@ def prefix_totals(
 def _slice_offsets(sliced: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Per keys and slice: totals before the slice, of the slice, and of all slices."""
     totals = sliced.groupBy(*keys, "slice").agg(*[F.sum(m).alias(f"{m}_slice") for m in measures])
-    # At most as many rows per key as slices.
+    # At most as many rows per key as there are slices.
     group = Window.partitionBy(*keys)
     before = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
@@ -143,7 +161,8 @@ def grouped_percentiles(
             F.max(position - F.floor(position)).alias(f"part{i}"),
         ]
         low, high = F.col(f"low{i}"), F.col(f"high{i}")
-        columns.append((low + (high - low) * F.col(f"part{i}")).alias(name))
+        between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"part{i}"))  # also where infinite
+        columns.append(between.alias(name))
     return ranked.groupBy(*keys).agg(*ends).select(*keys, *columns)
 
 

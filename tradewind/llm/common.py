@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +54,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_batches(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def once_per_worker(name: str, make: Callable):
+    """What ``make`` returns, made once in a Python worker and kept for its further tasks.
+
+    Functions reach a worker anew with every task, so what they load is kept in a module of its own.
+    """
+    kept = sys.modules.setdefault("_tradewind_worker", types.ModuleType("_tradewind_worker"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 def text_or_empty(column: str | Column) -> Column:
     """Null text is an empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents, text_or_empty, written
+from tradewind.llm.common import documents, once_per_worker, text_or_empty, written
 from tradewind.llm.features import slices
 
 CAPACITY, END_ID, TOKENIZER = 2048, 1, "word_bpe_49k"
 LEAST_GROUPS, RANKED_TOGETHER = 256, 1 << 18  # groups a length is ranked in, and rows of all lengths per group
-MOST_WORDS = 1 << 18  # words whose ids a task remembers
+MOST_WORDS = 1 << 19  # words whose ids a worker remembers
 
 # --- tokens --------------------------------------------------------------------------------------
 
@@ -47,6 +48,13 @@ def _word_pattern() -> re.Pattern:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{blank}{letters}{digits}]+")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def id_type(tokenizer: str = TOKENIZER) -> str:
     """Numbers that hold every id of the vocabulary: two bytes, or four."""
     import public_tokenizers
@@ -59,7 +67,7 @@ def id_type(tokenizer: str = TOKENIZER) -> str:
 def encoder(tokenizer: str, dtype: str):
     """texts -> their token ids as bytes, equal to those of the tokenizer file.
 
-    The vocabulary cuts texts into words before it merges, so the ids of a word are looked up once; a task
+    The vocabulary cuts texts into words before it merges, so the ids of a word are looked up once; a worker
     remembers at most ``MOST_WORDS`` words and the new ones of its last texts.
     """
     import os
@@ -69,24 +77,26 @@ def encoder(tokenizer: str, dtype: str):
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel units
     exact = Tokenizer.from_file(public_tokenizers.path(f"{tokenizer}.json"))
-    words, known = _word_pattern(), {}
+    merge, letters = exact.model.tokenize, _byte_letters()
+    words, known, kind = _word_pattern(), {}, "H" if dtype == "<u2" else "I"
+
+    def ids_of(word: str) -> bytes:
+        return array(kind, [t.id for t in merge(word.encode().decode("latin-1").translate(letters))]).tobytes()
 
-    def ids_of(texts: list[str]) -> list[bytes]:
-        found = exact.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=dtype).tobytes() for e in found]
+    def whole(text: str) -> bytes:
+        return array(kind, exact.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(texts: list[str]) -> list[bytes]:
         plain = [_SIMPLE.fullmatch(t) and not any(s in t for s in _SPECIAL) for t in texts]
         if tokenizer != TOKENIZER or not any(plain):
-            return ids_of(texts)
+            return list(map(whole, texts))
         lists = [words.findall(t.lower()) for t, p in zip(texts, plain) if p]
         if len(known) > MOST_WORDS:
             known.clear()
-        new = list(set().union(*lists).difference(known))
-        known.update(zip(new, ids_of(new)))
+        for word in set().union(*lists).difference(known):
+            known[word] = ids_of(word)
         fast = (b"".join(map(known.__getitem__, some)) for some in lists)
-        rest = iter(ids_of([t for t, p in zip(texts, plain) if not p]))
-        return [next(fast) if p else next(rest) for p in plain]
+        return [next(fast) if p else whole(t) for t, p in zip(texts, plain)]
 
     return encode
 
@@ -104,7 +114,7 @@ def token_rests(
     picked = docs.select("doc_id", text_or_empty("text").alias("text"))
 
     def run(batches):
-        encode = encoder(tokenizer, dtype)
+        encode = once_per_worker(f"words_{tokenizer}", lambda: encoder(tokenizer, dtype))
         for batch in batches:
             for first, texts in slices(batch.column(1)):
                 rows = []

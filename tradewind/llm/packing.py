@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents, text_or_empty, written
+from tradewind.llm.common import documents, once_per_worker, text_or_empty, written
 
 CAPACITY, END_ID = 1024, 2
 LEAST_GROUPS, RANKED_TOGETHER = 256, 1 << 18  # groups a length is ranked in, and pieces of all lengths per group
@@ -84,7 +84,7 @@ def token_pieces(
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encode = _encoder(tokenizer)
+        encode = once_per_worker(f"ranks_{tokenizer}", lambda: _encoder(tokenizer))
         for batch in batches:
             rows = []
             for row, text in enumerate(batch.column(1)):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +98,17 @@ DEPENDS = {
     "mart_daily_order_anomalies": ("stg_orders",),
 }
 CHECKED = tuple(catalogue.CONTRACT)
+# Raw tables whose row checks are counted while the one staging table made of them is written.
+RIDES = {
+    "customers": "stg_customers",
+    "geolocation": "stg_geolocation",
+    "order_items": "stg_order_items",
+    "order_payments": "stg_order_payments",
+    "order_reviews": "stg_order_reviews",
+    "orders": "stg_orders",
+    "products": "stg_products",
+    "sellers": "stg_sellers",
+}
 
 
 @dataclass
@@ -160,9 +171,11 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in (*RAW_SCHEMAS, *DATASETS)}
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
+    def write(self, name: str, df: DataFrame, watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
         sort_by, month = MARTS.get(name, ((), None))
-        path = sinks.write_table(df, self.folder, layer_of(name), name, sort_by=sort_by, month_of=month)
+        path = sinks.write_table(
+            df, self.folder, layer_of(name), name, sort_by=sort_by, month_of=month, watch=watch
+        )
         written = self.spark.read.parquet(path)
         return written.drop(sinks.MONTH) if month else written
 
@@ -174,42 +187,101 @@ class Warehouse:
                 self._tables[name] = self.write(name, df)
         return {name: self._tables[name] for name in DATASETS}
 
-    def check_table(self, name: str, report: BuildReport) -> bool:
-        """Run the declared checks of a table, store the failing rows; whether what depends on it may go on."""
-        declared = {c.name: c for c in catalogue.declared(name)}
+    def check_table(self, name: str, report: BuildReport, skip: Sequence[checks.Check] = ()) -> bool:
+        """Run the declared checks of a table but ``skip``, store the failing rows of those that fail.
+
+        Whether what depends on the table may go on.
+        """
+        declared = {c.name: c for c in catalogue.declared(name) if c not in skip}
         if not declared:
             return True
         needed = {name, *(c.parent for c in declared.values() if c.parent)}
         tables = {n: self.table(n) for n in needed}
         rows = checks.check_table(list(declared.values()), tables).collect()  # one row per check
         report.results += rows
-        for row in rows:
-            if not row.passed:
-                path = checks.store_failures(declared[row.check_name], tables, self.folder)
-                report.failures[name, row.check_name] = path
+        failed = [declared[r.check_name] for r in rows if not r.passed]
+        self._store([c for c in failed if c.kind in checks.ROW_KINDS], name, report)
+        for check in failed:
+            if check.kind not in checks.ROW_KINDS:
+                report.failures[name, check.name] = checks.store_failures(check, tables, self.folder)
         return all(r.passed or not r.blocking or r.severity != "error" for r in rows)
 
+    def _store(self, failed: list[checks.Check], name: str, report: BuildReport) -> None:
+        """Failing rows of row checks: one pass over the table for all of them."""
+        if failed:
+            stored = checks.store_row_failures(failed, self.table(name), self.folder)
+            report.failures |= {(name, c.name): path for c, path in stored.items()}
+
     def build_checked(self) -> BuildReport:
-        """Like ``build``, with the declared checks after each table.
+        """Like ``build``, with the declared checks of each table.
 
-        Failing rows are stored for every failing check. A blocking check of severity error keeps all
-        tables that depend on its table from being built; the rest is built, then BuildStopped raised.
+        Row checks are counted by the write itself, those of a raw table by the write of the staging table
+        that reads it, and rows of the written table are read again only if some fail. Checks that compare rows or tables run
+        after the write, except that written row counts are known. Failing rows are stored for every
+        failing check. A blocking check of severity error keeps all tables that depend on its table from
+        being built; the rest is built, then BuildStopped raised.
         """
         report = BuildReport()
         at_fault: dict[str, str] = {}
+        riding: dict[str, checks.Watch] = {}
+        rows: dict[str, int] = {}
         for name in (*RAW_SCHEMAS, *DATASETS):
             cause = next((at_fault[d] for d in DEPENDS.get(name, ()) if d in at_fault), None)
             if cause:
                 at_fault[name] = report.stopped_by[name] = cause
                 continue
-            if name in DEPENDS and name not in SHARED:
-                self._tables[name] = self.write(name, self.table(name))
-            if not self.check_table(name, report):
+            watch = checks.Watch(name, catalogue.declared(name))
+            done = []
+            if name in RIDES and not (self.settings.start_date and self.settings.end_date):
+                # The window keeps most raw rows out of the write, so then raw tables are read apart.
+                riding[RIDES[name]] = watch
+                done = watch.checks
+            elif name in DEPENDS and not (name in SHARED and name in self._tables):
+                self._write_watched(name, watch, riding.pop(name, None), report)
+                rows[name], done = watch.rows, [*watch.checks, *self._row_counts(name, rows, report)]
+            if not self.check_table(name, report, skip=done):
                 at_fault[name] = name
+        for watch in riding.values():  # their staging table was left out
+            table = watch.checks[0].table if watch.checks else None
+            if table:
+                others = [c for c in catalogue.declared(table) if c not in watch.checks]
+                self.check_table(table, report, skip=others)
         if report.stopped_by:
             raise BuildStopped(report)
         return report
 
+    def _write_watched(
+        self, name: str, watch: checks.Watch, raw_watch: checks.Watch | None, report: BuildReport
+    ) -> None:
+        """Write a table and take the counts of its row checks, and of those of its raw table, from the write."""
+        raw = next((r for r, staging_table in RIDES.items() if staging_table == name), None)
+        plain = self._tables.get(raw)
+        if raw_watch and raw_watch.checks:
+            self._tables[raw] = raw_watch.on(self.table(raw))
+            plain = plain or self.raw[raw]
+        try:
+            self._tables[name] = self.write(name, self.define(name), watch.on)
+        finally:
+            if raw and plain is not None:
+                self._tables[raw] = plain
+        for table, seen, exact in ((raw, raw_watch, False), (name, watch, True)):
+            if not seen or not seen.checks:
+                continue
+            counts = seen.violations()
+            failed = [c for c, n in counts.items() if n]
+            self._store(failed, table, report)
+            for check in failed if not exact else ():  # before a shuffle rows may have been counted twice
+                counts[check] = self.spark.read.parquet(report.failures[table, check.name]).count()
+            report.results += [checks.result(c, n) for c, n in counts.items()]
+
+    def _row_counts(self, name: str, rows: dict[str, int], report: BuildReport) -> list[checks.Check]:
+        """Checks of row counts that both writes have answered."""
+        known = [
+            c for c in catalogue.declared(name) if c.kind == "equal_rowcount" and {c.table, c.parent} <= rows.keys()
+        ]
+        report.results += [checks.result(c, int(rows[c.table] != rows[c.parent])) for c in known if rows[c.table] == rows[c.parent]]
+        return [c for c in known if rows[c.table] == rows[c.parent]]
+
     def define(self, name: str) -> DataFrame:
         """The plan of a staging, intermediate or mart table over its inputs."""
         return self._definitions()[name]()

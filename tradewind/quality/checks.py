@@ -10,12 +10,13 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tradewind.sources import sinks
 
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range")
+FAILED = "failed_check"
 RESULT_COLUMNS = ("table_name", "check_name", "severity", "blocking", "violations", "passed")
 
 
@@ -150,6 +151,36 @@ def check_table(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> Dat
     return reduce(DataFrame.unionByName, parts)
 
 
+def result(check: Check, violations: int) -> Row:
+    """A result row whose count is known already."""
+    values = (check.table, check.name, check.severity, check.blocking, violations, violations == 0)
+    return Row(**dict(zip(RESULT_COLUMNS, values)))
+
+
+class Watch:
+    """Counts the violations of a table's row checks while another job reads its rows, such as its write.
+
+    In the last stage of a job every row counts once. Before a shuffle a stage may run again when an executor
+    is lost, and then the counts are too high, but never too low: zero is exact everywhere.
+    """
+
+    def __init__(self, table: str, checks: Iterable[Check]) -> None:
+        self.checks = [c for c in checks if c.kind in ROW_KINDS]
+        self._seen = Observation(f"checks of {table}")
+
+    def on(self, df: DataFrame) -> DataFrame:
+        counts = [F.count_if(row_violation(c)).alias(f"n{i}") for i, c in enumerate(self.checks)]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def rows(self) -> int:
+        return self._seen.get["rows"]
+
+    def violations(self) -> dict[Check, int]:
+        """Once the job is done."""
+        return {c: self._seen.get[f"n{i}"] for i, c in enumerate(self.checks)}
+
+
 def run_checks(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check: table, check, severity, blocking, violations, passed."""
     by_table: dict[str, list[Check]] = {}
@@ -170,6 +201,19 @@ def store_failures(check: Check, tables: Mapping[str, DataFrame], folder: str) -
     )
 
 
+def store_row_failures(checks: Sequence[Check], df: DataFrame, folder: str) -> dict[Check, str]:
+    """Write the failing rows of several row checks of a table in one pass; returns the path of each.
+
+    A row that fails several checks is stored under each of them.
+    """
+    table = checks[0].table
+    names = F.array_compact(F.array(*[F.when(row_violation(c), F.lit(c.name)) for c in checks]))
+    tagged = df.where(reduce(lambda a, b: a | b, map(row_violation, checks))).withColumn(FAILED, F.explode(names))
+    path = f"{folder}/test_failures/{table}"
+    tagged.write.mode("overwrite").partitionBy(FAILED).parquet(path)
+    return {c: f"{path}/{FAILED}={c.name}" for c in checks}
+
+
 def freshness(
     df: DataFrame, column: str, now: datetime, warn_after_days: int, error_after_days: int
 ) -> DataFrame:

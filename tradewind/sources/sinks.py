@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +37,14 @@ def write_table(
     sort_by: Sequence[str] = (),
     month_of: str | None = None,
     comments: Mapping[str, str] | None = None,
+    watch: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> str:
-    """Overwrite ``<folder>/<layer>/<name>`` as parquet and return that path."""
+    """Overwrite ``<folder>/<layer>/<name>`` as parquet and return that path.
+
+    ``watch`` may observe the rows as they are written, after any shuffle.
+    """
     path = f"{folder}/{layer}/{name}"
-    writer = arrange(with_comments(df, comments or {}), sort_by, month_of).write.mode("overwrite")
+    writer = watch(arrange(with_comments(df, comments or {}), sort_by, month_of)).write.mode("overwrite")
     if month_of:
         writer = writer.partitionBy(MONTH)
     writer.parquet(path)

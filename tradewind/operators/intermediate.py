@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.config import Settings
@@ -10,27 +12,57 @@ from tradewind.functions.expressions import flag, haversine_km, price_bucket
 from tradewind.functions.grouping import group_metrics
 
 
-def order_totals(items: DataFrame) -> DataFrame:
-    """Items of an order in one row, before any join can multiply them.
+TOTALS = (
+    "items_cnt",
+    "distinct_products_cnt",
+    "distinct_sellers_cnt",
+    "items_value",
+    "freight_value",
+    "order_value",
+)
 
-    Sums collapse map-side; only bare (order, product) and (order, seller) pairs travel besides.
-    """
-    measures = [
+
+def _split(items: DataFrame, heavy: Sequence) -> tuple[DataFrame, DataFrame]:
+    """Items of ordinary orders and of the (at most a thousand) heavy ones."""
+    hot = F.coalesce(F.col("order_id").isin(list(heavy)), F.lit(False))
+    return items.where(~hot), items.where(hot)
+
+
+def _sums() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("items_cnt"),
         F.sum("price").alias("items_value"),
         F.sum("freight_value").alias("freight_value"),
         F.sum("item_total").alias("order_value"),
     ]
+
+
+def _distinct() -> list[Column]:
+    """Sets, as ordinary orders have few items; two distinct counts would exchange every row once more."""
+    return [
+        F.size(F.collect_set("product_id")).cast("bigint").alias("distinct_products_cnt"),
+        F.size(F.collect_set("seller_id")).cast("bigint").alias("distinct_sellers_cnt"),
+    ]
+
+
+def _heavy_totals(items: DataFrame) -> DataFrame:
+    """Totals of orders that no task should hold: sums collapse map-side, distinct counts travel as pairs."""
     distinct = {"distinct_products_cnt": "product_id", "distinct_sellers_cnt": "seller_id"}
-    return group_metrics(items, ["order_id"], measures, distinct=distinct).select(
-        "order_id",
-        "items_cnt",
-        "distinct_products_cnt",
-        "distinct_sellers_cnt",
-        "items_value",
-        "freight_value",
-        "order_value",
-    )
+    return group_metrics(items, ["order_id"], _sums(), distinct=distinct)
+
+
+def order_totals(items: DataFrame, heavy: Sequence = ()) -> DataFrame:
+    """Items of an order in one row, before any join can multiply them.
+
+    Item rows are exchanged once, by order; sums and both distinct counts reuse that distribution. Orders
+    named in ``heavy`` (see ``functions.skew``) take the way of ``_heavy_totals`` instead.
+    """
+    ordinary, hot = _split(items, heavy)
+    columns = ["order_id", "product_id", "seller_id", "price", "freight_value", "item_total"]
+    totals = ordinary.select(*columns).repartition("order_id").groupBy("order_id").agg(*_sums(), *_distinct())
+    if heavy:
+        totals = totals.unionByName(_heavy_totals(hot))
+    return totals.select("order_id", *TOTALS)
 
 
 def _located(df: DataFrame, zip_column: str, geo: DataFrame, role: str) -> DataFrame:
@@ -43,47 +75,82 @@ def _located(df: DataFrame, zip_column: str, geo: DataFrame, role: str) -> DataF
     return df.join(points, F.col(zip_column) == F.col(f"{role}_zip"), "left")
 
 
-def int_order_distance(
-    items: DataFrame, orders: DataFrame, customers: DataFrame, sellers: DataFrame, geo: DataFrame
-) -> DataFrame:
-    """Kilometres from the buyer to the nearest seller of the order.
-
-    Dimensions join the facts one by one, each as the table it is, so the planner knows its size.
-    Orders meet their customers before the items, so item rows are shuffled once, on order_id, and
-    carry two numbers.
-    """
-    sold = items.select("order_id", "seller_id").join(
-        sellers.select("seller_id", "seller_zip_code_prefix"), "seller_id"
-    )
-    seller_points = _located(sold, "seller_zip_code_prefix", geo, "seller").select(
-        "order_id", "seller_lat", "seller_lon"
-    )
+def _buyer_points(orders: DataFrame, customers: DataFrame, geo: DataFrame) -> DataFrame:
+    """Per order: where its customer lives, as radians that are NULL where the prefix is unknown."""
     buyers = orders.select("order_id", "customer_id").join(
         customers.select("customer_id", "customer_zip_code_prefix"), "customer_id"
     )
-    buyer_points = _located(buyers, "customer_zip_code_prefix", geo, "customer").select(
-        "order_id", "customer_lat", "customer_lon"
+    points = _located(buyers, "customer_zip_code_prefix", geo, "customer")
+    return points.groupBy(F.col("order_id").alias("buyer_order")).agg(
+        F.min("customer_lat").alias("customer_lat"), F.min("customer_lon").alias("customer_lon")
     )
-    distance = haversine_km(*map(F.col, ("customer_lat", "customer_lon", "seller_lat", "seller_lon")))
-    return (
-        seller_points.join(buyer_points, "order_id")
-        .groupBy("order_id")
-        .agg(F.min(distance).alias("customer_seller_distance_km"))
+
+
+def _seller_points(sellers: DataFrame, geo: DataFrame) -> DataFrame:
+    """Per seller, once: where it is, as radians that are NULL where the prefix is unknown."""
+    points = _located(sellers.select("seller_id", "seller_zip_code_prefix"), "seller_zip_code_prefix", geo, "seller")
+    return points.groupBy(F.col("seller_id").alias("known_seller")).agg(
+        F.min("seller_lat").alias("seller_lat"), F.min("seller_lon").alias("seller_lon")
     )
 
 
+def order_item_facts(
+    items: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    sellers: DataFrame,
+    geo: DataFrame,
+    heavy: Sequence = (),
+) -> DataFrame:
+    """All that items say about their order, one row per order that has any: totals, and the kilometres from
+    the buyer to the nearest seller.
+
+    Item rows meet the sellers' points, a dimension, where they are, and are exchanged once, by order. The buyers'
+    points come to the same distribution, and everything is aggregated there. ``has_distance`` tells whether
+    the order, its customer and one of its sellers are known. Of the ``heavy`` orders only the distinct
+    sellers meet the buyers, whose points are at most a thousand rows.
+    """
+    ordinary, hot = _split(items.where(F.col("order_id").isNotNull()), heavy)
+    seller_points, buyers = _seller_points(sellers, geo), _buyer_points(orders, customers, geo)
+    distance = haversine_km(*map(F.col, ("customer_lat", "customer_lon", "seller_lat", "seller_lon")))
+    nearest = [
+        F.max(F.col("known_seller").isNotNull() & F.col("buyer_order").isNotNull()).alias("has_distance"),
+        F.min(distance).alias("customer_seller_distance_km"),
+    ]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(seller_points, F.col("seller_id") == F.col("known_seller"), "left")
+
+    columns = ["order_id", "product_id", "seller_id", "price", "freight_value", "item_total"]
+    met = placed(ordinary.select(*columns)).repartition("order_id")
+    met = met.join(buyers, F.col("order_id") == F.col("buyer_order"), "left")
+    facts = met.groupBy("order_id").agg(*_sums(), *_distinct(), *nearest)
+    if heavy:
+        own = buyers.where(F.col("buyer_order").isin(list(heavy)))
+        pairs = placed(hot.select("order_id", "seller_id").distinct())
+        near = pairs.join(F.broadcast(own), F.col("order_id") == F.col("buyer_order"), "left")
+        near = near.groupBy(F.col("order_id").alias("near_order")).agg(*nearest)
+        totals = _heavy_totals(hot).join(near, F.col("order_id") == F.col("near_order"))
+        facts = facts.unionByName(totals.drop("near_order"))
+    return facts.select("order_id", *TOTALS, "has_distance", "customer_seller_distance_km")
+
+
+def int_order_distance(facts: DataFrame) -> DataFrame:
+    """Kilometres from the buyer to the nearest seller of the order."""
+    return facts.where("has_distance").select("order_id", "customer_seller_distance_km")
+
+
 def int_orders_enriched(
     orders: DataFrame,
     customers: DataFrame,
-    items: DataFrame,
+    facts: DataFrame,
     payments: DataFrame,
     reviews: DataFrame,
-    distance: DataFrame,
     regions: DataFrame,
     settings: Settings = Settings(),
 ) -> DataFrame:
     """One row per order. Customers join inner; everything else left, and unique on its key."""
-    totals = order_totals(items).alias("t")
+    totals = facts.alias("t")
     order_value = F.coalesce("t.order_value", F.lit(0.0))
 
     def count_or_zero(name: str):
@@ -99,7 +166,6 @@ def int_orders_enriched(
         .join(totals, F.col("o.order_id") == F.col("t.order_id"), "left")
         .join(payments.alias("p"), F.col("o.order_id") == F.col("p.order_id"), "left")
         .join(reviews.alias("rv"), F.col("o.order_id") == F.col("rv.order_id"), "left")
-        .join(distance.alias("d"), F.col("o.order_id") == F.col("d.order_id"), "left")
     )
     return joined.select(
         "o.order_id",
@@ -135,7 +201,7 @@ def int_orders_enriched(
         "rv.is_bad_review",
         "rv.is_good_review",
         flag(F.col("rv.order_id").isNotNull()).alias("has_review"),
-        "d.customer_seller_distance_km",
+        "t.customer_seller_distance_km",
     )
 
 

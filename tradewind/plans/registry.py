@@ -326,7 +326,7 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stg_orders_window": stg_orders_window,
     "sink_monthly_partitions": sink_monthly_partitions,
     "sink_train_holdout": sink_train_holdout,
-    "order_totals": lambda w: intermediate.order_totals(w.table("stg_order_items")),
+    "order_totals": lambda w: intermediate.order_totals(w.table("stg_order_items"), w.heavy_orders()),
     "order_product_dims": lambda w: marts.order_product_dims(
         w.table("stg_order_items"), w.table("stg_products")
     ),

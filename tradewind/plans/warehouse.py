@@ -2,8 +2,9 @@
 
 A table is a DataFrame built on first use. The tables that several others read are written once to
 the shared folder and read back: dimensions, so that the planner knows their file size when it
-decides about a broadcast, the two wide tables, so that seven marts do not repeat their joins, and
-the marts that checks read.
+decides about a broadcast, what items say about their orders, so that item rows are exchanged once for
+totals and distances, the two wide tables, so that seven marts do not repeat their joins, and the marts
+that checks read.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.config import AnomalySettings, Settings
+from tradewind.functions import skew
 from tradewind.operators import intermediate, marts, staging
 from tradewind.quality import catalogue, checks
 from tradewind.session import PARTITION_BYTES, shared_folder
@@ -56,6 +58,7 @@ SHARED = frozenset(
         "stg_geolocation",
         "stg_products",
         "stg_sellers",
+        "int_order_facts",
         "int_orders_enriched",
         "int_order_items_enriched",
         *MARTS,
@@ -78,7 +81,7 @@ DEPENDS = {
         "stg_order_items",
         "stg_order_payments",
         "stg_order_reviews",
-        "int_order_distance",
+        "int_order_distance",  # both are made of the facts of an order's items
         "seed_state_region",
     ),
     "int_order_items_enriched": (
@@ -282,6 +285,12 @@ class Warehouse:
         report.results += [checks.result(c, int(rows[c.table] != rows[c.parent])) for c in known if rows[c.table] == rows[c.parent]]
         return [c for c in known if rows[c.table] == rows[c.parent]]
 
+    def heavy_orders(self) -> list:
+        """Orders with so many items that no task should take them all, measured once."""
+        if "heavy_orders" not in self.memo:
+            self.memo["heavy_orders"] = skew.heavy_keys(self.table("stg_order_items"), "order_id")
+        return self.memo["heavy_orders"]
+
     def define(self, name: str) -> DataFrame:
         """The plan of a staging, intermediate or mart table over its inputs."""
         return self._definitions()[name]()
@@ -299,20 +308,21 @@ class Warehouse:
                 t("products"), t("product_category_name_translation")
             ),
             "stg_sellers": lambda: staging.stg_sellers(t("sellers")),
-            "int_order_distance": lambda: intermediate.int_order_distance(
+            "int_order_facts": lambda: intermediate.order_item_facts(
                 t("stg_order_items"),
                 t("stg_orders"),
                 t("stg_customers"),
                 t("stg_sellers"),
                 t("stg_geolocation"),
+                self.heavy_orders(),
             ),
+            "int_order_distance": lambda: intermediate.int_order_distance(t("int_order_facts")),
             "int_orders_enriched": lambda: intermediate.int_orders_enriched(
                 t("stg_orders"),
                 t("stg_customers"),
-                t("stg_order_items"),
+                t("int_order_facts"),
                 t("stg_order_payments"),
                 t("stg_order_reviews"),
-                t("int_order_distance"),
                 t("seed_state_region"),
                 self.settings,
             ),

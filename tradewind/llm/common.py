@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return small_batches(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def squeezed(body: bytes) -> bytes:
+    """Bytes compressed before they are written or shuffled; ``unsqueezed`` needs their length."""
+    return pa.compress(body, codec="zstd", asbytes=True) if body else b""
+
+
+def unsqueezed(body: bytes, length: int) -> bytes:
+    return pa.decompress(body, decompressed_size=length, codec="zstd", asbytes=True) if length else b""
+
+
 def once_per_worker(name: str, make: Callable):
     """What ``make`` returns, made once in a Python worker and kept for its further tasks.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import documents, text_or_empty, written
+from tradewind.llm.common import documents, squeezed, text_or_empty, unsqueezed, written
 from tradewind.llm.features import chunks, mixed
 
 LENGTH, GRAM = 50, 16
@@ -239,7 +239,7 @@ def _batch_row(ids: list, texts: list[bytes]) -> pa.RecordBatch:
     columns = [
         pa.array([[ids[i] for i in order]], pa.list_(pa.int64())),
         pa.array([np.array(list(map(len, texts)), dtype="<u4").tobytes()], pa.binary()),
-        pa.array([b"".join(texts)], pa.binary()),
+        pa.array([squeezed(b"".join(texts))], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["ids", "sizes", "text"])
 
@@ -250,7 +250,7 @@ class _Docs:
     def __init__(self, row) -> None:
         self.ids = row.column("ids")[0].as_py()
         ends = np.cumsum(np.frombuffer(row.column("sizes")[0].as_py(), "<u4"), dtype=np.int64).tolist()
-        body = row.column("text")[0].as_buffer().to_pybytes()
+        body = unsqueezed(row.column("text")[0].as_py(), ends[-1] if ends else 0)
         self.texts = [body[a:b] for a, b in zip([0, *ends], ends)]
         self.ranked = sum(i is not None for i in self.ids)
         self.batch = row.column("batch")[0].as_py()
@@ -362,7 +362,8 @@ class _Found:
     def occurrences(self) -> tuple[bytes, bytes, bytes]:
         """What round 3 needs: strings per window; window, document and start of each place; slices."""
         places = b"".join(x.astype("<u4").tobytes() for x in (self.window, self.doc, self.start))
-        return self.starts.astype("u1").tobytes(), places, np.array(self.slices, dtype="<i8").tobytes()
+        slices = np.array([len(places), *(x for s in self.slices for x in s)], dtype="<i8")
+        return self.starts.astype("u1").tobytes(), squeezed(places), slices.tobytes()
 
 
 class _Places:
@@ -370,8 +371,9 @@ class _Places:
 
     def __init__(self, starts: bytes, places: bytes, slices: bytes, ids: list) -> None:
         self.starts = np.frombuffer(starts, "u1").astype(np.int64)
-        self.window, self.doc, self.start = np.frombuffer(places, "<u4").astype(np.int64).reshape(3, -1)
-        self.slices = np.frombuffer(slices, "<i8").reshape(-1, 3).tolist()
+        length, *slices = np.frombuffer(slices, "<i8").tolist()
+        self.window, self.doc, self.start = np.frombuffer(unsqueezed(places, length), "<u4").astype(np.int64).reshape(3, -1)
+        self.slices = list(zip(slices[::3], slices[1::3], slices[2::3]))
         self.id = np.array(ids, dtype=np.int64)[self.doc]
 
 
@@ -391,7 +393,7 @@ def _windows(batched: DataFrame, shared: DataFrame, parts: int, window_parts: in
         return _rows(
             _WINDOWS,
             [
-                (p, docs.batch, sizes[a:b].tobytes(), b"".join(found.windows[a:b]), first[a:b].tobytes())
+                (p, docs.batch, sizes[a:b].tobytes(), squeezed(b"".join(found.windows[a:b])), first[a:b].tobytes())
                 for p, a, b in found.slices
             ]
             + [(None, docs.batch, *found.occurrences())],
@@ -412,7 +414,7 @@ def _answers(windows: DataFrame, length: int) -> DataFrame:
         window_of = []
         for r in rows:
             ends = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist()
-            text = r["bytes"]
+            text = unsqueezed(r["bytes"], ends[-1])
             window_of.append(
                 np.array([number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)])
             )

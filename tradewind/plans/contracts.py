@@ -87,6 +87,10 @@ CONTRACTS = {
     "raw_order_payments": "order_id:i payment_sequential:i payment_type:s payment_installments:i"
     " payment_value:m",
     "stg_orders_window": "order_id:i order_purchase_timestamp:t is_late_delivery:i",
+    "stg_orders_month_window": "order_id:i order_purchase_timestamp:t is_late_delivery:i",
+    "sink_backfilled_months": "purchase_ym:s rows_cnt:i delivered_cnt:i",
+    "sink_published_sellers": "seller_state:s sellers_cnt:i",
+    "raw_accounting": "accepted:i rejected:i accepted_length:r rejected_length:r",
     "sink_monthly_partitions": "purchase_ym:s rows_cnt:i orders_cnt:i total_revenue:m",
     "sink_train_holdout": "part:s rows_cnt:i late_cnt:i",
     # Single operators

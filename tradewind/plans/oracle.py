@@ -92,8 +92,7 @@ RELATIONS = {
             'CITY_' || c_custkey % 10 AS geolocation_city, n_name AS geolocation_state
         FROM customer JOIN nation ON n_nationkey = c_nationkey""",
     "raw_translation": """
-        SELECT unnest(['STANDARD', 'ECONOMY', 'MEDIUM', 'LARGE', 'SMALL']) AS name,
-            unnest(['standard_goods', 'economy_goods', 'medium_goods', 'large_goods', 'small_goods']) AS english""",
+        SELECT DISTINCT p_type AS name, lower(p_type) || '_goods' AS english FROM part WHERE p_type <> 'PROMO'""",
     "raw_state_region": """
         SELECT n_name AS state_code, n_name AS state_name, r_name AS region
         FROM nation JOIN region ON r_regionkey = n_regionkey""",
@@ -373,6 +372,17 @@ FINGERPRINT_JSON = json.dumps({"seed": 42, "test_frac": 0.2}, sort_keys=True)
 ANSWERS = {name: f"SELECT * FROM {name}" for name in (*DATASETS, *RELATIONS) if name in CONTRACTS} | {
     "stg_orders_window": """SELECT * FROM stg_orders WHERE order_purchase_timestamp >= TIMESTAMP '1996-01-01'
         AND order_purchase_timestamp < TIMESTAMP '1997-01-01'""",
+    "stg_orders_month_window": """SELECT * FROM stg_orders WHERE order_purchase_timestamp >= TIMESTAMP '1996-01-01'
+        AND order_purchase_timestamp < TIMESTAMP '1997-01-01'""",
+    "sink_backfilled_months": """SELECT strftime(order_purchase_timestamp, '%Y%m') AS purchase_ym, count(*) AS rows_cnt,
+        count(*) FILTER (order_status = 'delivered') AS delivered_cnt FROM raw_orders
+        WHERE order_status = 'delivered' OR order_purchase_timestamp < TIMESTAMP '1996-01-01'
+            OR order_purchase_timestamp >= TIMESTAMP '1997-01-01' GROUP BY ALL""",
+    "sink_published_sellers": """SELECT seller_state, count(*) AS sellers_cnt FROM stg_sellers
+        WHERE seller_id % 2 = 0 GROUP BY ALL""",
+    "raw_accounting": """SELECT count(*) FILTER (product_id % 97 <> 0) AS accepted, count(*) FILTER (product_id % 97 = 0)
+        AS rejected, sum(product_length_cm) FILTER (product_id % 97 <> 0) AS accepted_length,
+        sum(product_length_cm) FILTER (product_id % 97 = 0) AS rejected_length FROM raw_products""",
     "sink_monthly_partitions": """SELECT strftime(order_purchase_date, '%Y%m') AS purchase_ym,
         count(*) AS rows_cnt, sum(orders_cnt) AS orders_cnt, sum(total_revenue) AS total_revenue
         FROM mart_daily_state_metrics GROUP BY ALL""",

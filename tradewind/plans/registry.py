@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import partial, reduce
-from hashlib import md5
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,27 +27,27 @@ SHORT_WINDOW = AnomalySettings(rolling_window_days=3, anomaly_z_threshold=2)
 CLOCK = datetime(2011, 7, 31, 11)  # half a day beyond the first limit
 FINGERPRINT_PARAMS = {"test_frac": 0.2, "seed": 42}
 
-_WAREHOUSES: dict[tuple, Warehouse] = {}
+_WAREHOUSES: dict[tuple, tuple[str, Warehouse]] = {}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The tables of a folder, shared by the queries of one Spark application while its files stay the same."""
-    key = (spark.sparkContext.applicationId, folder, _file_state(spark, folder))
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse.from_tpch(spark, folder)
-    return _WAREHOUSES[key]
+    key, state = (spark.sparkContext.applicationId, folder), _folder_state(spark, folder)
+    if key not in _WAREHOUSES or _WAREHOUSES[key][0] != state:
+        _WAREHOUSES[key] = (state, Warehouse.from_tpch(spark, folder))
+    return _WAREHOUSES[key][1]
 
 
-def _file_state(spark: SparkSession, folder: str) -> str:
-    """Paths, sizes and times of the files below a folder, from its own file system."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    state = []
-    while files.hasNext():
-        f = files.next()
-        state.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
-    return md5("\n".join(sorted(state)).encode()).hexdigest()
+def _folder_state(spark: SparkSession, folder: str) -> str:
+    """Names and times of the tables of a folder, and the number and size of all files below it.
+
+    The file system adds the files up by itself; only one entry per table comes to the driver.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    entries = sorted(f"{e.getPath().getName()} {e.getModificationTime()}" for e in files.listStatus(path))
+    total = files.getContentSummary(path)
+    return "\n".join([*entries, f"{total.getFileCount()} {total.getLength()}"])
 
 
 def _rows(name: str = "rows_cnt"):
@@ -88,6 +87,44 @@ def sink_monthly_partitions(w: Warehouse) -> DataFrame:
     )
 
 
+def stg_orders_month_window(w: Warehouse) -> DataFrame:
+    """The window over raw orders stored by month: only its months are read."""
+    path = raw.store_orders(w.table("orders"), f"{w.folder}/window")
+    return staging.stg_orders(raw.stored_orders(w.spark, path, WINDOW))
+
+
+def sink_backfilled_months(w: Warehouse) -> DataFrame:
+    """Raw orders by month, of which one year is replaced by its delivered orders."""
+    orders = w.table("orders")
+    path = raw.store_orders(orders, f"{w.folder}/backfill")
+    year = raw.purchase_window(orders, WINDOW).where("order_status = 'delivered'")
+    sinks.replace_months(year, path, month_of="order_purchase_timestamp")
+    delivered = x.count_if(F.col("order_status") == "delivered").alias("delivered_cnt")
+    return w.spark.read.parquet(path).groupBy(F.col(sinks.MONTH).cast("string").alias(sinks.MONTH)).agg(_rows(), delivered)
+
+
+def sink_published_sellers(w: Warehouse) -> DataFrame:
+    """Two published versions of a table, the second made from the first; readers get the second."""
+    place = (w.folder, "published", "sellers")
+    sinks.publish_table(w.spark, w.table("stg_sellers"), *place)
+    half = sinks.published_table(w.spark, *place).where("seller_id % 2 = 0")
+    sinks.publish_table(w.spark, half, *place)
+    return sinks.published_table(w.spark, *place).groupBy("seller_state").agg(_rows("sellers_cnt"))
+
+
+def raw_accounting(w: Warehouse) -> DataFrame:
+    """Products as CSV in which some weights are no numbers: counts of both sorts, and what was set aside."""
+    weight = F.when(F.col("product_id") % 97 == 0, "heavy").otherwise(F.col("product_weight_g").cast("string"))
+    folder = f"{w.folder}/accounting"
+    products = w.table("products").withColumn("product_weight_g", weight)
+    products.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{folder}/products.csv")
+    done = raw.ingest_raw(w.spark, folder, "products", f"{folder}/stored")
+    length = F.sum("product_length_cm")
+    return done.per_file.agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).crossJoin(
+        done.accepted.agg(length.alias("accepted_length"))
+    ).crossJoin(done.rejected.agg(length.alias("rejected_length")))
+
+
 def sink_train_holdout(w: Warehouse) -> DataFrame:
     train, holdout = dataset.training_dataset(w.table("mart_order_features"))
     paths = dataset.write_training_dataset(train, holdout, w.folder)
@@ -324,7 +361,11 @@ OPERATORS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "raw_products_reloaded": raw_products_reloaded,
     "raw_order_payments": lambda w: w.table("order_payments"),
     "stg_orders_window": stg_orders_window,
+    "stg_orders_month_window": stg_orders_month_window,
+    "raw_accounting": raw_accounting,
     "sink_monthly_partitions": sink_monthly_partitions,
+    "sink_backfilled_months": sink_backfilled_months,
+    "sink_published_sellers": sink_published_sellers,
     "sink_train_holdout": sink_train_holdout,
     "order_totals": lambda w: intermediate.order_totals(w.table("stg_order_items"), w.heavy_orders()),
     "order_product_dims": lambda w: marts.order_product_dims(

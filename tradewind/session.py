@@ -22,16 +22,24 @@ SQL_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 PARTITION_BYTES = 128 * 1024 * 1024
+# Beyond these the driver would hold too much about map outputs; partitions and splits grow instead.
+MOST_PARTITIONS, MOST_SPLITS = 50_000, 200_000
 
 
 def cluster_settings(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
     """Settings for a session over ``input_bytes`` of tables (their compressed file sizes).
 
     Adaptive execution merges small shuffle partitions but does not split evenly large ones, so the
-    number to start from must follow the input: rows unpack to about three times their file size.
+    number to start from must follow the input: rows unpack to about three times their file size. From some
+    2 TB on the number stays and the partitions grow, and from 25 TB on the splits of files grow too.
     """
-    partitions = max(200, -(-3 * input_bytes // partition_bytes))
-    return {**SQL_SETTINGS, "spark.sql.shuffle.partitions": str(partitions)}
+    partitions = min(max(200, -(-3 * input_bytes // partition_bytes)), MOST_PARTITIONS)
+    split = max(partition_bytes, -(-input_bytes // MOST_SPLITS))
+    return {
+        **SQL_SETTINGS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
 
 
 def local_session(cores: str = "*", app: str = "tradewind", **extra: str) -> SparkSession:

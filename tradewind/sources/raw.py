@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tradewind.config import Settings
+from tradewind.sources import sinks
 from tradewind.sources.schemas import RAW_SCHEMAS
 
 REJECTED = "rejected_row"
@@ -47,7 +50,8 @@ def load_raw(spark: SparkSession, folder: str, name: str, fmt: str = "csv") -> D
     """One raw table: ``<folder>/<name>.csv`` (header row, multi-line text allowed) or ``.parquet``.
 
     Columns are found by name, in any order and among others. A missing column is an error, and so is
-    a value that does not have its declared type; ``split_raw`` sets such rows aside instead.
+    a value that does not have its declared type, if a query reads its column; ``split_raw`` sets such rows
+    aside instead, and ``ingest_raw`` looks at every value of every row.
     """
     names = [f.name for f in _declared(name)]
     if fmt == "csv":
@@ -66,6 +70,60 @@ def split_raw(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, D
     return df.where(F.col(REJECTED).isNull()).select(*names), rejected
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """Where the rows of a raw file went, and how many."""
+
+    accepted: DataFrame
+    rejected: DataFrame  # the declared columns, NULL where unparsable, and the text of the row
+    per_file: DataFrame  # source_file, accepted, rejected
+    accepted_rows: int
+    rejected_rows: int
+
+
+def ingest_raw(spark: SparkSession, folder: str, name: str, out: str) -> Ingested:
+    """Parse every value of a CSV table once and write its rows as parquet below ``out``.
+
+    Rows with an unparsable value in any column are set apart with their text. Both counts come from the
+    write itself; the counts per file are stored beside the table, in ``<out>/<name>_accounting``.
+    """
+    names = [f.name for f in _declared(name)]
+    df = _read_csv(spark, folder, name, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
+    seen = Observation(f"rows of {name}")
+    bad = F.col(REJECTED).isNotNull()
+    rows = df.select(*names, REJECTED, F.input_file_name().alias("source_file"), bad.alias("is_rejected"))
+    path = f"{out}/{name}"
+    rows.observe(seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected")).write.mode(
+        "overwrite"
+    ).partitionBy("is_rejected").parquet(path)
+    schema = StructType([*rows.schema.fields[:-1], StructField("is_rejected", BooleanType())])
+    stored = spark.read.schema(schema).parquet(path)
+    counts = stored.groupBy("source_file").agg(
+        F.count_if(~F.col("is_rejected")).alias("accepted"), F.count_if("is_rejected").alias("rejected")
+    )
+    counts.write.mode("overwrite").parquet(f"{path}_accounting")
+    return Ingested(
+        stored.where(~F.col("is_rejected")).select(*names),
+        stored.where("is_rejected").select(*names, REJECTED),
+        spark.read.schema(counts.schema).parquet(f"{path}_accounting"),
+        seen.get["accepted"],
+        seen.get["rejected"],
+    )
+
+
+def store_orders(orders: DataFrame, folder: str) -> str:
+    """Raw orders laid out by month of purchase, so that windows read their months only."""
+    return sinks.write_table(orders, folder, "raw", "orders", month_of="order_purchase_timestamp")
+
+
+def stored_orders(spark: SparkSession, path: str, settings: Settings = Settings()) -> DataFrame:
+    """Raw orders of a month layout; a purchase window prunes the months it does not touch."""
+    stored = spark.read.parquet(path)
+    if settings.start_date and settings.end_date:
+        stored = stored.where(sinks.months_between(settings.start_date, settings.end_date))
+    return purchase_window(stored.drop(sinks.MONTH), settings)
+
+
 def load_all_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
     return {name: load_raw(spark, folder, name, fmt) for name in RAW_SCHEMAS}
 

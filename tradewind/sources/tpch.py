@@ -16,13 +16,7 @@ from tradewind.config import Settings
 STATUS = {"F": "delivered", "O": "shipped"}
 PAYMENT_TYPES = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 REVIEW_SCORES = {"purchase": 5, "signup": 4, "view": 3, "click": 2, "error": 1}
-TRANSLATION = (
-    ("STANDARD", "standard_goods"),
-    ("ECONOMY", "economy_goods"),
-    ("MEDIUM", "medium_goods"),
-    ("LARGE", "large_goods"),
-    ("SMALL", "small_goods"),
-)
+UNTRANSLATED = "PROMO"
 
 
 def _days(n: Column) -> Column:
@@ -176,10 +170,11 @@ def geolocation(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def translation(spark: SparkSession) -> DataFrame:
-    rows = ", ".join(f"('{name}', '{english}')" for name, english in TRANSLATION)
-    return spark.sql(
-        f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)"
+def translation(t: dict[str, DataFrame]) -> DataFrame:
+    """English names of the kinds of parts, all but one of them."""
+    kinds = t["part"].where(F.col("p_type") != UNTRANSLATED).select(F.col("p_type").alias("product_category_name"))
+    return kinds.distinct().withColumn(
+        "product_category_name_english", F.concat(F.lower("product_category_name"), F.lit("_goods"))
     )
 
 
@@ -215,6 +210,6 @@ def raw_tables(spark: SparkSession, folder: str, settings: Settings = Settings()
         "sellers": sellers(t),
         "products": products(t),
         "geolocation": geolocation(t),
-        "product_category_name_translation": translation(spark),
+        "product_category_name_translation": translation(t),
         "seed_state_region": state_region(t),
     }

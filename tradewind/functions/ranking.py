@@ -131,6 +131,11 @@ def grouped_percentiles(
         .groupBy(*keys, F.col(value).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return percentiles_of_counts(counts, keys, wanted)
+
+
+def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], wanted: Mapping[str, float]) -> DataFrame:
+    """Percentiles as of rows of which ``counts`` has one per keys and ``value``, with their number ``n``."""
     sliced = _sliced(counts, "value", F.col("n") > 0)
     positions = F.array(*[F.lit(float(q)) * (F.col("n_total") - 1) for q in wanted.values()])
     # Only the slices holding the wanted ranks, one or two per quantile, are joined back and sorted.

@@ -20,8 +20,10 @@ from tradewind.functions.expressions import (
     string_agg_distinct,
     weekday_name,
 )
-from tradewind.functions.grouping import group_metrics
+from tradewind.functions.grouping import group_metrics, merge_groups
+from tradewind.functions.ranking import percentiles_of_counts
 from tradewind.functions.series import deviations, fill_days, rolling
+from tradewind.operators.partials import ItemPartials, OrderPartials, mean, mean_money, merged, share
 
 
 def _rows() -> Column:
@@ -42,120 +44,85 @@ def _bad_review_rate() -> Column:
     return pct(_is("is_bad_review"), _is("has_review")).alias("bad_review_rate")
 
 
-def mart_daily_state_metrics(orders: DataFrame) -> DataFrame:
+def mart_daily_state_metrics(orders: DataFrame, partials: OrderPartials | None = None) -> DataFrame:
     keys = ["order_purchase_date", "customer_state"]
-    measures = [
-        _rows().alias("orders_cnt"),
-        F.sum("order_value").alias("total_revenue"),
-        avg_money("order_value").alias("avg_order_value"),
-        pct(_is("is_large_order"), _rows()).alias("large_order_share"),
-        _is("is_delivered").alias("delivered_cnt"),
-        _late_rate(),
-        _bad_review_rate(),
-        F.avg("delivery_days").alias("avg_delivery_days"),
+    p = partials or OrderPartials.of(orders)
+    parts = [
+        merged(p.days, keys, {"customer_region": "customer_region"}),
+        p.customers.groupBy(*keys).agg(F.count("customer_unique_id").alias("unique_customers")),
+        percentiles_of_counts(p.values, keys, {"p95_order_value": 0.95}),
     ]
-    return group_metrics(
-        orders,
-        keys,
-        measures,
-        distinct={"unique_customers": "customer_unique_id"},
-        labels={"customer_region": "customer_region"},
-        percentiles={"p95_order_value": ("order_value", 0.95)},
-    ).select(
+    return merge_groups(parts, keys).select(
         *keys,
         "customer_region",
-        "orders_cnt",
+        F.col("rows_cnt").alias("orders_cnt"),
         "unique_customers",
-        "total_revenue",
-        "avg_order_value",
+        F.col("revenue").alias("total_revenue"),
+        mean_money("order_value").alias("avg_order_value"),
         "p95_order_value",
-        "large_order_share",
+        share("large_cnt", "rows_cnt").alias("large_order_share"),
         "delivered_cnt",
-        "late_delivery_rate",
-        "bad_review_rate",
-        "avg_delivery_days",
+        share("late_cnt", "delivered_cnt").alias("late_delivery_rate"),
+        share("bad_cnt", "reviewed_cnt").alias("bad_review_rate"),
+        mean("delivery_days").alias("avg_delivery_days"),
     )
 
 
-def mart_delivery_quality_by_category(items: DataFrame) -> DataFrame:
+def mart_delivery_quality_by_category(items: DataFrame, partials: ItemPartials | None = None) -> DataFrame:
     """Item-weighted on purpose: the question is about products."""
     keys = ["product_category_name_english"]
-    measures = [
-        _rows().alias("items_cnt"),
-        F.sum("item_total").alias("total_revenue"),
-        avg_money("price").alias("avg_price"),
-        F.avg("freight_share").alias("avg_freight_share"),
-        _is("is_delivered").alias("delivered_cnt"),
-        _late_rate(),
-        F.avg("delivery_days").alias("avg_delivery_days"),
-        _bad_review_rate(),
-        F.avg("review_score").alias("avg_review_score"),
+    p = partials or ItemPartials.of(items)
+    parts = [
+        merged(p.groups, keys, {"product_category_name_pt": "product_category_name"}),
+        p.orders.groupBy(*keys).agg(F.count("order_id").alias("orders_cnt")),
+        p.sellers.groupBy(*keys).agg(F.count("seller_id").alias("sellers_cnt")),
+        percentiles_of_counts(p.prices, keys, {"p95_price": 0.95}),
     ]
-    return group_metrics(
-        items,
-        keys,
-        measures,
-        distinct={"orders_cnt": "order_id", "sellers_cnt": "seller_id"},
-        labels={"product_category_name_pt": "product_category_name"},
-        percentiles={"p95_price": ("price", 0.95)},
-    ).select(
+    return merge_groups(parts, keys).select(
         *keys,
         "product_category_name_pt",
-        "items_cnt",
+        F.col("rows_cnt").alias("items_cnt"),
         "orders_cnt",
         "sellers_cnt",
-        "total_revenue",
-        "avg_price",
+        F.col("revenue").alias("total_revenue"),
+        mean_money("price").alias("avg_price"),
         "p95_price",
-        "avg_freight_share",
+        mean("freight_share").alias("avg_freight_share"),
         "delivered_cnt",
-        "late_delivery_rate",
-        "avg_delivery_days",
-        "bad_review_rate",
-        "avg_review_score",
+        share("late_cnt", "delivered_cnt").alias("late_delivery_rate"),
+        mean("delivery_days").alias("avg_delivery_days"),
+        share("bad_cnt", "reviewed_cnt").alias("bad_review_rate"),
+        mean("review_score").alias("avg_review_score"),
     )
 
 
-def mart_delivery_quality_by_state(orders: DataFrame) -> DataFrame:
+def mart_delivery_quality_by_state(orders: DataFrame, partials: OrderPartials | None = None) -> DataFrame:
+    """The days of a state merge into the state."""
     keys = ["customer_state"]
-    measures = [
-        _rows().alias("orders_cnt"),
-        F.sum("distinct_sellers_cnt").alias("seller_links_cnt"),
-        F.sum("order_value").alias("total_revenue"),
-        avg_money("order_value").alias("avg_order_value"),
-        F.sum("freight_value").alias("total_freight"),
-        pct(F.sum("freight_value"), F.sum("order_value")).alias("freight_share_pct"),
-        _is("is_delivered").alias("delivered_cnt"),
-        _late_rate(),
-        F.avg("delivery_days").alias("avg_delivery_days"),
-        _bad_review_rate(),
-        F.avg("review_score").alias("avg_review_score"),
-        F.avg("customer_seller_distance_km").alias("avg_distance_km"),
+    p = partials or OrderPartials.of(orders)
+    people = p.customers.select(*keys, "customer_unique_id").distinct()
+    parts = [
+        merged(p.days, keys, {"customer_region": "customer_region"}),
+        people.groupBy(*keys).agg(F.count("customer_unique_id").alias("unique_customers")),
+        percentiles_of_counts(p.delivery, keys, {"p95_delivery_days": 0.95}),
     ]
-    return group_metrics(
-        orders,
-        keys,
-        measures,
-        distinct={"unique_customers": "customer_unique_id"},
-        labels={"customer_region": "customer_region"},
-        percentiles={"p95_delivery_days": ("delivery_days", 0.95)},
-    ).select(
+    return merge_groups(parts, keys).select(
         *keys,
         "customer_region",
-        "orders_cnt",
+        F.col("rows_cnt").alias("orders_cnt"),
         "unique_customers",
         "seller_links_cnt",
-        "total_revenue",
-        "avg_order_value",
-        "total_freight",
-        "freight_share_pct",
+        F.col("revenue").alias("total_revenue"),
+        mean_money("order_value").alias("avg_order_value"),
+        F.col("freight").alias("total_freight"),
+        share("freight", "revenue").alias("freight_share_pct"),
         "delivered_cnt",
-        "late_delivery_rate",
-        "avg_delivery_days",
+        share("late_cnt", "delivered_cnt").alias("late_delivery_rate"),
+        mean("delivery_days").alias("avg_delivery_days"),
         "p95_delivery_days",
-        "bad_review_rate",
-        "avg_review_score",
-        "avg_distance_km",
+        share("bad_cnt", "reviewed_cnt").alias("bad_review_rate"),
+        mean("review_score").alias("avg_review_score"),
+        mean("customer_seller_distance_km").alias("avg_distance_km"),
     )
 
 

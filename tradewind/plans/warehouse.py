@@ -12,13 +12,13 @@ from __future__ import annotations
 import uuid
 import warnings
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.config import AnomalySettings, Settings
 from tradewind.functions import skew
-from tradewind.operators import intermediate, marts, staging
+from tradewind.operators import intermediate, marts, partials, staging
 from tradewind.quality import catalogue, checks
 from tradewind.session import PARTITION_BYTES, shared_folder
 from tradewind.sources import raw as raw_source
@@ -285,6 +285,15 @@ class Warehouse:
         report.results += [checks.result(c, int(rows[c.table] != rows[c.parent])) for c in known if rows[c.table] == rows[c.parent]]
         return [c for c in known if rows[c.table] == rows[c.parent]]
 
+    def _partials(self, kind: type, name: str):
+        """The partials of a wide table, each written once for all marts that merge them."""
+        if kind not in self.memo:
+            made = kind.of(self.table(name))
+            self.memo[kind] = kind(
+                **{f.name: self.write(f"{name}_{f.name}", getattr(made, f.name)) for f in fields(kind)}
+            )
+        return self.memo[kind]
+
     def heavy_orders(self) -> list:
         """Orders with so many items that no task should take them all, measured once."""
         if "heavy_orders" not in self.memo:
@@ -333,12 +342,14 @@ class Warehouse:
                 t("stg_sellers"),
                 t("seed_state_region"),
             ),
-            "mart_daily_state_metrics": lambda: marts.mart_daily_state_metrics(t("int_orders_enriched")),
+            "mart_daily_state_metrics": lambda: marts.mart_daily_state_metrics(
+                t("int_orders_enriched"), self._partials(partials.OrderPartials, "int_orders_enriched")
+            ),
             "mart_delivery_quality_by_category": lambda: marts.mart_delivery_quality_by_category(
-                t("int_order_items_enriched")
+                t("int_order_items_enriched"), self._partials(partials.ItemPartials, "int_order_items_enriched")
             ),
             "mart_delivery_quality_by_state": lambda: marts.mart_delivery_quality_by_state(
-                t("int_orders_enriched")
+                t("int_orders_enriched"), self._partials(partials.OrderPartials, "int_orders_enriched")
             ),
             "mart_hourly_order_pattern": lambda: marts.mart_hourly_order_pattern(t("int_orders_enriched")),
             "mart_customer_value_profile": lambda: marts.mart_customer_value_profile(

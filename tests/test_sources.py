@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradewind.config import Settings
 from tradewind.plans import registry
 from tradewind.plans.warehouse import BuildStopped, Warehouse
-from tradewind.session import cluster_settings, shared_folder
+from tradewind.session import cluster_settings, folder_bytes, shared_folder
 from tradewind.sources import raw, sinks
 from tradewind.sources.schemas import RAW_SCHEMAS
 
@@ -128,6 +128,16 @@ def test_partitions_follow_the_input():
     assert cluster_settings(1 << 30)["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
 
 
+def test_too_few_partitions_for_the_input_are_a_warning(spark, tmp_path):
+    tables = raw_tables(spark)
+    with pytest.warns(UserWarning, match="cluster_settings"):
+        Warehouse(spark, tables, folder=str(tmp_path), input_bytes=1 << 40)
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"12345")
+    (tmp_path / "y").write_bytes(b"123")
+    assert folder_bytes(spark, str(tmp_path)) == 8
+
+
 def test_raw_tables_are_scanned_without_an_exchange(spark):
     for name in ("orders", "order_items", "order_payments"):
         df = Warehouse.from_tpch(spark, "/root/testdata/sf0.001").table(name)

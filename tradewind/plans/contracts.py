@@ -1,7 +1,7 @@
 """Column types of every registered query, in output order.
 
-One letter per column: i integer, s text, d date, t timestamp, b boolean, m money (2 digits),
-k kilometres (6 digits), r any other real number (9 digits).
+Written as DDL; besides Spark's types there are three kinds of double precision numbers: money (2 digits),
+km (6 digits) and real, any other (9 digits).
 
 Two engines add floats in different orders, so reals are compared at a fixed number of decimals, in
 double precision. Sums of cents are exact at two digits; averages of cents are whole sums divided
@@ -13,138 +13,137 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = {"m": 2, "k": 6, "r": 9}
-SPARK_TYPES = {"i": "bigint", "s": "string", "d": "date", "t": "timestamp_ntz", "b": "boolean"}
-SQL_TYPES = {"i": "BIGINT", "s": "VARCHAR", "d": "DATE", "t": "TIMESTAMP", "b": "BOOLEAN"}
+DIGITS = {"money": 2, "km": 6, "real": 9}
+SQL_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
-ORDER_FLAGS = "is_delivered:i is_canceled:i is_late_delivery:i delivery_days:i"
-CHECK_RESULT = "table_name:s check_name:s severity:s blocking:b violations:i passed:b"
+ORDER_FLAGS = "is_delivered bigint, is_canceled bigint, is_late_delivery bigint, delivery_days bigint"
+CHECK_RESULT = "table_name string, check_name string, severity string, blocking boolean, violations bigint, passed boolean"
 
 CONTRACTS = {
-    "stg_customers": "customer_id:i customer_unique_id:i customer_zip_code_prefix:i customer_city:s"
-    " customer_state:s",
-    "stg_geolocation": "zip_code_prefix:i latitude:r longitude:r city:s state:s points_cnt:i",
-    "stg_order_items": "order_id:i order_item_id:i product_id:i seller_id:i shipping_limit_date:t price:m"
-    " freight_value:m item_total:m freight_share:r price_segment:s",
-    "stg_order_payments": "order_id:i payment_total:m payments_cnt:i max_installments:i main_payment_type:s"
-    " payment_types:s",
-    "stg_order_reviews": "review_id:i order_id:i review_score:i review_comment_title:s"
-    " review_comment_message:s review_creation_date:t review_answer_timestamp:t is_bad_review:i"
-    " is_good_review:i has_comment:i",
-    "stg_orders": "order_id:i customer_id:i order_status:s order_purchase_timestamp:t order_purchase_date:d"
-    " order_hour:i order_dow:i order_approved_at:t order_delivered_carrier_date:t"
-    f" order_delivered_customer_date:t order_estimated_delivery_date:t {ORDER_FLAGS} delivery_delay_days:i",
-    "stg_products": "product_id:i product_category_name:s product_category_name_english:s"
-    " product_weight_g:r product_length_cm:r product_height_cm:r product_width_cm:r product_photos_qty:r"
-    " product_volume_cm3:r",
-    "stg_sellers": "seller_id:i seller_zip_code_prefix:i seller_city:s seller_state:s",
-    "int_order_distance": "order_id:i customer_seller_distance_km:k",
-    "int_orders_enriched": "order_id:i order_status:s order_purchase_timestamp:t order_purchase_date:d"
-    " order_hour:i order_dow:i order_delivered_customer_date:t order_estimated_delivery_date:t"
-    f" {ORDER_FLAGS} delivery_delay_days:i customer_id:i customer_unique_id:i customer_state:s"
-    " customer_city:s customer_region:s items_cnt:i distinct_products_cnt:i distinct_sellers_cnt:i"
-    " items_value:m freight_value:m order_value:m order_value_segment:s is_large_order:i payment_total:m"
-    " main_payment_type:s max_installments:i review_score:i is_bad_review:i is_good_review:i has_review:i"
-    " customer_seller_distance_km:k",
-    "int_order_items_enriched": "order_id:i order_item_id:i price:m freight_value:m item_total:m"
-    " freight_share:r price_segment:s product_id:i product_category_name:s product_category_name_english:s"
-    " product_weight_g:r product_volume_cm3:r seller_id:i seller_state:s seller_city:s seller_region:s"
-    " order_purchase_date:d order_hour:i order_dow:i customer_state:s customer_region:s order_status:s"
-    f" {ORDER_FLAGS} review_score:i is_bad_review:i has_review:i customer_seller_distance_km:k",
-    "mart_daily_state_metrics": "order_purchase_date:d customer_state:s customer_region:s orders_cnt:i"
-    " unique_customers:i total_revenue:m avg_order_value:r p95_order_value:r large_order_share:m"
-    " delivered_cnt:i late_delivery_rate:m bad_review_rate:m avg_delivery_days:r",
-    "mart_delivery_quality_by_category": "product_category_name_english:s product_category_name_pt:s"
-    " items_cnt:i orders_cnt:i sellers_cnt:i total_revenue:m avg_price:r p95_price:r avg_freight_share:r"
-    " delivered_cnt:i late_delivery_rate:m avg_delivery_days:r bad_review_rate:m avg_review_score:r",
-    "mart_delivery_quality_by_state": "customer_state:s customer_region:s orders_cnt:i unique_customers:i"
-    " seller_links_cnt:i total_revenue:m avg_order_value:r total_freight:m freight_share_pct:m"
-    " delivered_cnt:i late_delivery_rate:m avg_delivery_days:r p95_delivery_days:r bad_review_rate:m"
-    " avg_review_score:r avg_distance_km:k",
-    "mart_hourly_order_pattern": "order_dow:i order_hour:i dow_name:s is_weekend:i orders_cnt:i"
-    " unique_customers:i total_revenue:m avg_order_value:r large_order_share:m delivered_cnt:i"
-    " late_delivery_rate:m bad_review_rate:m cancel_rate:m",
-    "mart_customer_value_profile": "customer_unique_id:i customer_state:s customer_region:s orders_cnt:i"
-    " total_spend:m avg_order_value:r max_order_value:m first_order_date:d last_order_date:d recency_days:i"
-    " late_orders_cnt:i bad_reviews_cnt:i canceled_orders_cnt:i reviewed_orders_cnt:i avg_review_score:r"
-    " is_repeat_customer:i value_segment:s",
-    "mart_seller_analytics": "seller_id:i seller_state:s seller_city:s seller_region:s items_sold:i"
-    " orders_cnt:i unique_products:i unique_categories:i categories:s states_served:i total_revenue:m"
-    " avg_price:r total_freight:m delivered_cnt:i late_delivery_rate:m avg_delivery_days:r reviewed_cnt:i"
-    " bad_review_rate:m avg_review_score:r avg_distance_km:k is_underperforming:i",
-    "mart_order_features": "order_id:i is_late_delivery:i items_cnt:i distinct_products_cnt:i"
-    " distinct_sellers_cnt:i items_value:m freight_value:m order_value:m freight_share:r is_large_order:i"
-    " main_payment_type:s max_installments:i customer_state:s customer_region:s"
-    " customer_seller_distance_km:k order_hour:i order_dow:i purchase_month:i"
-    " estimated_delivery_span_days:i main_product_category:s total_weight_g:r total_volume_cm3:r"
-    " max_item_weight_g:r order_purchase_timestamp:t",
-    "mart_daily_order_anomalies": "order_date:d orders_cnt:i canceled_cnt:i rolling_mean:r rolling_std:r"
-    " z_score:r is_anomaly:i anomaly_direction:s",
+    "stg_customers": "customer_id bigint, customer_unique_id bigint, customer_zip_code_prefix bigint, customer_city string"
+    ", customer_state string",
+    "stg_geolocation": "zip_code_prefix bigint, latitude real, longitude real, city string, state string, points_cnt bigint",
+    "stg_order_items": "order_id bigint, order_item_id bigint, product_id bigint, seller_id bigint, shipping_limit_date timestamp_ntz, price money"
+    ", freight_value money, item_total money, freight_share real, price_segment string",
+    "stg_order_payments": "order_id bigint, payment_total money, payments_cnt bigint, max_installments bigint, main_payment_type string"
+    ", payment_types string",
+    "stg_order_reviews": "review_id bigint, order_id bigint, review_score bigint, review_comment_title string"
+    ", review_comment_message string, review_creation_date timestamp_ntz, review_answer_timestamp timestamp_ntz, is_bad_review bigint"
+    ", is_good_review bigint, has_comment bigint",
+    "stg_orders": "order_id bigint, customer_id bigint, order_status string, order_purchase_timestamp timestamp_ntz, order_purchase_date date"
+    ", order_hour bigint, order_dow bigint, order_approved_at timestamp_ntz, order_delivered_carrier_date timestamp_ntz"
+    f", order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz, {ORDER_FLAGS}, delivery_delay_days bigint",
+    "stg_products": "product_id bigint, product_category_name string, product_category_name_english string"
+    ", product_weight_g real, product_length_cm real, product_height_cm real, product_width_cm real, product_photos_qty real"
+    ", product_volume_cm3 real",
+    "stg_sellers": "seller_id bigint, seller_zip_code_prefix bigint, seller_city string, seller_state string",
+    "int_order_distance": "order_id bigint, customer_seller_distance_km km",
+    "int_orders_enriched": "order_id bigint, order_status string, order_purchase_timestamp timestamp_ntz, order_purchase_date date"
+    ", order_hour bigint, order_dow bigint, order_delivered_customer_date timestamp_ntz, order_estimated_delivery_date timestamp_ntz"
+    f", {ORDER_FLAGS}, delivery_delay_days bigint, customer_id bigint, customer_unique_id bigint, customer_state string"
+    ", customer_city string, customer_region string, items_cnt bigint, distinct_products_cnt bigint, distinct_sellers_cnt bigint"
+    ", items_value money, freight_value money, order_value money, order_value_segment string, is_large_order bigint, payment_total money"
+    ", main_payment_type string, max_installments bigint, review_score bigint, is_bad_review bigint, is_good_review bigint, has_review bigint"
+    ", customer_seller_distance_km km",
+    "int_order_items_enriched": "order_id bigint, order_item_id bigint, price money, freight_value money, item_total money"
+    ", freight_share real, price_segment string, product_id bigint, product_category_name string, product_category_name_english string"
+    ", product_weight_g real, product_volume_cm3 real, seller_id bigint, seller_state string, seller_city string, seller_region string"
+    ", order_purchase_date date, order_hour bigint, order_dow bigint, customer_state string, customer_region string, order_status string"
+    f", {ORDER_FLAGS}, review_score bigint, is_bad_review bigint, has_review bigint, customer_seller_distance_km km",
+    "mart_daily_state_metrics": "order_purchase_date date, customer_state string, customer_region string, orders_cnt bigint"
+    ", unique_customers bigint, total_revenue money, avg_order_value real, p95_order_value real, large_order_share money"
+    ", delivered_cnt bigint, late_delivery_rate money, bad_review_rate money, avg_delivery_days real",
+    "mart_delivery_quality_by_category": "product_category_name_english string, product_category_name_pt string"
+    ", items_cnt bigint, orders_cnt bigint, sellers_cnt bigint, total_revenue money, avg_price real, p95_price real, avg_freight_share real"
+    ", delivered_cnt bigint, late_delivery_rate money, avg_delivery_days real, bad_review_rate money, avg_review_score real",
+    "mart_delivery_quality_by_state": "customer_state string, customer_region string, orders_cnt bigint, unique_customers bigint"
+    ", seller_links_cnt bigint, total_revenue money, avg_order_value real, total_freight money, freight_share_pct money"
+    ", delivered_cnt bigint, late_delivery_rate money, avg_delivery_days real, p95_delivery_days real, bad_review_rate money"
+    ", avg_review_score real, avg_distance_km km",
+    "mart_hourly_order_pattern": "order_dow bigint, order_hour bigint, dow_name string, is_weekend bigint, orders_cnt bigint"
+    ", unique_customers bigint, total_revenue money, avg_order_value real, large_order_share money, delivered_cnt bigint"
+    ", late_delivery_rate money, bad_review_rate money, cancel_rate money",
+    "mart_customer_value_profile": "customer_unique_id bigint, customer_state string, customer_region string, orders_cnt bigint"
+    ", total_spend money, avg_order_value real, max_order_value money, first_order_date date, last_order_date date, recency_days bigint"
+    ", late_orders_cnt bigint, bad_reviews_cnt bigint, canceled_orders_cnt bigint, reviewed_orders_cnt bigint, avg_review_score real"
+    ", is_repeat_customer bigint, value_segment string",
+    "mart_seller_analytics": "seller_id bigint, seller_state string, seller_city string, seller_region string, items_sold bigint"
+    ", orders_cnt bigint, unique_products bigint, unique_categories bigint, categories string, states_served bigint, total_revenue money"
+    ", avg_price real, total_freight money, delivered_cnt bigint, late_delivery_rate money, avg_delivery_days real, reviewed_cnt bigint"
+    ", bad_review_rate money, avg_review_score real, avg_distance_km km, is_underperforming bigint",
+    "mart_order_features": "order_id bigint, is_late_delivery bigint, items_cnt bigint, distinct_products_cnt bigint"
+    ", distinct_sellers_cnt bigint, items_value money, freight_value money, order_value money, freight_share real, is_large_order bigint"
+    ", main_payment_type string, max_installments bigint, customer_state string, customer_region string"
+    ", customer_seller_distance_km km, order_hour bigint, order_dow bigint, purchase_month bigint"
+    ", estimated_delivery_span_days bigint, main_product_category string, total_weight_g real, total_volume_cm3 real"
+    ", max_item_weight_g real, order_purchase_timestamp timestamp_ntz",
+    "mart_daily_order_anomalies": "order_date date, orders_cnt bigint, canceled_cnt bigint, rolling_mean real, rolling_std real"
+    ", z_score real, is_anomaly bigint, anomaly_direction string",
     # Sources and sinks
-    "raw_state_region": "state_code:s state_name:s region:s",
-    "raw_products_reloaded": "product_id:i product_category_name:s product_weight_g:r product_length_cm:r"
-    " product_height_cm:r product_width_cm:r product_photos_qty:r",
-    "raw_order_payments": "order_id:i payment_sequential:i payment_type:s payment_installments:i"
-    " payment_value:m",
-    "stg_orders_window": "order_id:i order_purchase_timestamp:t is_late_delivery:i",
-    "stg_orders_month_window": "order_id:i order_purchase_timestamp:t is_late_delivery:i",
-    "sink_backfilled_months": "purchase_ym:s rows_cnt:i delivered_cnt:i",
-    "sink_published_sellers": "seller_state:s sellers_cnt:i",
-    "raw_accounting": "accepted:i rejected:i accepted_length:r rejected_length:r",
-    "sink_monthly_partitions": "purchase_ym:s rows_cnt:i orders_cnt:i total_revenue:m",
-    "sink_train_holdout": "part:s rows_cnt:i late_cnt:i",
+    "raw_state_region": "state_code string, state_name string, region string",
+    "raw_products_reloaded": "product_id bigint, product_category_name string, product_weight_g real, product_length_cm real"
+    ", product_height_cm real, product_width_cm real, product_photos_qty real",
+    "raw_order_payments": "order_id bigint, payment_sequential bigint, payment_type string, payment_installments bigint"
+    ", payment_value money",
+    "stg_orders_window": "order_id bigint, order_purchase_timestamp timestamp_ntz, is_late_delivery bigint",
+    "stg_orders_month_window": "order_id bigint, order_purchase_timestamp timestamp_ntz, is_late_delivery bigint",
+    "sink_backfilled_months": "purchase_ym string, rows_cnt bigint, delivered_cnt bigint",
+    "sink_published_sellers": "seller_state string, sellers_cnt bigint",
+    "raw_accounting": "accepted bigint, rejected bigint, accepted_length real, rejected_length real",
+    "sink_monthly_partitions": "purchase_ym string, rows_cnt bigint, orders_cnt bigint, total_revenue money",
+    "sink_train_holdout": "part string, rows_cnt bigint, late_cnt bigint",
     # Single operators
-    "order_totals": "order_id:i items_cnt:i distinct_products_cnt:i distinct_sellers_cnt:i items_value:m"
-    " freight_value:m order_value:m",
-    "order_product_dims": "order_id:i main_product_category:s total_weight_g:r total_volume_cm3:r"
-    " max_item_weight_g:r",
-    "daily_orders": "order_date:d orders_cnt:i canceled_cnt:i",
-    "seller_price_percentiles": "seller_id:i p05_price:r median_price:r p95_price:r",
-    "state_categories": "customer_state:s categories:s",
-    "class_balance": "positive_rate:r known_cnt:i unknown_cnt:i",
-    "price_segments": "price_segment:s items_cnt:i freight_share:r",
-    "order_calendar": "order_dow:i dow_name:s purchase_month:i order_hour:i orders_cnt:i avg_delay_days:r",
-    "seller_state_distance": "seller_state:s customer_state:s nearest_km:k mean_km:k",
-    "anomalies_short_window": "order_date:d orders_cnt:i z_score:r is_anomaly:i anomaly_direction:s",
-    "anomalies_by_state": "customer_state:s order_date:d orders_cnt:i canceled_cnt:i rolling_mean:r"
-    " rolling_std:r z_score:r is_anomaly:i anomaly_direction:s",
-    "anomalies_by_status_shared_calendar": "customer_region:s order_status:s order_date:d orders_cnt:i"
-    " canceled_cnt:i rolling_mean:r rolling_std:r z_score:r is_anomaly:i anomaly_direction:s",
-    "daily_orders_by_region": "customer_region:s order_date:d orders_cnt:i canceled_cnt:i",
+    "order_totals": "order_id bigint, items_cnt bigint, distinct_products_cnt bigint, distinct_sellers_cnt bigint, items_value money"
+    ", freight_value money, order_value money",
+    "order_product_dims": "order_id bigint, main_product_category string, total_weight_g real, total_volume_cm3 real"
+    ", max_item_weight_g real",
+    "daily_orders": "order_date date, orders_cnt bigint, canceled_cnt bigint",
+    "seller_price_percentiles": "seller_id bigint, p05_price real, median_price real, p95_price real",
+    "state_categories": "customer_state string, categories string",
+    "class_balance": "positive_rate real, known_cnt bigint, unknown_cnt bigint",
+    "price_segments": "price_segment string, items_cnt bigint, freight_share real",
+    "order_calendar": "order_dow bigint, dow_name string, purchase_month bigint, order_hour bigint, orders_cnt bigint, avg_delay_days real",
+    "seller_state_distance": "seller_state string, customer_state string, nearest_km km, mean_km km",
+    "anomalies_short_window": "order_date date, orders_cnt bigint, z_score real, is_anomaly bigint, anomaly_direction string",
+    "anomalies_by_state": "customer_state string, order_date date, orders_cnt bigint, canceled_cnt bigint, rolling_mean real"
+    ", rolling_std real, z_score real, is_anomaly bigint, anomaly_direction string",
+    "anomalies_by_status_shared_calendar": "customer_region string, order_status string, order_date date, orders_cnt bigint"
+    ", canceled_cnt bigint, rolling_mean real, rolling_std real, z_score real, is_anomaly bigint, anomaly_direction string",
+    "daily_orders_by_region": "customer_region string, order_date date, orders_cnt bigint, canceled_cnt bigint",
     # Checks across tables
-    "dq_reconciliation": "check_name:s violations:i passed:b",
-    "dq_revenue_totals": "mart_revenue:m source_revenue:m difference:m",
-    "dq_rates": "model_name:s metric_name:s rates_cnt:i undefined_cnt:i out_of_bounds_cnt:i max_rate:m",
-    "dq_negative_amounts": "source_column:s bad_cnt:i",
-    "dq_freshness": "newest:t age_days:i status:s",
-    "dq_stored_failures": "customer_region:s failing_cnt:i",
-    "dq_failed_checks": "table_name:s check_name:s failing_cnt:i",
-    "dq_duplicate_lines": "order_id:i line_number:i n_records:i",
+    "dq_reconciliation": "check_name string, violations bigint, passed boolean",
+    "dq_revenue_totals": "mart_revenue money, source_revenue money, difference money",
+    "dq_rates": "model_name string, metric_name string, rates_cnt bigint, undefined_cnt bigint, out_of_bounds_cnt bigint, max_rate money",
+    "dq_negative_amounts": "source_column string, bad_cnt bigint",
+    "dq_freshness": "newest timestamp_ntz, age_days bigint, status string",
+    "dq_stored_failures": "customer_region string, failing_cnt bigint",
+    "dq_failed_checks": "table_name string, check_name string, failing_cnt bigint",
+    "dq_duplicate_lines": "order_id bigint, line_number bigint, n_records bigint",
     # Training
-    "ml_features": "order_id:i items_cnt:r order_value:m freight_share:r max_installments:r"
-    " customer_seller_distance_km:k estimated_delivery_span_days:r purchase_month:r total_weight_g:r"
-    " customer_state:s main_payment_type:s is_late_delivery:i",
-    "ml_split": "order_id:i bucket:i part:s",
-    "ml_training_metadata": "rows_train:i rows_holdout:i positive_rate:r features:s",
-    "ml_medians": "feature:s median:k",
-    "ml_scaling": "feature:s mean:k std:k",
-    "ml_roc_auc": "roc_auc:r",
-    "ml_average_precision": "pr_auc:r",
-    "ml_accuracy": "accuracy:r positive_rate:r n_rows:i",
-    "ml_metrics_with_unlabelled": "roc_auc:r pr_auc:r accuracy:r positive_rate:r n_rows:i",
-    "ml_metrics_by_state": "customer_state:s roc_auc:r pr_auc:r accuracy:r positive_rate:r n_rows:i",
-    "ml_no_leakage": "feature:s roc_auc:r forbidden_name:b passed:b",
-    "ml_quality_gate": "check_name:s threshold:r passed:b severity:s blocking:b",
-    "ml_metrics": "n_rows:i positive_rate:r passed:b",
-    "ml_scores": "order_id:i is_late_delivery:i in_bounds:b",
-    "ml_optimality": "coefficient:s gradient:r",
-    "ml_fingerprint": "fingerprint:s",
+    "ml_features": "order_id bigint, items_cnt real, order_value money, freight_share real, max_installments real"
+    ", customer_seller_distance_km km, estimated_delivery_span_days real, purchase_month real, total_weight_g real"
+    ", customer_state string, main_payment_type string, is_late_delivery bigint",
+    "ml_split": "order_id bigint, bucket bigint, part string",
+    "ml_training_metadata": "rows_train bigint, rows_holdout bigint, positive_rate real, features string",
+    "ml_medians": "feature string, median km",
+    "ml_scaling": "feature string, mean km, std km",
+    "ml_roc_auc": "roc_auc real",
+    "ml_average_precision": "pr_auc real",
+    "ml_accuracy": "accuracy real, positive_rate real, n_rows bigint",
+    "ml_metrics_with_unlabelled": "roc_auc real, pr_auc real, accuracy real, positive_rate real, n_rows bigint",
+    "ml_metrics_by_state": "customer_state string, roc_auc real, pr_auc real, accuracy real, positive_rate real, n_rows bigint",
+    "ml_no_leakage": "feature string, roc_auc real, forbidden_name boolean, passed boolean",
+    "ml_quality_gate": "check_name string, threshold real, passed boolean, severity string, blocking boolean",
+    "ml_metrics": "n_rows bigint, positive_rate real, passed boolean",
+    "ml_scores": "order_id bigint, is_late_delivery bigint, in_bounds boolean",
+    "ml_optimality": "coefficient string, gradient real",
+    "ml_fingerprint": "fingerprint string",
 }
 
 
 def columns(name: str) -> list[tuple[str, str]]:
     text = CONTRACTS.get(name, CHECK_RESULT if name.startswith("dq_") else "")
-    return [tuple(column.split(":")) for column in text.split()]
+    return [tuple(column.split()) for column in text.split(", ") if column]
 
 
 def conform(name: str, df: DataFrame) -> DataFrame:
@@ -153,7 +152,7 @@ def conform(name: str, df: DataFrame) -> DataFrame:
         *[
             F.round(F.col(c).cast("double"), DIGITS[kind]).alias(c)
             if kind in DIGITS
-            else F.col(c).cast(SPARK_TYPES[kind]).alias(c)
+            else F.col(c).cast(kind).alias(c)
             for c, kind in columns(name)
         ]
     )

@@ -20,7 +20,7 @@ from tradewind.config import AnomalySettings, Settings
 from tradewind.functions import skew
 from tradewind.operators import intermediate, marts, partials, staging
 from tradewind.quality import catalogue, checks
-from tradewind.session import PARTITION_BYTES, shared_folder
+from tradewind.session import PARTITION_BYTES, folder_bytes, shared_folder
 from tradewind.sources import raw as raw_source
 from tradewind.sources import sinks, tpch
 from tradewind.sources.schemas import RAW_SCHEMAS
@@ -144,10 +144,12 @@ class Warehouse:
         settings: Settings = Settings(),
         anomalies: AnomalySettings = ANOMALIES,
         folder: str | None = None,
+        input_bytes: int = 0,
     ) -> None:
+        """``input_bytes``: size of the raw files, if known, to hold the session's partitions against."""
         self.spark = spark
         self.raw = raw
-        _warn_about_partitions(spark, raw)
+        _warn_about_partitions(spark, input_bytes)
         self.settings = settings
         self.anomalies = anomalies
         self.folder = folder or f"{shared_folder(spark)}/tradewind-{uuid.uuid4().hex}"
@@ -156,11 +158,13 @@ class Warehouse:
 
     @classmethod
     def from_files(cls, spark: SparkSession, source: str, fmt: str = "csv", **options) -> Warehouse:
+        options.setdefault("input_bytes", folder_bytes(spark, source))
         return cls(spark, raw_source.load_all_raw(spark, source, fmt), **options)
 
     @classmethod
     def from_tpch(cls, spark: SparkSession, source: str, **options) -> Warehouse:
         settings = options.get("settings", Settings())
+        options.setdefault("input_bytes", folder_bytes(spark, source))
         house = cls(spark, tpch.raw_tables(spark, source, settings), **options)
         house.memo["source"] = source
         return house
@@ -367,22 +371,12 @@ class Warehouse:
         }
 
 
-def _warn_about_partitions(spark: SparkSession, raw: dict[str, DataFrame]) -> None:
+def _warn_about_partitions(spark: SparkSession, input_bytes: int) -> None:
     """Warns when the session's shuffle partitions are far too few for the raw tables."""
-    size = max((_planned_bytes(df) for df in raw.values()), default=0)
-    each = size / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    each = input_bytes / int(spark.conf.get("spark.sql.shuffle.partitions"))
     if each > 8 * PARTITION_BYTES:
         warnings.warn(
             f"shuffle partitions of {each / 2**30:.1f} GiB; build the session with"
             " tradewind.session.cluster_settings(input_bytes)",
             stacklevel=3,
         )
-
-
-def _planned_bytes(df: DataFrame) -> int:
-    """Size of the files that a table reads, as the planner has it."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    files = (leaves.apply(i) for i in range(leaves.size()))
-    return sum(
-        int(str(leaf.stats().sizeInBytes())) for leaf in files if leaf.getClass().getSimpleName() == "LogicalRelation"
-    )

@@ -70,3 +70,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder, added up by its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()

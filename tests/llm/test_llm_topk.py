@@ -89,3 +89,29 @@ def test_thresholds_prune_candidates():
     bound = 0.8 * np.linalg.norm(q) * norm.max()
     may = topk._may_reach(q, c, norm, np.linalg.norm(q), bound)
     assert may.sum() < 100 and not ((c @ q >= bound) & ~may).any()
+
+
+def test_query_blocks_go_only_where_their_bounds_can_be_reached(spark, monkeypatch):
+    for name, value in (("BLOCK", 20), ("BLOCKS_IN_GROUP", 2), ("QUERY_BLOCK", 8), ("PROBE", 60)):
+        monkeypatch.setattr(topk, name, value)
+    sent = []
+    plain = topk.routed
+
+    def spied(asked, blocks):
+        out = plain(asked, blocks)
+        sent.append((out.count(), asked.count() * blocks.select("group").distinct().count()))
+        return out
+
+    monkeypatch.setattr(topk, "routed", spied)
+    rng = np.random.default_rng(10)
+    rows = []
+    for i in range(800):
+        v = rng.normal(size=6)
+        size = np.exp(1.5 * rng.normal())  # few long vectors, many short ones
+        rows.append((i, [float(np.float32(x)) for x in v / np.linalg.norm(v) * size]))
+    assert run(spark, rows, every=9) == brute(rows, every=9)
+    some, all_pairs = sent[0]
+    assert 0 < some < 0.7 * all_pairs
+    monkeypatch.setattr(topk, "MOST_LEVELS", 3)  # coarser levels send more, and lose nothing either
+    assert run(spark, rows, every=9) == brute(rows, every=9)
+    assert some <= sent[1][0] <= all_pairs

@@ -7,8 +7,9 @@ beyond 1 holds nothing for the query; with a high threshold the query's largest
 (their part of the product plus the Cauchy-Schwarz bound of the rest), with a low one length does.
 What is left is verified with whole integer products.
 
-The stated queries meet all candidates in blocks: candidate blocks are dealt into groups, query
-blocks are sent to every group, and a pair of blocks returns at most k rows per query.
+The stated queries meet all candidates in blocks. Neighbouring blocks form groups, whose largest lengths
+fall from group to group, so a query block is sent only to the groups before the first one that no
+candidate of which can reach its weakest bound. A pair of blocks returns at most k rows per query.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from tradewind.llm.common import written
 
 SCALE, K, EVERY = 1024, 10, 100
 BLOCK, QUERY_BLOCK, PROBE = 4096, 256, 1024  # vectors in a block, queries in a block, longest vectors tried first
-BLOCKS_IN_GROUP = 8
+BLOCKS_IN_GROUP, MOST_LEVELS = 8, 4096  # blocks in a group; levels of neighbouring groups with one largest length
 FOCUS, COORDINATES_FROM = 8, 0.5  # coordinates looked at, and the cosine from which they prune
 _EXACT = 2.0**53  # integers up to here, and sums of them, are exact as doubles
 _MOST = 2**63 - 1
@@ -81,14 +82,15 @@ def _block(rows: list, name: str) -> pa.RecordBatch:
         np.array([r[3] for r in rows], dtype="<f8"),
         matrix.astype("<f8"),
     ]
+    longest = pa.array([float(parts[2].max(initial=0))], pa.float64())
     return pa.RecordBatch.from_arrays(
-        [pa.array([p.tobytes()], pa.binary()) for p in parts],
-        names=[f"{name}_{c}" for c in ("uid", "id", "norm", "m")],
+        [*(pa.array([p.tobytes()], pa.binary()) for p in parts), longest],
+        names=[f"{name}_{c}" for c in ("uid", "id", "norm", "m", "longest")],
     )
 
 
 def _block_schema(name: str) -> str:
-    return ", ".join(f"{name}_{c} binary" for c in ("uid", "id", "norm", "m"))
+    return ", ".join(f"{name}_{c} binary" for c in ("uid", "id", "norm", "m")) + f", {name}_longest double"
 
 
 def _unpack(row: dict, name: str):
@@ -97,10 +99,10 @@ def _unpack(row: dict, name: str):
     return uid, ids, norm, np.frombuffer(row[f"{name}_m"], "<f8").reshape(len(ids), -1)
 
 
-def packed(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """One row per block of vectors of about equal length."""
+def packed(vectors: DataFrame, size: int, name: str, blocks: int = 1) -> DataFrame:
+    """One row per block of vectors of about equal length; partitions of ``blocks`` blocks, longest first."""
     count = vectors.count()
-    ordered = vectors.repartitionByRange(max(1, -(-count // size)), F.desc("norm"), "uid")
+    ordered = vectors.repartitionByRange(max(1, -(-count // (size * blocks))), F.desc("norm"), "uid")
     return ordered.sortWithinPartitions(F.desc("norm"), "uid").mapInArrow(
         lambda batches: _blocks(batches, size, name), _block_schema(name)
     )
@@ -165,6 +167,25 @@ def _may_reach(q: np.ndarray, c: np.ndarray, norm: np.ndarray, query_norm: float
     return part @ q[focus] + rest * other >= bound - 1e-9 * np.maximum(query_norm * norm, 1)
 
 
+def routed(asked: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``asked`` once per group ``to`` that may hold a candidate long enough for one of its queries.
+
+    ``need`` is the least length that helps a query block. Groups come longest first, so what a block needs is
+    a prefix of them; its end is found among the largest lengths of at most ``MOST_LEVELS`` levels of groups.
+    """
+    groups = blocks.agg(F.max("group").alias("last")).first()["last"]
+    if groups is None:
+        return asked.select("*", F.lit(0).cast("bigint").alias("to")).where("false").drop("need")
+    wide = -(-(groups + 1) // MOST_LEVELS)
+    levels = blocks.groupBy(F.floor(F.col("group") / wide).alias("level")).agg(F.max("c_longest").alias("norm")).collect()
+    ends = F.array(
+        *[F.struct(F.lit(r["norm"]).alias("norm"), F.lit((r["level"] + 1) * wide).alias("end")) for r in levels]
+    )
+    reach = F.coalesce(F.array_max(F.transform(F.filter(ends, lambda e: e["norm"] >= F.col("need")), lambda e: e["end"])), F.lit(0))
+    last = F.least(reach, F.lit(groups + 1)).cast("bigint")
+    return asked.where(last > 0).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last - 1)).alias("to")).drop("need")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest products, ties to the smaller vec_id.
 
@@ -178,7 +199,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
     def bounded(batches):
         for batch in batches:
-            rows = []
+            rows, needs = [], []
             for row in batch.to_pylist():
                 query = _unpack(row, "q")
                 bound = np.full(len(query[1]), -np.inf)
@@ -186,18 +207,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                     if len(scores) >= k:
                         bound[i] = float(scores[-1]) * (1 - 1e-12 if scores[-1] > 0 else 1)
                 rows.append(bound.astype("<f8").tobytes())
+                least = np.where(bound > 0, bound / np.maximum(query[2], 1e-300), -np.inf) * (1 - 1e-9)
+                needs.append(float(least.min(initial=np.inf)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(rows, pa.binary())], names=[*batch.schema.names, "bound"]
+                [*batch.columns, pa.array(rows, pa.binary()), pa.array(needs, pa.float64())],
+                names=[*batch.schema.names, "bound", "need"],
             )
 
     asked = written(
-        packed(queries, QUERY_BLOCK, "q").mapInArrow(bounded, _block_schema("q") + ", bound binary"), "queries"
+        packed(queries, QUERY_BLOCK, "q").mapInArrow(bounded, _block_schema("q") + ", bound binary, need double"), "queries"
     )
-    blocks = written(packed(vectors, BLOCK, "c").withColumn("number", F.monotonically_increasing_id()), "blocks")
-    groups = max(1, -(-blocks.count() // BLOCKS_IN_GROUP))
-    dealt = blocks.withColumn("group", F.pmod(F.xxhash64("number"), F.lit(groups))).drop("number")
-    sent = asked.withColumn("to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
-    pairs = dealt.join(sent, F.col("group") == F.col("to")).drop("group", "to")
+    grouped = packed(vectors, BLOCK, "c", BLOCKS_IN_GROUP).withColumn("number", F.monotonically_increasing_id())
+    blocks = written(grouped.select("*", F.shiftright("number", 33).alias("group")), "blocks")
+    pairs = blocks.join(routed(asked, blocks), F.col("group") == F.col("to")).drop("group", "to", "number")
 
     def run(batches):
         for batch in batches:

@@ -5,10 +5,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from awkward_rows import AWKWARD
 from tradewind.llm import quality
-from tradewind.llm.features import Sparse, labelled_sample, scan
+from tradewind.llm.features import Sparse, labelled_sample, mixed, scan
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -123,3 +124,47 @@ def test_a_text_scores_alone_as_among_others():
     turned = quality._margins(scan(texts[::-1]), weights)[::-1]
     alone = [quality._margins(scan([t]), weights)[0] for t in texts]
     assert np.allclose(together, alone, atol=1e-12) and np.allclose(turned, alone, atol=1e-12)
+
+
+def brute_margin(text, weights):
+    """Weighted shares of words, word pairs and byte n-grams, counted one by one."""
+    raw = (text or "").encode()
+    size, pick = 1 << quality.BITS, np.uint64(64 - quality.BITS)
+    bucket = lambda h, kind: int(h >> pick) + kind * size
+    hashes = [scan([w.encode()]).hash[0] for w in WORD.findall(text or "")]
+    pairs = [mixed(np.array([a * np.uint64(3) + b]))[0] for a, b in zip(hashes, hashes[1:])]
+    kinds = [[bucket(h, 0) for h in hashes], [bucket(h, 1) for h in pairs]]
+    for kind, n in enumerate(quality.GRAMS, start=2):
+        codes = [np.uint64(int.from_bytes(raw[i : i + n], "big") + n) for i in range(len(raw) - n + 1)]
+        kinds.append([bucket(mixed(np.array([c]))[0], kind) for c in codes])
+    return sum(quality.SCALE * sum(weights[b] for b in some) / max(len(some), 1) for some in kinds)
+
+
+def test_probabilities_equal_a_dictionary_version(spark):
+    rng = np.random.default_rng(13)
+    weights = rng.normal(size=(2 + len(quality.GRAMS)) << quality.BITS)
+    model = quality.Model(weights, 0.1, 0.7, -0.2)
+    texts = [r[1] for r in AWKWARD if r[0] not in (6, 7)] + ["One two, THREE\tfour\n" * 9, "ab", "a\0b c\0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    with np.errstate(over="ignore"):
+        want = {i: float(model.probability(np.array([brute_margin(t, weights)]))[0]) for i, t in enumerate(texts)}
+    for r in quality.judge(docs, model).collect():
+        assert r.quality == pytest.approx(want[r.doc_id], abs=1e-9)
+
+
+def test_labels_of_missing_documents_take_no_places(spark):
+    docs = spark.createDataFrame([(i, "text" if i >= 20 else None) for i in range(10, 40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    got = labelled_sample(docs, labels, "quality", 10).collect()
+    assert sorted(r.doc_id for r in got) == list(range(20, 40))
+
+
+def test_accuracy_on_held_out_documents(spark):
+    """Fitted on half of the labelled documents, judged on the others; the README gives the figures."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = quality.fit(docs, labels.where(half))
+    others = labels.where(~half).select("doc_id", F.col("quality").alias("truth"))
+    got = quality.judge(docs.join(others.select("doc_id"), "doc_id", "left_semi"), model).join(others, "doc_id").collect()
+    assert np.mean([(r.quality >= 0.5) == bool(r.truth) for r in got]) > 0.85

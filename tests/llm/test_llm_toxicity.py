@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from awkward_rows import AWKWARD
 from tradewind.llm import toxicity
-from tradewind.llm.features import Sparse
+from tradewind.llm.features import Sparse, scan
 
 
 def test_cumulative_link_finds_the_optimum():
@@ -93,3 +96,43 @@ def test_labelled_documents(spark):
     clean = [verdict[i] for i, t in labels if t == 0]
     toxic = [verdict[i] for i, t in labels if t == 1]
     assert np.mean(clean) < 0.01 and np.mean(toxic) > 0.9
+
+
+def brute_score(text: str | None, model: toxicity.Model) -> float:
+    """Sum of the weights of the distinct words and word beginnings, one word at a time."""
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    found = set()
+    for word in re.split(r"[^0-9A-Za-z\x80-\U0010ffff]+", text or ""):
+        raw = word.encode()
+        if raw:
+            one = scan([raw])
+            found.add(int(one.hash[0] >> np.uint64(32)))
+            for size in toxicity.PREFIXES:
+                if len(raw) > size:
+                    found.add(int(one.prefix_hash(size)[1][0] >> np.uint64(32)))
+    return sum(weight.get(f, 0.0) for f in found)
+
+
+def test_scores_equal_a_dictionary_version(spark, awkward):
+    model = toxicity.fit(*words_model(spark)[:2])
+    rng = np.random.default_rng(12)
+    vocabulary = ["awful", "Nasty", "VILE.", "rotten,calm1", "nastyness", "calm2", "é-awful", "vil", "", "\n", "rottenest!"]
+    texts = [r[1] for r in AWKWARD if r[0] not in (6, 7)] + [" ".join(rng.choice(vocabulary, rng.integers(0, 30))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for r in toxicity.severities(docs, model).collect():
+        p = model.grades(np.array([brute_score(texts[r.doc_id], model)]))[0]
+        assert abs(r.p_toxic - (1 - p[0])) < 1e-9
+        assert abs(r.expected_severity - p @ np.arange(len(p))) < 1e-9 and r.grade == int(p.argmax())
+    assert len({brute_score(t, model) for t in texts}) > 10
+
+
+def test_verdicts_of_held_out_documents(spark):
+    """Fitted on half of the labelled documents, judged on the others."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = toxicity.fit(docs, labels.where(half))
+    judged = docs.join(labels.where(~half).select("doc_id", F.col("toxic").alias("truth")), "doc_id")
+    verdict = toxicity.severities(judged, model).select("doc_id", "toxic")
+    got = verdict.join(labels.select("doc_id", F.col("toxic").alias("truth")), "doc_id").collect()
+    assert np.mean([r.toxic for r in got if r.truth == 0]) < 0.02 and np.mean([r.toxic for r in got if r.truth == 1]) > 0.8

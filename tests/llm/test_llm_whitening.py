@@ -154,3 +154,18 @@ def test_secular_roots_interlace():
     roots = d[origin] + x
     assert (roots > d - 1e-12).all() and (roots[:-1] <= d[1:]).all()
     assert np.allclose(roots, np.linalg.eigvalsh(np.diag(d) + np.outer(z, z)), rtol=1e-9, atol=1e-9 * (z @ z))
+
+
+def test_a_long_batch_equals_its_rows():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 7)) * np.exp(-np.arange(7)) + 5
+    one, many = whitening.Spectrum.empty(7), whitening.Spectrum.empty(7)
+    for row in x:
+        one.add(row)
+    many.add_all(x[:40])
+    many.add_all(x[40:45])
+    many.add_all(x[45:])
+    assert many.n == one.n == 300 and np.allclose(many.mean, one.mean) and many.updates < 60
+    for s in (one, many):
+        scatter = s.vectors @ np.diag(s.values) @ s.vectors.T
+        assert np.allclose(scatter, np.cov(x.T, bias=True) * 300, atol=1e-9)

@@ -1,8 +1,9 @@
 """Embedding whitening by incremental eigendecomposition.
 
 A partition keeps the spectrum (count, mean, eigenvectors and eigenvalues of the scatter around that
-mean) of the vectors it has seen. One more vector is one centred rank-one update: its deviation from the
-mean, in the eigenvectors' coordinates, is deflated (coordinates without weight, and all but one of
+mean) of the vectors it has seen. One more vector is one centred rank-one update, and a long batch of them
+is first turned into as many vectors of the same scatter as there are dimensions. An update's deviation
+from the mean, in the eigenvectors' coordinates, is deflated (coordinates without weight, and all but one of
 equal eigenvalues, stay as they are), the roots of the secular equation are the new eigenvalues, and
 coordinates recomputed from the roots give orthogonal eigenvectors. Spectra of partitions are merged in
 small groups, level by level: the eigenvectors of one, scaled, and the difference of the means are
@@ -155,6 +156,24 @@ class Spectrum:
         self.n += 1
         self.mean = self.mean + apart / self.n
 
+    def add_all(self, x: np.ndarray) -> None:
+        """Rows of many vectors: an orthogonal transformation first turns their deviations from their own mean
+        into as many rows as there are dimensions, which have the same scatter and are the updates."""
+        if len(x) <= 2 * x.shape[1]:
+            for row in x:
+                self.add(row)
+            return
+        mean = x.mean(axis=0)
+        for row in np.linalg.qr(x - mean, mode="r"):
+            self._update(row)
+        self._shift(mean, len(x))
+
+    def _shift(self, mean: np.ndarray, n: int) -> None:
+        """Accounts for the way between two means, once the scatter around the other is in."""
+        apart, total = mean - self.mean, self.n + n
+        self._update(apart * np.sqrt(self.n * n / total))
+        self.mean, self.n = self.mean + apart * (n / total), total
+
     def merge(self, other: Spectrum) -> None:
         if not other.n:
             return
@@ -162,9 +181,7 @@ class Spectrum:
             for value, vector in zip(other.values, other.vectors.T):
                 if value > 0:
                     self._update(vector * np.sqrt(value))
-            apart, total = other.mean - self.mean, self.n + other.n
-            self._update(apart * np.sqrt(self.n * other.n / total))
-            self.mean, self.n = self.mean + apart * (other.n / total), total
+            self._shift(other.mean, other.n)
         else:
             self.n, self.mean, self.values, self.vectors = other.n, other.mean, other.values, other.vectors
 
@@ -286,8 +303,7 @@ def merged_spectrum(fit_list: DataFrame, wide: int) -> Spectrum:
     def run(batches):
         own = Spectrum.empty(wide)
         for batch in batches:
-            for x in _matrix(batch.column(0), wide).astype(np.float64):
-                own.add(x)
+            own.add_all(_matrix(batch.column(0), wide).astype(np.float64))
         if own.n:
             yield _spectrum_row(own)
 

@@ -8,6 +8,7 @@ import pytest
 from fixtures import raw_tables
 from pyspark.sql import functions as F
 
+from tradewind.config import Settings
 from tradewind.plans.warehouse import Warehouse
 from tradewind.quality import catalogue, checks, reconciliation
 
@@ -146,3 +147,40 @@ def test_reconciliation_finds_what_it_should(tables):
     }
     broken["int_orders_enriched"] = tables["int_orders_enriched"].withColumn("delivery_days", F.lit(-1))
     assert reconciliation.delivery_before_purchase(broken).count() == 4
+
+
+def test_a_checked_build_counts_what_separate_checks_count(spark, tmp_path, monkeypatch):
+    own_pass = {}
+    plain = Warehouse.check_table
+
+    def spied(self, name, report, skip=()):
+        own_pass[name] = {c.name for c in catalogue.declared(name) if c.kind in checks.ROW_KINDS and c not in skip}
+        return plain(self, name, report, skip)
+
+    monkeypatch.setattr(Warehouse, "check_table", spied)
+    house = Warehouse(spark, raw_tables(spark), folder=str(tmp_path))
+    report = house.build_checked()
+    key = lambda rows: sorted(tuple(r[c] for c in checks.RESULT_COLUMNS) for r in rows)
+    apart = checks.run_checks(catalogue.declared(), house.tables()).collect()
+    assert key(report.results) == key(apart) and len(apart) == 181
+    # Only tables that no job writes are read for their row checks.
+    assert {name for name, some in own_pass.items() if some} == {"product_category_name_translation", "seed_state_region"}
+    kinds = {(c.table, c.name): c.kind for c in catalogue.declared()}
+    for r in apart:
+        if not r.passed and kinds[r.table_name, r.check_name] in checks.ROW_KINDS:
+            stored = spark.read.parquet(report.failures[r.table_name, r.check_name])
+            assert stored.count() == r.violations and set(stored.columns) == set(house.table(r.table_name).columns)
+
+
+def test_a_row_that_fails_several_checks_is_stored_under_each(spark, tmp_path):
+    df = spark.createDataFrame([(None, -1.0), (1, -2.0), (2, 3.0)], "k int, v double")
+    some = [checks.not_null("t", "k"), checks.accepted_range("t", "v", 0)]
+    paths = checks.store_row_failures(some, df, str(tmp_path))
+    assert [spark.read.parquet(paths[c]).count() for c in some] == [1, 2]
+
+
+def test_a_purchase_window_leaves_raw_checks_to_a_pass_of_their_own(spark, tmp_path):
+    window = Settings(start_date="2018-01-02", end_date="2018-01-07")
+    house = Warehouse(spark, raw_tables(spark), folder=str(tmp_path), settings=window)
+    counted = {(r.table_name, r.check_name): r.violations for r in house.build_checked().results}
+    assert len(counted) == 181 and counted["order_items", "not_null_price"] == 1

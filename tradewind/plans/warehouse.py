@@ -101,17 +101,6 @@ DEPENDS = {
     "mart_daily_order_anomalies": ("stg_orders",),
 }
 CHECKED = tuple(catalogue.CONTRACT)
-# Raw tables whose row checks are counted while the one staging table made of them is written.
-RIDES = {
-    "customers": "stg_customers",
-    "geolocation": "stg_geolocation",
-    "order_items": "stg_order_items",
-    "order_payments": "stg_order_payments",
-    "order_reviews": "stg_order_reviews",
-    "orders": "stg_orders",
-    "products": "stg_products",
-    "sellers": "stg_sellers",
-}
 
 
 @dataclass
@@ -222,72 +211,43 @@ class Warehouse:
     def build_checked(self) -> BuildReport:
         """Like ``build``, with the declared checks of each table.
 
-        Row checks are counted by the write itself, those of a raw table by the write of the staging table
-        that reads it, and rows of the written table are read again only if some fail. Checks that compare rows or tables run
-        after the write, except that written row counts are known. Failing rows are stored for every
-        failing check. A blocking check of severity error keeps all tables that depend on its table from
-        being built; the rest is built, then BuildStopped raised.
+        Written rows carry a tag of the row checks they fail, so the table is not read again for these, but where
+        some do. Checks that compare rows or tables run after the write, and raw tables, which are not written, are
+        read once for all their row checks. Failing rows are stored for every failing check. A blocking check
+        of severity error keeps all tables that depend on its table from being built; the rest is built, then
+        BuildStopped raised.
         """
         report = BuildReport()
         at_fault: dict[str, str] = {}
-        riding: dict[str, checks.Watch] = {}
-        rows: dict[str, int] = {}
         for name in (*RAW_SCHEMAS, *DATASETS):
             cause = next((at_fault[d] for d in DEPENDS.get(name, ()) if d in at_fault), None)
             if cause:
                 at_fault[name] = report.stopped_by[name] = cause
                 continue
-            watch = checks.Watch(name, catalogue.declared(name))
             done = []
-            if name in RIDES and not (self.settings.start_date and self.settings.end_date):
-                # The window keeps most raw rows out of the write, so then raw tables are read apart.
-                riding[RIDES[name]] = watch
-                done = watch.checks
-            elif name in DEPENDS and not (name in SHARED and name in self._tables):
-                self._write_watched(name, watch, riding.pop(name, None), report)
-                rows[name], done = watch.rows, [*watch.checks, *self._row_counts(name, rows, report)]
+            if name in DEPENDS and not (name in SHARED and name in self._tables):
+                done = self._write_tagged(name, report)
             if not self.check_table(name, report, skip=done):
                 at_fault[name] = name
-        for watch in riding.values():  # their staging table was left out
-            table = watch.checks[0].table if watch.checks else None
-            if table:
-                others = [c for c in catalogue.declared(table) if c not in watch.checks]
-                self.check_table(table, report, skip=others)
         if report.stopped_by:
             raise BuildStopped(report)
         return report
 
-    def _write_watched(
-        self, name: str, watch: checks.Watch, raw_watch: checks.Watch | None, report: BuildReport
-    ) -> None:
-        """Write a table and take the counts of its row checks, and of those of its raw table, from the write."""
-        raw = next((r for r, staging_table in RIDES.items() if staging_table == name), None)
-        plain = self._tables.get(raw)
-        if raw_watch and raw_watch.checks:
-            self._tables[raw] = raw_watch.on(self.table(raw))
-            plain = plain or self.raw[raw]
-        try:
-            self._tables[name] = self.write(name, self.define(name), watch.on)
-        finally:
-            if raw and plain is not None:
-                self._tables[raw] = plain
-        for table, seen, exact in ((raw, raw_watch, False), (name, watch, True)):
-            if not seen or not seen.checks:
-                continue
-            counts = seen.violations()
-            failed = [c for c, n in counts.items() if n]
-            self._store(failed, table, report)
-            for check in failed if not exact else ():  # before a shuffle rows may have been counted twice
-                counts[check] = self.spark.read.parquet(report.failures[table, check.name]).count()
-            report.results += [checks.result(c, n) for c, n in counts.items()]
-
-    def _row_counts(self, name: str, rows: dict[str, int], report: BuildReport) -> list[checks.Check]:
-        """Checks of row counts that both writes have answered."""
-        known = [
-            c for c in catalogue.declared(name) if c.kind == "equal_rowcount" and {c.table, c.parent} <= rows.keys()
-        ]
-        report.results += [checks.result(c, int(rows[c.table] != rows[c.parent])) for c in known if rows[c.table] == rows[c.parent]]
-        return [c for c in known if rows[c.table] == rows[c.parent]]
+    def _write_tagged(self, name: str, report: BuildReport) -> list[checks.Check]:
+        """Write a table and report on its row checks, which are returned."""
+        by_row = [c for c in catalogue.declared(name) if c.kind in checks.ROW_KINDS]
+        if not by_row:
+            self._tables[name] = self.write(name, self.define(name))
+            return []
+        tagged = self.write(name, self.define(name), lambda df: checks.with_tag(df, by_row))
+        self._tables[name] = tagged.drop(checks.TAG)
+        rows = checks.check_tags(tagged, by_row).collect()  # one row per check
+        report.results += rows
+        failed = [c for c, row in zip(by_row, rows) if not row.passed]
+        if failed:
+            stored = checks.store_row_failures(failed, tagged.where(f"{checks.TAG} > 0").drop(checks.TAG), self.folder)
+            report.failures |= {(name, c.name): path for c, path in stored.items()}
+        return by_row
 
     def _partials(self, kind: type, name: str):
         """The partials of a wide table, each written once for all marts that merge them."""

@@ -10,13 +10,13 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.sources import sinks
 
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range")
-FAILED = "failed_check"
+FAILED, TAG = "failed_check", "failed_checks"
 RESULT_COLUMNS = ("table_name", "check_name", "severity", "blocking", "violations", "passed")
 
 
@@ -151,34 +151,21 @@ def check_table(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> Dat
     return reduce(DataFrame.unionByName, parts)
 
 
-def result(check: Check, violations: int) -> Row:
-    """A result row whose count is known already."""
-    values = (check.table, check.name, check.severity, check.blocking, violations, violations == 0)
-    return Row(**dict(zip(RESULT_COLUMNS, values)))
+def with_tag(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``df`` with a column of one bit per row check that a row fails, to be written along with the rows.
 
-
-class Watch:
-    """Counts the violations of a table's row checks while another job reads its rows, such as its write.
-
-    In the last stage of a job every row counts once. Before a shuffle a stage may run again when an executor
-    is lost, and then the counts are too high, but never too low: zero is exact everywhere.
+    Nearly all tags are zero, so the column takes no room, and statistics tell which parts of a table have none.
     """
+    bits = [F.when(row_violation(c), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(checks)]
+    return df.withColumn(TAG, reduce(lambda a, b: a + b, bits, F.lit(0).cast("bigint")))
 
-    def __init__(self, table: str, checks: Iterable[Check]) -> None:
-        self.checks = [c for c in checks if c.kind in ROW_KINDS]
-        self._seen = Observation(f"checks of {table}")
-
-    def on(self, df: DataFrame) -> DataFrame:
-        counts = [F.count_if(row_violation(c)).alias(f"n{i}") for i, c in enumerate(self.checks)]
-        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counts)
 
-    @property
-    def rows(self) -> int:
-        return self._seen.get["rows"]
-
-    def violations(self) -> dict[Check, int]:
-        """Once the job is done."""
-        return {c: self._seen.get[f"n{i}"] for i, c in enumerate(self.checks)}
+def check_tags(tagged: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Results of the row checks of a table that was written with its tags: of it only failing parts are read."""
+    counts = tagged.where(F.col(TAG) > 0).agg(
+        *[F.count_if(F.col(TAG).bitwiseAND(1 << i) > 0).alias(f"n{i}") for i in range(len(checks))]
+    )
+    return counts.select(F.inline(F.array(*[_result(c, F.col(f"n{i}")) for i, c in enumerate(checks)])))
 
 
 def run_checks(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFrame:

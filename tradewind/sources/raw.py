@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -84,30 +84,29 @@ class Ingested:
 def ingest_raw(spark: SparkSession, folder: str, name: str, out: str) -> Ingested:
     """Parse every value of a CSV table once and write its rows as parquet below ``out``.
 
-    Rows with an unparsable value in any column are set apart with their text. Both counts come from the
-    write itself; the counts per file are stored beside the table, in ``<out>/<name>_accounting``.
+    Rows with an unparsable value in any column are set apart with their text. The counts per file are taken
+    from what was written and stored beside the table, in ``<out>/<name>_accounting``.
     """
     names = [f.name for f in _declared(name)]
     df = _read_csv(spark, folder, name, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
-    seen = Observation(f"rows of {name}")
     bad = F.col(REJECTED).isNotNull()
     rows = df.select(*names, REJECTED, F.input_file_name().alias("source_file"), bad.alias("is_rejected"))
     path = f"{out}/{name}"
-    rows.observe(seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected")).write.mode(
-        "overwrite"
-    ).partitionBy("is_rejected").parquet(path)
+    rows.write.mode("overwrite").partitionBy("is_rejected").parquet(path)
     schema = StructType([*rows.schema.fields[:-1], StructField("is_rejected", BooleanType())])
     stored = spark.read.schema(schema).parquet(path)
     counts = stored.groupBy("source_file").agg(
         F.count_if(~F.col("is_rejected")).alias("accepted"), F.count_if("is_rejected").alias("rejected")
     )
     counts.write.mode("overwrite").parquet(f"{path}_accounting")
+    per_file = spark.read.schema(counts.schema).parquet(f"{path}_accounting")
+    total = per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("accepted", "rejected")]).first()
     return Ingested(
         stored.where(~F.col("is_rejected")).select(*names),
         stored.where("is_rejected").select(*names, REJECTED),
-        spark.read.schema(counts.schema).parquet(f"{path}_accounting"),
-        seen.get["accepted"],
-        seen.get["rejected"],
+        per_file,
+        total["accepted"],
+        total["rejected"],
     )
 
 

@@ -49,7 +49,7 @@ def write_table(
 ) -> str:
     """Overwrite ``<folder>/<layer>/<name>`` as parquet and return that path.
 
-    ``watch`` may observe the rows as they are written, after any shuffle.
+    ``watch`` may add columns to the rows as they are written, after any shuffle.
     """
     path = f"{folder}/{layer}/{name}"
     writer = watch(arrange(with_comments(df, comments or {}), sort_by, month_of)).write.mode("overwrite")

@@ -57,7 +57,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def squeezed(body: bytes) -> bytes:
     """Bytes compressed before they are written or shuffled; ``unsqueezed`` needs their length."""
-    return pa.compress(body, codec="zstd", asbytes=True) if body else b""
+    return pa.Codec("zstd", compression_level=5).compress(body, asbytes=True) if body else b""
 
 
 def unsqueezed(body: bytes, length: int) -> bytes:

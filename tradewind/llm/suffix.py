@@ -282,7 +282,7 @@ def _rows(schema: str, rows: list[tuple]) -> pa.Table:
 
 _QUESTIONS = "part bigint, batch bigint, anchors binary, several binary"
 _ANSWERS = "batch bigint, part bigint, shared binary"
-_WINDOWS = "part bigint, batch bigint, sizes binary, bytes binary, id binary"
+_WINDOWS = "part bigint, batch bigint, starts binary, bytes binary, id binary"
 _EARLIEST = "batch bigint, part bigint, differs binary, id binary"
 
 
@@ -388,12 +388,12 @@ def _windows(batched: DataFrame, shared: DataFrame, parts: int, window_parts: in
             return _rows(_WINDOWS, [])
         docs = _Docs(left)
         found = _Found(docs, right.to_pylist(), parts, window_parts, length)
-        sizes = (found.starts + length - 1).astype("<u4")
+        starts = found.starts.astype("u1")
         first = found.first_ids(docs.ids[: docs.ranked]).astype("<i8")
         return _rows(
             _WINDOWS,
             [
-                (p, docs.batch, sizes[a:b].tobytes(), squeezed(b"".join(found.windows[a:b])), first[a:b].tobytes())
+                (p, docs.batch, starts[a:b].tobytes(), squeezed(b"".join(found.windows[a:b])), squeezed(first[a:b].tobytes()))
                 for p, a, b in found.slices
             ]
             + [(None, docs.batch, *found.occurrences())],
@@ -413,7 +413,7 @@ def _answers(windows: DataFrame, length: int) -> DataFrame:
         number: dict[bytes, int] = {}
         window_of = []
         for r in rows:
-            ends = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist()
+            ends = np.cumsum(np.frombuffer(r["starts"], "u1").astype(np.int64) + length - 1).tolist()
             text = unsqueezed(r["bytes"], ends[-1])
             window_of.append(
                 np.array([number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends], ends)])
@@ -422,7 +422,7 @@ def _answers(windows: DataFrame, length: int) -> DataFrame:
         text = np.frombuffer(b"".join(number), dtype=np.uint8)
         first_id = np.full(len(number), np.iinfo(np.int64).max)
         for r, w in zip(rows, window_of):
-            np.minimum.at(first_id, w, np.frombuffer(r["id"], "<i8"))
+            np.minimum.at(first_id, w, np.frombuffer(unsqueezed(r["id"], 8 * len(w)), "<i8"))
         starts = sizes - length + 1
         begin = np.cumsum(sizes) - sizes
         earliest = _earliest(text, begin, starts, first_id, length)
@@ -508,14 +508,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # What a batch is told: one row with its own places, and the answers of the partitions.
     none = F.lit(None).cast("binary")
     told = windows.where("part IS NULL").withColumn("differs", none).unionByName(
-        answers.select("part", "batch", none.alias("sizes"), none.alias("bytes"), "id", "differs")
+        answers.select("part", "batch", none.alias("starts"), none.alias("bytes"), "id", "differs")
     )
 
     def cut(_, left: pa.Table, right: pa.Table) -> pa.Table:
         own = _Docs(left)
         rows = right.to_pylist()
         place = next(r for r in rows if r["part"] is None)
-        found = _Places(place["sizes"], place["bytes"], place["id"], own.ids[: own.ranked])
+        found = _Places(place["starts"], place["bytes"], place["id"], own.ids[: own.ranked])
         spans: dict[int, list[tuple[int, int]]] = {}
         heard = [r for r in rows if r["part"] is not None]
         for d, a, b in zip(*(x.tolist() for x in _spans(found, heard, length))):

@@ -7,8 +7,8 @@ import re
 
 import pytest
 from fixtures import raw_tables
-from tradewind.functions.skew import heavy_keys
-from tradewind.operators import intermediate
+from tradewind.functions.skew import heavy_keys, null_is_heavy, split_keys
+from tradewind.operators import intermediate, staging
 from tradewind.plans.warehouse import Warehouse
 
 SCHEMA = "order_id int, product_id int, seller_id int, price double, freight_value double, item_total double"
@@ -94,3 +94,70 @@ def test_the_wide_order_table_shuffles_little(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert exchanges(house.define("int_orders_enriched")) <= 6
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+PAYMENTS = "order_id int, payment_sequential int, payment_type string, payment_installments int, payment_value double"
+
+
+def payments(seed=2, n=3000):
+    rng = random.Random(seed)
+    kinds = [None, "boleto", "credit_card", "voucher"]
+    return [
+        (rng.choice([None, 7, *range(300)]), i, rng.choice(kinds), rng.choice([None, 1, 4]), rng.choice([None, *range(9)]))
+        for i in range(n)
+    ]
+
+
+def test_sets_of_an_order_are_made_in_sorted_order(spark, tmp_path):
+    """Hashing gives sets up after 128 keys and then sorts all rows with their unfinished sets, which spills."""
+    spark.createDataFrame(items(), SCHEMA).write.parquet(str(tmp_path / "items"))
+    rows = spark.read.parquet(str(tmp_path / "items"))
+    assert "ObjectHashAggregate" not in plan_of(intermediate.order_totals(rows))
+    tables = Warehouse(spark, raw_tables(spark), folder=str(tmp_path / "house")).tables()
+    assert "ObjectHashAggregate" not in plan_of(facts(tables))
+    got = {r[0]: r[1:4] for r in answers(intermediate.order_totals(rows))}
+    for order in {r[0] for r in items()}:
+        own = [r for r in items() if r[0] == order]
+        assert got[order] == (len(own), len({r[1] for r in own} - {None}), len({r[2] for r in own} - {None}))
+
+
+def test_payments_are_exchanged_once(spark, tmp_path):
+    rows = [(o, i, t, n, None if v is None else float(v)) for o, i, t, n, v in payments()]
+    spark.createDataFrame(rows, PAYMENTS).write.parquet(str(tmp_path / "payments"))
+    df = spark.read.parquet(str(tmp_path / "payments"))
+    plain = staging.stg_order_payments(df)
+    assert exchanges(plain) == 1 and "ObjectHashAggregate" not in plan_of(plain)
+    assert answers(staging.stg_order_payments(df, [7, 9, None])) == answers(plain)
+    own = [r for r in rows if r[0] == 7]
+    best = min((-r[4], r[2] is None, r[2] or "") for r in own if r[4] is not None)
+    seven = next(r for r in answers(plain) if r[0] == 7)
+    total = sum(r[4] for r in own if r[4] is not None)
+    assert seven[1:] == (total, len(own), 4, best[2] or None, ", ".join(sorted({r[2] for r in own} - {None})))
+
+
+def test_orders_without_a_key_are_heavy_if_many(spark):
+    df = spark.range(100).selectExpr("if(id % 4 = 0, NULL, id) AS k")
+    assert null_is_heavy(df, "k", 25) and not null_is_heavy(df, "k", 26)
+    assert [part.count() for part in split_keys(df, "k", [None, 1])] == [74, 26]
+    assert [part.count() for part in split_keys(df, "k", [1])] == [99, 1]
+    assert [part.count() for part in split_keys(df, "k", [])] == [100, 0]
+
+
+def test_sellers_points_are_a_written_dimension(spark, tmp_path):
+    """Item rows meet them without an exchange as soon as their file is small, and move once, by order."""
+    house = Warehouse(spark, raw_tables(spark), folder=str(tmp_path))
+    for name in ("stg_order_items", "stg_orders", "stg_customers"):
+        house._tables[name] = house.write(name, house.table(name))
+    plan = plan_of(house.define("int_order_facts"))
+    assert "int_seller_points" in house._tables
+    assert not re.search(r"Exchange hashpartitioning\((seller_id|known_seller)#", plan)
+
+
+def test_item_measures_do_not_travel(spark, tmp_path):
+    house = Warehouse(spark, raw_tables(spark), folder=str(tmp_path))
+    top, _, below = plan_of(house.define("int_order_items_enriched")).partition("Join")
+    assert "AS price_segment" in top and "AS price_segment" not in below and "AS item_total" not in below

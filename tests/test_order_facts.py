@@ -8,7 +8,7 @@ import re
 import pytest
 from fixtures import raw_tables
 from tradewind.functions.skew import heavy_keys, null_is_heavy, split_keys
-from tradewind.operators import intermediate, staging
+from tradewind.operators import intermediate, marts, staging
 from tradewind.plans.warehouse import Warehouse
 
 SCHEMA = "order_id int, product_id int, seller_id int, price double, freight_value double, item_total double"
@@ -161,3 +161,23 @@ def test_item_measures_do_not_travel(spark, tmp_path):
     house = Warehouse(spark, raw_tables(spark), folder=str(tmp_path))
     top, _, below = plan_of(house.define("int_order_items_enriched")).partition("Join")
     assert "AS price_segment" in top and "AS price_segment" not in below and "AS item_total" not in below
+
+
+def test_items_of_the_product_dims_are_exchanged_once(spark, tmp_path):
+    spark.createDataFrame(items(), SCHEMA).write.parquet(str(tmp_path / "items"))
+    df = spark.read.parquet(str(tmp_path / "items"))
+    goods = "product_id int, product_category_name_english string, product_weight_g double, product_volume_cm3 double"
+    known = [(i, f"c{i % 5}" if i % 7 else None, None if i % 11 == 0 else i * 10.0, i * 2.0) for i in range(50)]
+    products = spark.createDataFrame(known, goods).coalesce(1)
+    plain = marts.order_product_dims(df, products)
+    assert exchanges(plain) == 1
+    assert answers(marts.order_product_dims(df, products, [7, 9, None])) == answers(plain)
+    by_id = {r[0]: r for r in known}
+    for order, category, weight, volume, heaviest in answers(plain):
+        own = [(r[3], by_id.get(r[1], (None,) * 4)) for r in items() if r[0] == order]
+        worth = {}
+        for price, product in own:
+            worth[product[1] or "unknown"] = worth.get(product[1] or "unknown", 0) + price
+        assert category == min(worth, key=lambda c: (-round(worth[c], 6), c))
+        weights = [p[2] or 0.0 for _, p in own]
+        assert (weight, volume, heaviest) == (sum(weights), sum(p[3] or 0.0 for _, p in own), max(weights))

@@ -168,7 +168,8 @@ def test_items_of_the_product_dims_are_exchanged_once(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "items"))
     goods = "product_id int, product_category_name_english string, product_weight_g double, product_volume_cm3 double"
     known = [(i, f"c{i % 5}" if i % 7 else None, None if i % 11 == 0 else i * 10.0, i * 2.0) for i in range(50)]
-    products = spark.createDataFrame(known, goods).coalesce(1)
+    spark.createDataFrame(known, goods).write.parquet(str(tmp_path / "products"))
+    products = spark.read.parquet(str(tmp_path / "products"))  # a written dimension, whose size is known
     plain = marts.order_product_dims(df, products)
     assert exchanges(plain) == 1
     assert answers(marts.order_product_dims(df, products, [7, 9, None])) == answers(plain)
